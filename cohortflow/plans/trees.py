@@ -1,0 +1,141 @@
+"""A fitted tree ensemble as leaves, for explanations inside tasks."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+from math import factorial
+
+import numpy as np
+from pyspark.sql import SparkSession
+
+from cohortflow.sources.scratch import scratch_path
+
+# A leaf's table has one row per subset of the features on its path.
+MAX_PATH_FEATURES = 12
+
+
+def _subset_weights(k: int) -> np.ndarray:
+    """Shapley weight of adding a player to a coalition, by coalition size."""
+    return np.array([factorial(s) * factorial(k - s - 1) / factorial(k) for s in range(k)])
+
+
+def _membership(k: int) -> np.ndarray:
+    """(2^k, k) booleans: the members of each subset, bit j for player j."""
+    return (np.arange(1 << k)[:, None] >> np.arange(k)) & 1 == 1
+
+
+def shapley_of_game(worth: np.ndarray, k: int) -> np.ndarray:
+    """Shapley values of games given by the worth of all 2^k subsets (last axis)."""
+    member = _membership(k)
+    weight = _subset_weights(k)
+    size = member.sum(axis=1)
+    phi = []
+    for j in range(k):
+        without = np.flatnonzero(~member[:, j])
+        gain = worth[..., without | (1 << j)] - worth[..., without]
+        phi.append(gain @ weight[size[without]])
+    return np.stack(phi, axis=-1)
+
+
+@dataclass(frozen=True)
+class Leaf:
+    """A leaf as the box of inputs that reach it: feature j's input lies in (low, high]."""
+
+    value: float
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray  # of the training rows that stay on the path when a feature is unknown
+
+    def inside(self, inputs: np.ndarray) -> np.ndarray:
+        """(rows, path features): which conditions of the path each row meets."""
+        x = inputs[:, self.features]
+        return (x > self.low) & (x <= self.high)
+
+    def table(self) -> np.ndarray:
+        """Contributions by pattern of met conditions, (2^k, k)."""
+        k = len(self.features)
+        met = _membership(k)
+        known = _membership(k)
+        factors = np.where(known[None, :, :], met[:, None, :], self.share)
+        return shapley_of_game(self.value * factors.prod(axis=2), k)
+
+
+class Forest:
+    """Leaves of all trees, values scaled by their tree's weight."""
+
+    def __init__(self, leaves: list[Leaf], width: int):
+        self.leaves = leaves
+        self.width = width
+        self.base = float(sum(leaf.value * leaf.share.prod() for leaf in leaves))
+        self._tables = [leaf.table() for leaf in leaves]
+
+    def margin(self, inputs: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(inputs))
+        for leaf in self.leaves:
+            total += leaf.value * leaf.inside(inputs).all(axis=1)
+        return total
+
+    def probability(self, inputs: np.ndarray) -> np.ndarray:
+        return 1.0 / (1.0 + np.exp(-2.0 * self.margin(inputs)))
+
+    def contributions(self, inputs: np.ndarray) -> np.ndarray:
+        """(rows, inputs): what each input adds to the margin."""
+        phi = np.zeros((len(inputs), self.width))
+        for leaf, table in zip(self.leaves, self._tables):
+            pattern = leaf.inside(inputs) @ (1 << np.arange(len(leaf.features)))
+            phi[:, leaf.features] += table[pattern]
+        return phi
+
+
+def load_forest(spark: SparkSession, classifier) -> Forest:
+    """Leaves of a fitted GBT classifier, read from its saved form.
+
+    A model has a bounded number of nodes (trees x 2^depth); they come to the driver.
+    """
+    path = scratch_path(spark, "trees")
+    classifier.write().overwrite().save(path)
+    nodes: dict[int, dict[int, object]] = {}
+    for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect():
+        nodes.setdefault(row["treeID"], {})[row["id"]] = row
+    leaves = []
+    for tree, weight in enumerate(classifier.treeWeights):
+        leaves += _leaves(nodes[tree], 0, weight, {})
+    return Forest(leaves, classifier.numFeatures)
+
+
+def _leaves(nodes: dict, at: int, weight: float, path: dict) -> list[Leaf]:
+    """Leaves below a node; ``path`` maps a feature to its (low, high, share) so far."""
+    node = nodes[at]
+    if node["leftChild"] < 0:
+        if len(path) > MAX_PATH_FEATURES:
+            raise ValueError(f"paths of more than {MAX_PATH_FEATURES} features are not supported")
+        features = sorted(path)
+        low, high, share = (np.array([path[f][i] for f in features]) for i in range(3))
+        return [Leaf(weight * node["prediction"], np.array(features, dtype=int), low, high, share)]
+    split = node["split"]
+    feature, cut = split["featureIndex"], split["leftCategoriesOrThreshold"][0]
+    low, high, share = path.get(feature, (-np.inf, np.inf, 1.0))
+    found = []
+    for child, bounds in (
+        (node["leftChild"], (low, min(high, cut))),
+        (node["rightChild"], (max(low, cut), high)),
+    ):
+        part = share * nodes[child]["rawCount"] / node["rawCount"]
+        found += _leaves(nodes, child, weight, {**path, feature: (*bounds, part)})
+    return found
+
+
+def exact_shapley(
+    predict: Callable[[np.ndarray], np.ndarray],
+    row: np.ndarray,
+    background: np.ndarray,
+    features: int,
+) -> np.ndarray:
+    """Shapley values of one row's features; inputs j, j + features, ... belong to feature j."""
+    owner = np.arange(len(row)) % features
+    known = _membership(features)[:, owner]
+    mixed = np.where(known[:, None, :], row, background[None, :, :])
+    worth = predict(mixed.reshape(-1, len(row))).reshape(len(known), len(background))
+    return shapley_of_game(worth.mean(axis=1), features)
