@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from cohortflow import defaults
 from cohortflow.functions.scalars import risk_band
 from cohortflow.operators.train import row_hash
-from cohortflow.plans.trees import Forest, exact_shapley
+from cohortflow.functions.trees import Forest, exact_shapley
 
 CONTRIBUTIONS = "array<struct<feature: string, value: double, phi: double>>"
 
@@ -151,12 +151,17 @@ def by_magnitude(contributions: Column, ascending: bool = False) -> Column:
     keyed = F.transform(
         contributions,
         lambda c: F.struct(
-            (sign * F.abs(c["phi"])).alias("k"), c["feature"], c["value"], c["phi"]
+            (sign * F.abs(c["phi"])).alias("k"),
+            c["feature"].alias("feature"),
+            c["value"].alias("value"),
+            c["phi"].alias("phi"),
         ),
     )
     return F.transform(
         F.sort_array(keyed),
-        lambda c: F.struct(c["feature"], c["value"], c["phi"]),
+        lambda c: F.struct(
+            c["feature"].alias("feature"), c["value"].alias("value"), c["phi"].alias("phi")
+        ),
     )
 
 

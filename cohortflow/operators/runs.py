@@ -80,16 +80,19 @@ def map_keys(runs: DataFrame, column: str) -> list[str]:
 
 def compare_runs(
     runs: DataFrame,
-    run_ids: Sequence[str],
+    run_ids: Sequence[str] | DataFrame,
     metrics: Sequence[str] | None = None,
     params: Sequence[str] | None = None,
 ) -> DataFrame:
     """The given runs side by side, a column per metric and parameter.
 
-    Columns come from map look-ups, so nothing is shuffled; names not given are found
+    Runs are named in a list, or by the ``run_id`` column of a frame. Columns come from map look-ups, so nothing is shuffled; names not given are found
     with one distinct over the selected runs.
     """
-    chosen = runs.where(F.col("run_id").isin(list(run_ids)))
+    if isinstance(run_ids, DataFrame):
+        chosen = runs.join(run_ids.select("run_id"), "run_id", "left_semi")
+    else:
+        chosen = runs.where(F.col("run_id").isin(list(run_ids)))
     metrics = map_keys(chosen, "metrics") if metrics is None else metrics
     params = map_keys(chosen, "params") if params is None else params
     return chosen.select(

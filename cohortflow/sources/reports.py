@@ -13,7 +13,7 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def read_report(
-    spark: SparkSession, path: str, schema: T.StructType, indented: bool = False
+    spark: SparkSession, path: str, schema: str | T.StructType, indented: bool = False
 ) -> DataFrame:
     """``indented`` reads one document spread over the lines of a file."""
     return spark.read.schema(schema).option("multiLine", indented).json(path)

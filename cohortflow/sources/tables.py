@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from cohortflow import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Typed scan: codes stay text, dates are dates, an empty field is NULL.
 
     Header names are checked against the schema, a malformed line fails the job.
