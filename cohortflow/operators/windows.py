@@ -401,6 +401,9 @@ def active_distinct(
     opens = F.col("_before").isNull() | (F.col("_from") > F.col("_before"))
     closes = F.col("_next").isNull() | (F.col("_next") > F.col("_so_far"))
     so_far = F.greatest(F.col("_until"), F.coalesce(F.col("_before"), F.col("_until")))
+    def step(cell: Column, by: int) -> Column:
+        return F.struct(cell.alias("cell"), F.lit(by).alias("by"))
+
     changes = (
         reach.withColumn("_before", furthest)
         .withColumn("_next", F.lead("_from").over(order))
@@ -409,8 +412,8 @@ def active_distinct(
             entity,
             F.explode(
                 F.array(
-                    F.when(opens, F.struct(F.col("_from").alias("cell"), F.lit(1).alias("by"))),
-                    F.when(closes, F.struct((F.col("_so_far") + 1).alias("cell"), F.lit(-1))),
+                    F.when(opens, step(F.col("_from"), 1)),
+                    F.when(closes, step(F.col("_so_far") + 1, -1)),
                 )
             ).alias("_change"),
         )
