@@ -101,11 +101,16 @@ def risk_band(score: Column, strict: bool = False) -> Column:
     is_high, is_medium = (
         (score > high, score > medium) if strict else (score >= high, score >= medium)
     )
-    return F.when(is_high, "high").when(is_medium, "medium").otherwise("low")
+    return (
+        F.when(is_high, "high").when(is_medium, "medium").when(score.isNotNull(), "low")
+    )
 
 
 def confidence(score: Column) -> Column:
-    return F.least(F.lit(0.5) + F.abs(score - F.lit(0.5)), F.lit(1.0))
+    # least() would skip a NULL score.
+    return F.when(
+        score.isNotNull(), F.least(F.lit(0.5) + F.abs(score - F.lit(0.5)), F.lit(1.0))
+    )
 
 
 def advice(band_name: Column) -> Column:

@@ -48,10 +48,12 @@ class Leaf:
     high: np.ndarray
     share: np.ndarray  # of the training rows that stay on the path when a feature is unknown
 
-    def inside(self, inputs: np.ndarray) -> np.ndarray:
-        """(rows, path features): which conditions of the path each row meets."""
-        x = inputs[:, self.features]
-        return (x > self.low) & (x <= self.high)
+    def inside(self, columns: np.ndarray) -> list[np.ndarray]:
+        """Per path feature, which rows meet its condition; ``columns`` is (inputs, rows)."""
+        return [
+            (columns[f] > low) & (columns[f] <= high)
+            for f, low, high in zip(self.features, self.low, self.high)
+        ]
 
     def table(self) -> np.ndarray:
         """Contributions by pattern of met conditions, (2^k, k)."""
@@ -72,9 +74,12 @@ class Forest:
         self._tables = [leaf.table() for leaf in leaves]
 
     def margin(self, inputs: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(inputs))
+        columns, total = np.ascontiguousarray(inputs.T), np.zeros(len(inputs))
         for leaf in self.leaves:
-            total += leaf.value * leaf.inside(inputs).all(axis=1)
+            reached = np.ones(len(inputs), dtype=bool)
+            for met in leaf.inside(columns):
+                reached &= met
+            total[reached] += leaf.value
         return total
 
     def probability(self, inputs: np.ndarray) -> np.ndarray:
@@ -82,9 +87,11 @@ class Forest:
 
     def contributions(self, inputs: np.ndarray) -> np.ndarray:
         """(rows, inputs): what each input adds to the margin."""
-        phi = np.zeros((len(inputs), self.width))
+        columns, phi = np.ascontiguousarray(inputs.T), np.zeros((len(inputs), self.width))
         for leaf, table in zip(self.leaves, self._tables):
-            pattern = leaf.inside(inputs) @ (1 << np.arange(len(leaf.features)))
+            pattern = np.zeros(len(inputs), dtype=int)
+            for j, met in enumerate(leaf.inside(columns)):
+                pattern |= met.astype(int) << j
             phi[:, leaf.features] += table[pattern]
         return phi
 

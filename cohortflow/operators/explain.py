@@ -101,9 +101,16 @@ def kernel_shap(
     predict: Callable[[np.ndarray], np.ndarray],
     background: np.ndarray,
     features: Sequence[str],
+    partitions: int | None = None,
 ) -> DataFrame:
     """Model-agnostic contributions to ``predict``: exact Shapley values over all feature
-    subsets, absent features taking the values of each background row in turn."""
+    subsets, absent features taking the values of each background row in turn.
+
+    A row costs (2^features x background) predictions, so few bytes keep a core busy
+    for long; ``partitions`` spreads the rows wider than their size would.
+    """
+    if partitions:
+        assembled = assembled.repartition(partitions)
     if len(background) > defaults.BACKGROUND_ROWS:
         raise ValueError(f"at most {defaults.BACKGROUND_ROWS} background rows")
     width = len(features)
@@ -176,18 +183,24 @@ def shap_local_top(explained: DataFrame, ids: Sequence[str], k: int = 5) -> Data
 def waterfall_steps(explained: DataFrame, ids: Sequence[str]) -> DataFrame:
     """(*ids, step, feature, phi, start, stop): running total from the base upwards,
     smallest contributions first."""
-    ordered = explained.withColumn("_o", by_magnitude(F.col("contributions"), ascending=True))
-    steps = F.transform(
-        F.col("_o"),
-        lambda c, i: F.struct(
-            (i + 1).alias("step"),
+    base = F.col("base")
+
+    def extend(done: Column, c: Column) -> Column:
+        start = F.coalesce(F.try_element_at(done, F.lit(-1))["stop"], base)
+        step = F.struct(
+            (F.size(done) + 1).alias("step"),
             c["feature"].alias("feature"),
             c["phi"].alias("phi"),
-            total(F.slice("_o", F.lit(1), i), F.col("base")).alias("start"),
-            total(F.slice("_o", F.lit(1), i + 1), F.col("base")).alias("stop"),
-        ),
+            start.alias("start"),
+            (start + c["phi"]).alias("stop"),
+        )
+        return F.concat(done, F.array(step))
+
+    none = F.array().cast(
+        "array<struct<step: int, feature: string, phi: double, start: double, stop: double>>"
     )
-    return ordered.select(*ids, F.inline(steps))
+    ordered = by_magnitude(F.col("contributions"), ascending=True)
+    return explained.select(*ids, F.inline(F.aggregate(ordered, none, extend)))
 
 
 def explanation_text(
