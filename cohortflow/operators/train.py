@@ -46,7 +46,8 @@ def stratified_split(
 
     Only counts per hash prefix and the rows of one prefix per class are shuffled: they
     give each class its cut-off hash, which two rows then carry to the table. Copies of
-    a key share its hash and so stay on one side.
+    a key share its hash and so stay on one side. ``df`` is read three times; store it
+    first if it is costly to compute.
     """
     group = F.col(target).cast("int") if stratify else F.lit(0)
     hashed = df.withColumn("_class", group).withColumn("_hash", row_hash(keys, seed))

@@ -143,10 +143,10 @@ SMALL = {"maxIter": 10, "maxDepth": 4, "minInstancesPerNode": 20, "stepSize": 0.
 @lru_cache(maxsize=4)
 def _fitted(spark: SparkSession, d: str):
     """(model, validation rows): several queries explain and score the same model."""
-    rows = train.stratified_split(panel.training_rows(spark, d), KEYS)
-    settled = scratch.settle(rows, "training")
-    model = train.fit_classifier(settled.where(~F.col("is_validation")), FEATURES, **SMALL)
-    return model, settled.where("is_validation").drop("is_validation")
+    rows = scratch.settle(panel.training_rows(spark, d), "training")
+    split = train.stratified_split(rows, KEYS)
+    model = train.fit_classifier(split.where(~F.col("is_validation")), FEATURES, **SMALL)
+    return model, split.where("is_validation").drop("is_validation")
 
 
 def validation_scores(spark: SparkSession, d: str) -> DataFrame:

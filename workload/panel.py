@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.operators import features, labels, quality, train, windows
+from cohortflow.sources import scratch
 from workload.base import flag, query, r6, table, ts
 
 
@@ -187,7 +188,9 @@ def leakage_audit_panel(spark, d):
     ),
 )
 def stratified_split(spark, d):
-    return train.stratified_split(label_rows(spark, d), ["patient", "as_of"])
+    # The split reads its input three times, so it gets a stored table.
+    rows = scratch.settle(label_rows(spark, d), "labels")
+    return train.stratified_split(rows, ["patient", "as_of"])
 
 
 @query(
