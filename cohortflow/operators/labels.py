@@ -68,7 +68,7 @@ def make_labels(
 def label_distribution(labels: DataFrame, label: str = defaults.TARGET) -> DataFrame:
     """(label, n, share) by label."""
     counts = labels.groupBy(label).agg(F.count("*").alias("n"))
-    total = labels.agg(F.count("*")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.select(
         F.col(label).cast("int").alias("label"),
         "n",

@@ -86,6 +86,15 @@ def index_bounds(index: DataFrame, as_of: str) -> tuple[Column, Column]:
     return index.agg(F.min(as_of)).scalar(), index.agg(F.max(as_of)).scalar()
 
 
+def shared_as_of(index: DataFrame, as_of: str = "as_of") -> str | None:
+    """The as_of of a stored index if all its rows have the same one: one small aggregate.
+
+    It comes back as text, which no clock of the driver's can shift.
+    """
+    first, last = index.agg(*[f(as_of).cast("string") for f in (F.min, F.max)]).first()
+    return first if first == last else None
+
+
 def _where(measure: Measure) -> Column:
     if isinstance(measure, Count):
         return F.lit(True) if measure.where is None else measure.where

@@ -75,15 +75,16 @@ def index(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def feature_rows(spark: SparkSession, d: str) -> DataFrame:
+def feature_rows(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
     return features.rolling_features(
-        index(spark, d), observations(spark, d), encounters(spark, d), medications(spark, d),
+        rows or index(spark, d), observations(spark, d), encounters(spark, d), medications(spark, d),
         LOOKBACK, HBA1C, SBP, DBP, ties=TIES, at=AS_OF,
     )
 
 
-def label_rows(spark: SparkSession, d: str) -> DataFrame:
-    return labels.make_labels(index(spark, d), encounters(spark, d), WINDOW, POSITIVE, at=AS_OF)
+def label_rows(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = rows or index(spark, d)
+    return labels.make_labels(rows, encounters(spark, d), WINDOW, POSITIVE, at=AS_OF)
 
 
 # The same tables in SQL.
@@ -555,10 +556,12 @@ def keys_except(spark, d):
 
 def training_rows(spark, d):
     """Labels of every 17th patient are unknown, so that dropping them shows."""
-    known = label_rows(spark, d).withColumn(
+    # Labels and features share one stored cohort, as separate stages would.
+    rows = scratch.settle(index(spark, d), "cohort")
+    known = label_rows(spark, d, rows).withColumn(
         "label_90d", F.when(F.col("patient") % 17 != 0, F.col("label_90d"))
     )
-    return merge.merge_training(feature_rows(spark, d), known)
+    return merge.merge_training(feature_rows(spark, d, rows), known)
 
 
 SQL_TRAIN = f"""{SQL_LABELS},{SQL_FEATURES},
@@ -614,7 +617,8 @@ def empty_features(spark, d):
     ),
 )
 def dataset_overview(spark, d):
-    rows, often = training_rows(spark, d), F.col("n_observations_180d") >= 2
+    rows = scratch.settle(training_rows(spark, d), "training")
+    often = F.col("n_observations_180d") >= 2
     return quality.dataset_overview(
         {"train": rows.where(often), "validation": rows.where(~often)}, FEATURE_NAMES
     )

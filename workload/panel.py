@@ -19,7 +19,8 @@ def index(spark: SparkSession, d: str) -> DataFrame:
     first, last = (F.lit(day).cast("timestamp_ntz") for day in (FIRST_DAY, LAST_DAY))
     day_list = F.sequence(first, last, F.expr("INTERVAL 1 DAY"))
     users = table(spark, d, "events").select(F.col("user_id").alias("patient")).distinct()
-    return users.select("patient", F.explode(day_list).alias("as_of"))
+    # Windows read their index several times, so it is stored first.
+    return scratch.settle(users.select("patient", F.explode(day_list).alias("as_of")), "index")
 
 
 def observations(spark: SparkSession, d: str) -> DataFrame:
@@ -54,20 +55,20 @@ def medications(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def feature_rows(spark: SparkSession, d: str) -> DataFrame:
+def feature_rows(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
     return features.rolling_features(
-        index(spark, d), observations(spark, d), encounters(spark, d), medications(spark, d),
+        rows or index(spark, d), observations(spark, d), encounters(spark, d), medications(spark, d),
         LOOKBACK, HBA1C, SBP, DBP, ties=["event_id"],
     )
 
 
-def label_rows(spark: SparkSession, d: str) -> DataFrame:
-    return labels.make_labels(index(spark, d), encounters(spark, d), 1, ["Error"])
+def label_rows(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
+    return labels.make_labels(rows or index(spark, d), encounters(spark, d), 1, ["Error"])
 
 
 def training_rows(spark: SparkSession, d: str) -> DataFrame:
-    keys = ["patient", "as_of"]
-    return feature_rows(spark, d).join(label_rows(spark, d), keys)
+    rows = index(spark, d)
+    return feature_rows(spark, d, rows).join(label_rows(spark, d, rows), ["patient", "as_of"])
 
 
 SQL_INDEX = f"""
