@@ -20,16 +20,20 @@ def edge(low: Column, high: Column, bins: int, index: Column) -> Column:
 
 
 def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """0-based bin, left-closed, the last bin closed on both sides.
+    """0-based bin, left-closed, the last bin closed on both sides; low < high.
 
-    The division gives the bin to within one; the edges beside it decide.
+    The division gives the bin to within one; the edges beside it decide. Products of
+    0/1 instead of conditions let generated code compute the shared parts once.
     """
-    step = _step(low, high, bins)
-    raw = F.when(step > 0, F.floor(F.try_divide(value - low, step))).otherwise(F.lit(0))
-    near = F.greatest(F.lit(0), F.least(F.lit(bins - 1), raw)).cast("int")
-    down = (near > 0) & (value < edge(low, high, bins, near))
-    up = (near < bins - 1) & (value >= edge(low, high, bins, near + 1))
-    return near - down.cast("int") + up.cast("int")
+    guess = F.floor((value - low) / _step(low, high, bins))
+    near = F.greatest(F.lit(0), F.least(F.lit(bins - 1), guess)).cast("int")
+
+    def both(one: Column, other: Column) -> Column:
+        return one.cast("int") * other.cast("int")
+
+    down = both(near > 0, value < edge(low, high, bins, near))
+    up = both(near < bins - 1, value >= edge(low, high, bins, near + 1))
+    return near - down + up
 
 
 def unit_bin_left_closed(value: Column, bins: int = 10) -> Column:

@@ -38,17 +38,17 @@ def split_points(
     """
     doubles = df.select(*[_number(name) for name in columns])
 
-    def quantiles(parts: int, accuracy: int):
+    def quantiles(parts: int):
         shares = [i / parts for i in range(1, parts)]
         return doubles.agg(
             F.count("*").alias("_rows"),
-            *[F.percentile_approx(name, shares, accuracy).alias(name) for name in columns],
+            *[F.percentile_approx(name, shares, 10 * parts).alias(name) for name in columns],
         ).first()
 
-    found = quantiles(FEW_BUCKETS, 2_000)
+    found = quantiles(FEW_BUCKETS)
     wanted = min(MAX_BUCKETS, max(1, found["_rows"] // rows_per_bucket))
     if wanted > FEW_BUCKETS:
-        found = quantiles(wanted, 10 * wanted)
+        found = quantiles(wanted)
         picked = range(wanted - 1)
     else:
         picked = [i * FEW_BUCKETS // wanted - 1 for i in range(1, wanted)]
@@ -60,49 +60,77 @@ def split_points(
     }
 
 
-def add_buckets(df: DataFrame, splits: Mapping[str, Sequence[float]]) -> DataFrame:
-    """One column ``<name>_bucket`` per entry; the named columns hold doubles."""
-    cut = [name for name, points in splits.items() if points]
+def long_values(
+    df: DataFrame, columns: Sequence[str], keep: Mapping[str, Column], series: str = "series"
+) -> DataFrame:
+    """(*keep, series, value): one row per column and input row, NaN as NULL."""
+    wide = df.select(
+        *[_number(name) for name in columns], *[c.alias(name) for name, c in keep.items()]
+    )
+    return wide.unpivot(list(keep), list(columns), series, "value")
+
+
+def value_counts(
+    df: DataFrame, columns: Sequence[str], weights: Mapping[str, Column]
+) -> DataFrame:
+    """(series, value, *weights): the weights summed per distinct value of each column."""
+    long = long_values(df, columns, weights).where(F.col("value").isNotNull())
+    return long.groupBy("series", "value").agg(*[F.sum(w).alias(w) for w in weights])
+
+
+def _buckets(
+    df: DataFrame, values: Mapping[str, Column], splits: Mapping[str, Sequence[float]]
+) -> DataFrame:
+    """``df`` with a column ``_b<i>`` per entry: the bucket of its value, NULL for none."""
+    names = list(values)
+    df = df.select("*", *[values[n].alias(f"_v{i}") for i, n in enumerate(names)])
+    cut = [i for i, n in enumerate(names) if splits[n]]
     if cut:
         df = Bucketizer(
-            splitsArray=[[float("-inf"), *splits[name], float("inf")] for name in cut],
-            inputCols=cut,
-            outputCols=[f"{name}_bucket" for name in cut],
+            splitsArray=[[float("-inf"), *splits[names[i]], float("inf")] for i in cut],
+            inputCols=[f"_v{i}" for i in cut],
+            outputCols=[f"_cut{i}" for i in cut],
             handleInvalid="keep",
         ).transform(df)
-    whole = [name for name in splits if name not in cut]
-    return df.select("*", *[F.lit(0.0).alias(f"{name}_bucket") for name in whole])
+    kept = [c for c in df.columns if not c.startswith(("_v", "_cut"))]
+    return df.select(
+        *kept,
+        *[
+            F.col(f"_cut{i}").cast("int").alias(f"_b{i}")
+            if i in cut
+            else F.when(F.col(f"_v{i}").isNotNull(), F.lit(0)).alias(f"_b{i}")
+            for i in range(len(names))
+        ],
+    )
 
 
-def long_values(
-    df: DataFrame,
-    columns: Sequence[str],
-    keep: Mapping[str, Column],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+def _bucket_totals(
+    df: DataFrame, weights: Mapping[str, Column], splits: Mapping[str, Sequence[float]]
 ) -> DataFrame:
-    """(series, value, bucket, *keep): one row per non-missing value of each column."""
-    wide = df.select(
-        *[_number(name) for name in columns],
-        *[column.alias(name) for name, column in keep.items()],
+    """(series, bucket, *weights) straight from the table: few groups, hardly a shuffle."""
+    wide = df.select(*[_number(n) for n in splits], *[c.alias(w) for w, c in weights.items()])
+    placed = _buckets(wide, {n: F.col(n) for n in splits}, splits).select(
+        *weights, *[F.col(f"_b{i}").alias(n) for i, n in enumerate(splits)]
+    )
+    return (
+        placed.unpivot(list(weights), list(splits), "series", "bucket")
+        .where(F.col("bucket").isNotNull())
+        .groupBy("series", "bucket")
+        .agg(*[F.sum(w).alias(w) for w in weights])
     )
-    wide = add_buckets(wide, split_points(df, columns, rows_per_bucket))
-    parts = [
-        F.struct(
-            F.lit(name).alias("series"),
-            F.col(name).alias("value"),
-            F.col(f"{name}_bucket").alias("bucket"),
-        )
-        for name in columns
-    ]
-    return wide.select(F.inline(F.array(*parts)), *keep).where(F.col("value").isNotNull())
 
 
-def running_totals(long: DataFrame, weights: Sequence[str]) -> DataFrame:
-    """One row per (series, value) with, for every weight, its sum at the value and
-    ``<weight>_below``, its sum over all smaller values, and ``<weight>_all``."""
-    by_value = long.groupBy("series", "bucket", "value").agg(
-        *[F.sum(w).alias(w) for w in weights]
-    )
+def running_totals(
+    df: DataFrame,
+    counts: DataFrame,
+    weights: Mapping[str, Column],
+    splits: Mapping[str, Sequence[float]],
+) -> DataFrame:
+    """The ``value_counts`` rows of ``df`` with, for every weight, ``<weight>_below``, its
+    sum over all smaller values of the series, and ``<weight>_all``."""
+    own = {n: F.when(F.col("series") == n, F.col("value")) for n in splits}
+    bucket = F.coalesce(*[f"_b{i}" for i in range(len(own))])
+    bucketed = _buckets(counts, own, splits).select(*counts.columns, bucket.alias("bucket"))
     inside = (
         Window.partitionBy("series", "bucket")
         .orderBy("value")
@@ -111,18 +139,14 @@ def running_totals(long: DataFrame, weights: Sequence[str]) -> DataFrame:
     # At most MAX_BUCKETS rows per series, hence windowed per series and broadcast.
     whole = Window.partitionBy("series")
     earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = (
-        long.groupBy("series", "bucket")
-        .agg(*[F.sum(w).alias(w) for w in weights])
-        .select(
-            "series",
-            "bucket",
-            *[(F.sum(w).over(earlier) - F.col(w)).alias(f"_{w}_offset") for w in weights],
-            *[F.sum(w).over(whole).alias(f"{w}_all") for w in weights],
-        )
+    offsets = _bucket_totals(df, weights, splits).select(
+        "series",
+        "bucket",
+        *[(F.sum(w).over(earlier) - F.col(w)).alias(f"_{w}_offset") for w in weights],
+        *[F.sum(w).over(whole).alias(f"{w}_all") for w in weights],
     )
     return (
-        by_value.select(
+        bucketed.select(
             "*", *[(F.sum(w).over(inside) - F.col(w)).alias(f"_{w}_inside") for w in weights]
         )
         .join(F.broadcast(offsets), ["series", "bucket"])
@@ -136,6 +160,17 @@ def running_totals(long: DataFrame, weights: Sequence[str]) -> DataFrame:
     )
 
 
+def ranked_values(
+    df: DataFrame,
+    columns: Sequence[str],
+    weights: Mapping[str, Column],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """``running_totals`` of a table's columns."""
+    splits = split_points(df, columns, rows_per_bucket)
+    return running_totals(df, value_counts(df, columns, weights), weights, splits)
+
+
 def exact_quantiles(totals: DataFrame, weight: str, shares: Mapping[str, float]) -> DataFrame:
     """Linearly interpolated quantiles per series from ``running_totals`` rows.
 

@@ -14,9 +14,8 @@ from cohortflow.functions.ranks import (
     ROWS_PER_BUCKET,
     exact_quantiles,
     long_values,
-    running_totals,
+    ranked_values,
 )
-from cohortflow.functions.scalars import nan_to_null
 from cohortflow.operators.quality import numeric_columns
 
 
@@ -34,22 +33,16 @@ def _sides(reference: DataFrame, current: DataFrame, features: Sequence[str]) ->
 
 
 def _features_long(both: DataFrame, features: Sequence[str]) -> DataFrame:
-    parts = [
-        F.struct(
-            F.lit(c).alias("feature"), nan_to_null(F.col(c).cast("double")).alias("value")
-        )
-        for c in features
-    ]
-    return both.select("is_ref", F.inline(F.array(*parts)))
+    return long_values(both, features, {"is_ref": F.col("is_ref")}, "feature")
 
 
 def reference_stats(
     reference: DataFrame, features: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """(feature, mean, std, median, q25, q75, min, max, count, missing_rate)."""
-    long = long_values(reference, features, {"n": F.lit(1).cast("long")}, rows_per_bucket)
+    ranks = ranked_values(reference, features, {"n": F.lit(1).cast("long")}, rows_per_bucket)
     quantiles = exact_quantiles(
-        running_totals(long, ["n"]), "n", {"median": 0.5, "q25": 0.25, "q75": 0.75}
+        ranks, "n", {"median": 0.5, "q25": 0.25, "q75": 0.75}
     ).withColumnRenamed("series", "feature")
     value = F.col("value")
     moments = (
@@ -83,10 +76,8 @@ def rank_tests(
     no values on either side are left out.
     """
     both = _sides(reference, current, features)
-    long = long_values(
-        both, features, {"ref": F.col("is_ref"), "cur": F.lit(1) - F.col("is_ref")}, rows_per_bucket
-    )
-    ranks = running_totals(long, ["ref", "cur"])
+    weights = {"ref": F.col("is_ref"), "cur": F.lit(1) - F.col("is_ref")}
+    ranks = ranked_values(both, features, weights, rows_per_bucket)
     n1, n2 = F.col("ref_all").cast("double"), F.col("cur_all").cast("double")
     gap = F.abs(
         F.try_divide(F.col("ref_below") + F.col("ref"), n1)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
-from cohortflow.functions.ranks import ROWS_PER_BUCKET, long_values, running_totals
+from cohortflow.functions.ranks import ROWS_PER_BUCKET, ranked_values
 from cohortflow.functions.scalars import ratio
 
 
@@ -21,10 +21,8 @@ def score_ranks(
     """Distinct scores with positives and negatives at, below and overall, per score column."""
     positive = F.col(label).cast("long")
     labelled = scored.where(F.col(label).isNotNull())
-    long = long_values(
-        labelled, scores, {"pos": positive, "neg": F.lit(1) - positive}, rows_per_bucket
-    )
-    return running_totals(long, ["pos", "neg"])
+    weights = {"pos": positive, "neg": F.lit(1) - positive}
+    return ranked_values(labelled, scores, weights, rows_per_bucket)
 
 
 def auroc_from_ranks(ranks: DataFrame) -> DataFrame:

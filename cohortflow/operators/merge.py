@@ -46,12 +46,17 @@ def key_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS) -
     )
 
 
+def _distinct(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Set operations join on the keys; distinct ones first, so that copies never travel."""
+    return df.select(*keys).distinct()
+
+
 def keys_intersect(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    return left.select(*keys).intersect(right.select(*keys))
+    return _distinct(left, keys).intersect(_distinct(right, keys))
 
 
 def keys_except(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    return left.select(*keys).subtract(right.select(*keys))
+    return _distinct(left, keys).subtract(_distinct(right, keys))
 
 
 def merge_training(

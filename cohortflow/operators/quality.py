@@ -16,8 +16,10 @@ from cohortflow.functions.ranks import (
     exact_quantiles,
     long_values,
     running_totals,
+    split_points,
+    value_counts,
 )
-from cohortflow.functions.scalars import days, nan_to_null, time_literal
+from cohortflow.functions.scalars import days, time_literal
 from cohortflow.operators.windows import DAY, running_counts, span_cells, time_cell
 
 NUMERIC = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType)
@@ -75,19 +77,7 @@ def dataset_overview(
 
 def feature_histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
     """(feature, bin, bin_low, n): equal-width bins between a feature's min and max."""
-    values = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("feature"),
-                        nan_to_null(F.col(c).cast("double")).alias("value"),
-                    )
-                    for c in columns
-                ]
-            )
-        )
-    ).where(F.col("value").isNotNull())
+    values = long_values(df, columns, {}, "feature").where(F.col("value").isNotNull())
     # One row per feature.
     ranges = values.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     low, high = widened(F.col("lo"), F.col("hi"))
@@ -108,19 +98,20 @@ def feature_boxstats(
 
     Whiskers are the furthest values within 1.5 interquartile ranges of the box.
     """
-    long = long_values(df, columns, {"n": F.lit(1).cast("long")}, rows_per_bucket)
-    totals = running_totals(long, ["n"])
+    rows = {"n": F.lit(1).cast("long")}
+    counts = value_counts(df, columns, rows)
+    totals = running_totals(df, counts, rows, split_points(df, columns, rows_per_bucket))
     boxes = exact_quantiles(totals, "n", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     # One row per feature on the broadcast side.
     return (
-        long.join(F.broadcast(boxes), "series")
+        counts.join(F.broadcast(boxes), "series")
         .groupBy(F.col("series").alias("feature"), "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("low_whisker"),
             F.max(F.when(inside, F.col("value"))).alias("high_whisker"),
-            F.count_if(~inside).alias("n_outliers"),
+            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outliers"),
         )
     )
 

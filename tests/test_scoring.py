@@ -84,8 +84,7 @@ def test_exact_quantiles(spark, rows_per_bucket):
     rng = random.Random(4)
     values = [rng.choice([1.0, rng.uniform(0, 9)]) for _ in range(101)] + [None, float("nan")]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    long = ranks.long_values(df, ["v"], {"n": F.lit(1)}, rows_per_bucket)
-    totals = ranks.running_totals(long, ["n"])
+    totals = ranks.ranked_values(df, ["v"], {"n": F.lit(1)}, rows_per_bucket)
     found = ranks.exact_quantiles(totals, "n", {"a": 0.25, "b": 0.5, "c": 0.9, "d": 1.0}).first()
     expected = np.quantile(values[:101], [0.25, 0.5, 0.9, 1.0])
     assert list(found)[1:] == pytest.approx(list(expected))
