@@ -61,10 +61,9 @@ def nan_to_null(value: Column) -> Column:
 
 
 def code_in(code: Column, codes: Sequence[str]) -> Column:
-    """Membership in a code set; nothing belongs to the empty set."""
-    if not codes:
-        return F.lit(False)
-    return F.coalesce(code.cast("string").isin(list(codes)), F.lit(False))
+    """Membership in a code set, in the plain form that scans can push down. Nothing
+    belongs to the empty set."""
+    return code.cast("string").isin(list(codes)) if codes else F.lit(False)
 
 
 def text_matches(text: Column, term: str) -> Column:

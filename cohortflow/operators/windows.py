@@ -172,6 +172,22 @@ def _merge(pairs: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -
     return pairs.groupBy(*keys).agg(*merged)
 
 
+def _passes(measures: Sequence[Measure]) -> list[tuple[list[Measure], Column | None]]:
+    """Measures to compute together, with a filter for the rows they need.
+
+    Latest values make Spark aggregate by sorting, so measures of selected rows go by
+    themselves over those rows; plain counts then hash two columns of all rows.
+    """
+    if not any(isinstance(m, Last) for m in measures):
+        return [(list(measures), None)]
+    plain = [m for m in measures if isinstance(m, Count) and m.where is None]
+    chosen = [m for m in measures if not (isinstance(m, Count) and m.where is None)]
+    wanted = chosen[0].where
+    for measure in chosen[1:]:
+        wanted = wanted | measure.where
+    return [(plain, None)] * bool(plain) + [(chosen, wanted)]
+
+
 def join_cells(
     index: DataFrame,
     cells: DataFrame,
@@ -225,23 +241,34 @@ def lookback_aggregates(
     of the same index rows that already has other columns; it is extended instead.
     """
     rows = index if onto is None else onto
-    counts = {m.name: 0 for m in measures if isinstance(m, Count)}
+    time = F.col(event_time)
     if at is not None:
         high = time_literal(at, events, event_time)
-        seen = events.where(F.col(event_time).between(high - days(lookback_days), high))
-        found = seen.groupBy(entity).agg(*[c for m in measures for c in _direct(m, event_time)])
-        return rows.join(found, entity, "left").fillna(counts)
-
-    low, high = index_bounds(index, as_of)
-    cells = (
-        events.where(F.col(event_time).between(low - days(lookback_days), high))
-        .withColumn("_cell", time_cell(F.col(event_time), grain))
-        .groupBy(entity, "_cell")
-        .agg(*_states(measures, event_time))
-    )
-    pairs = join_cells(index, cells, entity, as_of, -span_cells(lookback_days, grain), 0, grain)
-    found = _merge(pairs, [entity, as_of], measures)
-    return rows.join(found, [entity, as_of], "left").fillna(counts)
+        low = high - days(lookback_days)
+    else:
+        first, high = index_bounds(index, as_of)
+        low = first - days(lookback_days)
+    seen = events.where(time.between(low, high))
+    for group, wanted in _passes(measures):
+        chosen = seen if wanted is None else seen.where(wanted)
+        if at is not None:
+            keys = [entity]
+            found = chosen.groupBy(entity).agg(
+                *[c for m in group for c in _direct(m, event_time)]
+            )
+        else:
+            keys = [entity, as_of]
+            cells = (
+                chosen.withColumn("_cell", time_cell(time, grain))
+                .groupBy(entity, "_cell")
+                .agg(*_states(group, event_time))
+            )
+            pairs = join_cells(
+                index, cells, entity, as_of, -span_cells(lookback_days, grain), 0, grain
+            )
+            found = _merge(pairs, keys, group)
+        rows = rows.join(found, keys, "left")
+    return rows.fillna({m.name: 0 for m in measures if isinstance(m, Count)})
 
 
 def count_horizons(
