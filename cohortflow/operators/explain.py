@@ -210,7 +210,7 @@ def explanation_text(
     blocks = F.transform(
         F.slice(by_magnitude(contributions), 1, 5),
         lambda c, i: F.format_string(
-            "### %d. %s\n- **Value:** %.2f\n- **Contribution:** %+.3f\n- **Effect:** %s risk\n",
+            defaults.EXPLANATION_FEATURE,
             i + 1,
             c["feature"],
             c["value"],
@@ -219,25 +219,15 @@ def explanation_text(
         ),
     )
     head = F.format_string(
-        "# Risk Prediction Explanation Report\n**Patient ID:** %s\n**Generated:** %s\n\n"
-        "## Prediction Summary\n- **Risk Score:** %.3f\n- **Risk Level:** %s\n"
-        "- **Base Risk:** %.3f\n\n## Feature Contributions\n"
-        "The following features contributed most to this prediction:\n",
+        defaults.EXPLANATION_HEAD,
         subject.cast("string"),
         F.date_format(generated, "yyyy-MM-dd HH:mm:ss"),
         probability,
         F.initcap(risk_band(probability, strict=True)),
         base,
     )
-    tail = (
-        "## Interpretation\n"
-        "This prediction is based on the patient's clinical features over the past 180 days.\n"
-        "Positive contributions increase the risk of deterioration, "
-        "while negative contributions decrease it.\n\n"
-        "**Note:** This explanation is for informational purposes and should be interpreted "
-        "by qualified healthcare professionals."
-    )
-    return F.concat_ws("\n", head, F.concat_ws("\n", blocks), F.lit(tail))
+    tail = F.lit(defaults.EXPLANATION_TAIL)
+    return F.concat_ws("\n", head, F.concat_ws("\n", blocks), tail)
 
 
 def high_risk_explanations(

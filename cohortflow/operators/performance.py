@@ -39,8 +39,7 @@ def metric_degradation(
 def metric_alerts(degradation: DataFrame) -> DataFrame:
     """(metric, alert) for each degraded metric."""
     text = F.format_string(
-        "Performance degradation detected in %s: %.3f → %.3f (change: %+.3f)",
-        "metric", "baseline", "current", "change",
+        defaults.DEGRADATION_ALERT, "metric", "baseline", "current", "change"
     )
     return degradation.where("degraded").select("metric", text.alias("alert"))
 

@@ -39,12 +39,8 @@ def monitoring_status(
         F.coalesce("alerts", F.array().cast("array<string>")).alias("declines"),
         drifted.alias("drifted"),
         biased.alias("biased"),
-        F.concat(
-            F.lit("Data drift detected in "), d["drifted_features"].cast("string"), F.lit(" features")
-        ).alias("drift_text"),
-        F.concat(
-            F.lit("Bias detected in "), b["biased_attributes"].cast("string"), F.lit(" attributes")
-        ).alias("bias_text"),
+        F.format_string(defaults.DRIFT_ALERT, d["drifted_features"].cast("string")).alias("drift_text"),
+        F.format_string(defaults.BIAS_ALERT, b["biased_attributes"].cast("string")).alias("bias_text"),
     )
     declined, warned = F.col("declined"), F.col("drifted") | F.col("biased")
     if reference_precedence:
