@@ -11,14 +11,19 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow import defaults
+from cohortflow.functions import trees
 from cohortflow.functions.scalars import risk_band
-from cohortflow.operators.train import row_hash
 from cohortflow.functions.trees import Forest, exact_shapley
+from cohortflow.operators.train import row_hash
+
+# The tree helpers travel with the task, so that executors need not have this package.
+register_pickle_by_value(trees)
 
 CONTRIBUTIONS = "array<struct<feature: string, value: double, phi: double>>"
 
