@@ -6,7 +6,8 @@ import re
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload.base import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -44,11 +45,11 @@ def check_plan(name, plan):
             assert not any("SinglePartition" in below for below in lines[i + 1 : i + 4]), name
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     check_plan(name, plan_of(df))
-    sql = oracle_sql().get(name)
+    sql = ORACLES.get(name)
     got = [tuple(row[c] for c in sorted(df.columns)) for row in df.collect()]
     if sql is None:
         assert got
@@ -67,10 +68,10 @@ def test_entry(spark):
 
 def test_literal_windows_reach_the_scan(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    plan = queries()["make_labels"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["make_labels"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(o_orderdate,1998-06-30" in plan
     assert "LessThanOrEqual(o_orderdate,1998-09-28" in plan
-    plan = queries()["lookback_obs_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["lookback_obs_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate,1998-01-01" in plan
     # Neither prices nor flags are read for a count.
     assert "l_extendedprice" not in plan and "l_returnflag" not in plan
