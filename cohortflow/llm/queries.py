@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import token_counts, token_files, trie_bpe
+from cohortflow.llm import simhash, token_counts, token_files, trie_bpe
 from cohortflow.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return trie_bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text")
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
