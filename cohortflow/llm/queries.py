@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import simhash, token_counts, token_files, trie_bpe
+from cohortflow.llm import embedding_dedup, mixing, scaled_sketch, simhash, token_counts, token_files, trie_bpe
+from cohortflow.session import ship_package
 from cohortflow.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,8 +18,11 @@ END_ID = 2
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = build
-    return build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(ship_package(spark), sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,3 +51,21 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.edited_pairs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_mixing"] = mixing.SQL
