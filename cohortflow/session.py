@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_archives: dict[str, str] = {}
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -36,6 +42,20 @@ def build_session(
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Lets executors import this package where their Python path does not hold it already, as it does
+    after spark-submit with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return spark
+    archive = _archives.get(root)
+    if archive is None:
+        base = os.path.join(tempfile.mkdtemp(), "cohortflow")
+        archive = _archives[root] = shutil.make_archive(base, "zip", root, "cohortflow")
+    spark.sparkContext.addPyFile(archive)  # nothing happens if it was added before
+    return spark
+
+
 def pin_time_zone(spark: SparkSession) -> SparkSession:
     """Day boundaries are UTC midnights, whatever the caller's session had."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortflow.session import pin_time_zone
+from cohortflow.session import pin_time_zone, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(build(pin_time_zone(spark), sf_dir))
+            return plain(build(pin_time_zone(ship_package(spark)), sf_dir))
 
         QUERIES[name] = run
         if sql is not None:
