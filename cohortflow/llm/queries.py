@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import embedding_dedup, mixing, scaled_sketch, simhash, token_counts, token_files, trie_bpe
+from cohortflow.llm import (
+    embedding_dedup,
+    language,
+    licenses,
+    mixing,
+    quality,
+    scaled_sketch,
+    simhash,
+    token_counts,
+    token_files,
+    trie_bpe,
+)
+from cohortflow.llm.common import held_out
 from cohortflow.session import ship_package
 from cohortflow.sources.scratch import scratch_path
 
@@ -69,3 +81,26 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_mixing"] = mixing.SQL
+
+
+@query
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, field).withColumn("held_out", held_out("doc_id")).drop("text")
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    samples = language.learn(docs)
+    found = language.identify(docs.select("doc_id", "text"), samples)
+    return found.withColumn("held_out", held_out("doc_id")).drop("text")
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_license_scan"] = licenses.sql()
