@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from cohortflow.llm.common import hash_fraction, held_out, quoted, texts_in_slices, with_struct
+from cohortflow.llm.pieces import release
 from cohortflow.sources.scratch import settle
 
 #: Documents of each language that a sample is drawn from, and its normalised characters at most.
@@ -202,6 +203,7 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], text_col: st
 
     @arrow_udf("struct<lang_pred string, score double>")
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         parser = _parser(samples) if samples else None
         for column in batches:
             langs, scores = [], [np.zeros(0)]

@@ -40,6 +40,15 @@ def raw(piece: str) -> str:
     return piece[1:] if piece.startswith(HEAD) else " " + piece
 
 
+on_release: list[Callable[[], None]] = []
+
+
+def release() -> None:
+    """Empties the tables of a worker that goes on with another operator."""
+    for empty in on_release:
+        empty()
+
+
 class PieceTable:
     """``values`` maps raw pieces to one value each."""
 
@@ -47,6 +56,10 @@ class PieceTable:
         self.values, self.limit = values, limit
         self.known: dict[str, object] = {}
         self.glued = {""}  # pieces after which a space may not be cut
+        on_release.append(self.empty)
+
+    def empty(self) -> None:
+        self.known, self.glued = {}, {""}
 
     def rows(self, texts: list[str]) -> list[list]:
         """The values of the pieces of each text, in order."""

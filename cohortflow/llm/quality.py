@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from cohortflow.llm.common import hash_fraction, held_out, quoted, texts_in_slices, with_struct
+from cohortflow.llm.pieces import release
 
 #: Labelled documents of each class that the field is fitted on, about.
 SAMPLE_DOCS = 1_000
@@ -249,6 +250,7 @@ def score(docs: DataFrame, field: Field, threshold: float = THRESHOLD, text_col:
 
     @arrow_udf("struct<score double, predicted int>")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for column in batches:
             found = np.concatenate([np.zeros(0), *[score_texts(field, texts) for texts in texts_in_slices(column)]])
             yield pa.StructArray.from_arrays(

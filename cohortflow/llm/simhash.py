@@ -22,6 +22,7 @@ from pyspark.sql.functions import arrow_udf
 
 from cohortflow.llm.blocks import Forest, grouped_batches, with_block_pairs
 from cohortflow.llm.common import quoted, texts_in_slices, unused
+from cohortflow.llm.pieces import release
 from cohortflow.llm.components import connected_components
 from cohortflow.sources.scratch import settle
 
@@ -61,6 +62,7 @@ def fingerprints(text: Column, shingle_words: int = SHINGLE_WORDS) -> Column:
 
     @arrow_udf("long")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for column in batches:
             found = [fingerprint(t, shingle_words) for texts in texts_in_slices(column) for t in texts]
             yield pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())

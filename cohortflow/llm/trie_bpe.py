@@ -22,7 +22,7 @@ from pyspark.sql.functions import arrow_udf
 from tokenizers.pre_tokenizers import ByteLevel
 
 from cohortflow.llm.common import quoted, texts_in_slices, with_struct
-from cohortflow.llm.pieces import WORD_PATTERN, PieceTable, Splitter, load
+from cohortflow.llm.pieces import WORD_PATTERN, PieceTable, Splitter, load, on_release
 
 KNOWN_SEAMS = 2_000_000
 NEVER = 1 << 60
@@ -264,6 +264,7 @@ class WordCoder:
 @lru_cache(maxsize=2)
 def _coder(path: str) -> tuple[WordCoder, PieceTable]:
     coder = WordCoder(path)
+    on_release.append(coder.encoder.seams.clear)
     return coder, PieceTable(coder.values, limit=300_000)
 
 
