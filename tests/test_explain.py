@@ -163,9 +163,8 @@ def test_high_risk_report(linear):
     rows = {r["patient"]: r["report"] for r in found.collect()}
     assert set(rows) == {"x", "z"}
     text = rows["x"]
-    assert text.startswith("# Risk Prediction Explanation Report\n**Patient ID:** x\n"
-                           "**Generated:** 2024-05-06 07:08:09\n\n## Prediction Summary\n"
-                           "- **Risk Score:** 0.900\n- **Risk Level:** High\n- **Base Risk:** 2.500")
-    assert "### 1. u\n- **Value:** 1.00\n- **Contribution:** -2.000\n- **Effect:** decreases risk" in text
-    assert "### 2. v\n" in text and "- **Effect:** increases risk" in text
-    assert "**Risk Level:** Medium" in rows["z"]
+    assert text.startswith("# Why this score\nEntity x, written 2024-05-06 07:08:09\n\n"
+                           "- score 0.900 (High)\n- score without any feature 2.500")
+    assert "1. u\n   - value 1.00\n   - share -2.000, which decreases the score" in text
+    assert "2. v\n" in text and "which increases the score" in text
+    assert "(Medium)" in rows["z"]
