@@ -5,15 +5,16 @@ shingles of five, and shingles into windows of two that start at every shingle.
 band is the smallest of its shingles' hashes in that band. A window that lies in an occurrence of a
 template equals a window of that template and shares all its keys; an occurrence of a single shingle
 misses a band only if both its neighbours in the text have smaller hashes, one time in three, so it
-misses all ten bands one time in 59,049. Retrieved templates are then compared with regions of the
-text that are twice as long as the template and start at each multiple of its length.
+misses all ten bands one time in 59,049. A retrieved template is then compared with those regions of
+the text that meet a window which retrieved it; regions are twice as long as the template and start
+at each multiple of its length.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import quoted
@@ -86,51 +87,54 @@ def shingle_hashes(of: Column) -> Column:
     )
 
 
-def band_keys(hashes: Column, band: int) -> Column:
-    """The key of the window at each shingle; the last window is shorter."""
-    return let(
-        F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band))),
-        lambda m: F.transform(m, lambda x, i: reduce(F.least, [F.get(m, i + k) for k in range(1, WINDOW_SHINGLES)], x)),
-    )
-
-
-def _long(value: int) -> str:
-    return f"CAST('{value}' AS BIGINT)"
+def band_key(hashes: Column, at: Column, band: int) -> Column:
+    """The key of the window that starts at a shingle; the last window is shorter."""
+    own = [F.get(hashes, at + k) for k in range(WINDOW_SHINGLES)]
+    return F.least(*[F.when(h.isNotNull(), F.xxhash64(h, F.lit(band))) for h in own])
 
 
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _literal(values: list[str]) -> Column:
-    return F.expr(f"array({', '.join(values)})")
+def _literal_map(values: dict[str, list[str]]) -> Column:
+    return F.expr("map(" + ", ".join(f"{_text(k)}, array({', '.join(map(_text, v))})" for k, v in values.items()) + ")")
+
 
+def template_keys(named: DataFrame) -> dict[str, list[set[int]]]:
+    """The keys of every template in each band."""
+    keyed = named.withColumn("hashes", shingle_hashes(words(F.col("text"))))
 
-def _literal_map(values: dict[str, list[str]]) -> Column:
-    return F.expr("map(" + ", ".join(f"{k}, array({', '.join(map(_text, v))})" for k, v in values.items()) + ")")
-
-
-def _looked_up(keys: Column, table: Column) -> Column:
-    return F.transform(keys, lambda k: F.element_at(table, k))
-
-
-def template_keys(spark: SparkSession, templates: dict[str, str]) -> list[dict[int, list[str]]]:
-    """For each band, the names of the templates that have a key."""
-    named = spark.createDataFrame(sorted(templates.items()), "name string, text string")
-    named = named.withColumn("hashes", shingle_hashes(words(F.col("text"))))
-    rows = named.select("name", *[band_keys(F.col("hashes"), b).alias(f"b{b}") for b in range(BANDS)]).collect()
-    found: list[dict[int, list[str]]] = [{} for _ in range(BANDS)]
-    for row in rows:
-        if not row["b0"]:
-            raise ValueError(f"template {row['name']} has fewer than {SHINGLE_WORDS} words")
-        for b in range(BANDS):
-            for key in row[f"b{b}"]:
-                names = found[b].setdefault(key, [])
-                if row["name"] not in names:
-                    names.append(row["name"])
+    def band(b: int) -> Column:
+        return F.transform(_starts(F.size("hashes")), lambda i: band_key(F.col("hashes"), i, b))
+
+    rows = keyed.select("name", F.array(*[band(b) for b in range(BANDS)]).alias("keys")).collect()
+    found = {row["name"]: [set(k) for k in row["keys"]] for row in rows}
+    short = sorted(name for name, bands in found.items() if not bands[0])
+    if short:
+        raise ValueError(f"templates of fewer than {SHINGLE_WORDS} words: {short}")
     return found
 
 
+def _retrieves(hashes: Column, at: Column, keys: list[set[int]]) -> Column:
+    return reduce(Column.__or__, [band_key(hashes, at, b).isin(sorted(k)) for b, k in enumerate(keys)])
+
+
+def _retrieved(hashes: Column, keys: dict[str, list[set[int]]]) -> Column:
+    """For each template that a window retrieves, its name and the places of all such windows."""
+    every = [set().union(*(k[b] for k in keys.values())) for b in range(BANDS)]
+
+    def by_template(places: Column) -> Column:
+        def own(name: str) -> Column:
+            at = F.filter(places, lambda i: _retrieves(hashes, i, keys[name]))
+            return F.struct(F.lit(name).alias("template"), at.alias("places"))
+
+        return F.filter(F.array(*map(own, sorted(keys))), lambda t: F.size(t["places"]) > 0)
+
+    places = F.filter(_starts(F.size(hashes)), lambda i: _retrieves(hashes, i, every))
+    return let(places, lambda at: F.when(F.size(at) > 0, by_template(at)))
+
+
 def scan(
     docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -142,32 +146,31 @@ def scan(
     empty table gives an empty one. Other columns are not read, whatever their names. No row is
     shuffled: the templates' keys are literals of the plan.
     """
-    keys = template_keys(docs.sparkSession, templates)
-    rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"))
-
-    def retrieved(hashes: Column) -> Column:
-        bands = []
-        for b, names in enumerate(keys):
-            shared = F.array_intersect(band_keys(hashes, b), _literal([_long(k) for k in names]))
-            table = _literal_map({_long(k): v for k, v in names.items()})
-            bands.append(F.flatten(_looked_up(shared, table)))
-        return F.array_distinct(F.concat(*bands))
-
-    found = rows.withColumn("found", let(shingle_hashes(words(F.col("text"))), retrieved)).where(F.size("found") > 0)
-    held = {n: [] for n in templates}
-    for row in docs.sparkSession.createDataFrame(sorted(templates.items()), "name string, text string").select(
-        "name", F.array_distinct(shingles(words(F.col("text")))).alias("s")
-    ).collect():
-        held[row["name"]] = row["s"]
-    table = _literal_map({_text(n): s for n, s in held.items()})
-    pairs = found.select("doc_id", shingles(words(F.col("text"))).alias("shingles"), F.explode("found").alias("template"))
-    pairs = pairs.withColumn("wanted", F.element_at(table, F.col("template")))
+    named = docs.sparkSession.createDataFrame(sorted(templates.items()), "name string, text string")
+    keys = template_keys(named)
+    held = named.select("name", F.array_distinct(shingles(words(F.col("text")))).alias("s")).collect()
+    table = _literal_map({row["name"]: row["s"] for row in held})
+
+    rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), words(F.col(quoted(text_col))).alias("words"))
+    found = let(shingle_hashes(F.col("words")), lambda hashes: _retrieved(hashes, keys))
+    # An outer generator takes no inferred filter, which would work every text out twice.
+    pairs = rows.select("doc_id", "words", F.explode_outer(found).alias("found")).where(F.col("found").isNotNull())
+    pairs = pairs.select("doc_id", "words", "found.*").withColumn("wanted", F.element_at(table, F.col("template")))
     n = F.size("wanted")
-    at = F.sequence(F.lit(0), F.greatest(F.size("shingles") - n, F.lit(0)), n)
-    parts = F.transform(
-        at, lambda i: F.size(F.array_intersect(F.slice(F.col("shingles"), i + 1, 2 * n), F.col("wanted"))) / n
-    )
-    pairs = pairs.select("doc_id", "template", parts.alias("parts"))
+    last = F.floor(F.greatest(F.size("words") - (SHINGLE_WORDS - 1) - n, F.lit(0)) / n).cast("int")
+
+    def regions_at(place: Column) -> Column:
+        """The numbers of the regions that meet the window at a place."""
+        first = F.greatest(F.floor(place / n).cast("int") - 1, F.lit(0))
+        end = F.floor((place + (WINDOW_SHINGLES - 1)) / n).cast("int")
+        return F.filter(F.sequence(first, F.greatest(end, first)), lambda k: k <= last)
+
+    def part(region: Column) -> Column:
+        inside = F.slice(F.col("words"), region * n + 1, 2 * n + (SHINGLE_WORDS - 1))
+        return F.size(F.array_intersect(shingles(inside), F.col("wanted"))) / n
+
+    regions = F.array_distinct(F.flatten(F.transform("places", regions_at)))
+    pairs = pairs.select("doc_id", "template", F.transform(regions, part).alias("parts"))
     pairs = pairs.select(
         F.col("doc_id").alias(id_col),
         "template",
