@@ -23,12 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import quoted, texts_in_slices
-from cohortflow.llm.pieces import BYTE_PATTERN, KNOWN_CHARS, PieceTable, Splitter, load
+from cohortflow.llm.pieces import PieceTable, Special, load
 
 NULL_ID = -(1 << 63)
 READ_DOCS = 20_000
-ENCODED_AT_ONCE = 4_000
-KNOWN_WORDS = 500_000
+ENCODED_CHARS = 30_000
 
 
 def mounted(folder: str) -> str:
@@ -42,31 +41,54 @@ def mounted(folder: str) -> str:
 @lru_cache(maxsize=2)
 def _piece_ids(path: str, kind: str) -> PieceTable:
     tokenizer = load(path)
-    splitter = Splitter(tokenizer, BYTE_PATTERN)
-    known: dict[str, bytes] = {}
+    special = Special(tokenizer)
+    mark = separator(special)
+    width = np.dtype(kind).itemsize
+
+    def ids(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, kind) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def values(pieces: list[str]) -> list[bytes]:
-        split = splitter.split(pieces)
-        used = {w for own in split for w in own if w.__class__ is str}
-        if len(known) + len(used) > KNOWN_WORDS:
-            known.clear()
-        new = list(used.difference(known))
-        for i in range(0, len(new), ENCODED_AT_ONCE):
-            some = new[i : i + ENCODED_AT_ONCE]
-            for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[w] = np.array(e.ids, kind).tobytes()
-        out = [
-            b"".join([known[w] if w.__class__ is str else np.array([w], kind).tobytes() for w in own])
-            for own in split
-        ]
-        for w in new:
-            if len(w) > KNOWN_CHARS:
-                del known[w]
+        out: list[bytes] = [b""] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if mark is not None and not special.within(p)]
+        for some in groups(plain, pieces):
+            found = ids([mark.join([pieces[i] for i in some])])[0]
+            cuts = (width * np.flatnonzero(found == special.ids[mark])).tolist()
+            flat = found.tobytes()
+            for i, start, end in zip(some, [0, *(c + width for c in cuts)], [*cuts, len(flat)], strict=True):
+                out[i] = flat[start:end]
+        apart = sorted(set(range(len(pieces))).difference(plain))
+        for some in groups(apart, pieces):
+            for i, found in zip(some, ids([pieces[i] for i in some])):
+                out[i] = found.tobytes()
         return out
 
     return PieceTable(values)
 
 
+def separator(special: Special) -> str | None:
+    """A special string that parts what stands before it from what follows, wherever it is put; the
+    library encodes many pieces in one text faster than each on its own. None if there are several
+    special strings, which could overlap, or if the only one can overlap itself."""
+    if len(special.ids) != 1:
+        return None
+    (text,) = special.ids
+    return None if any(text.startswith(text[k:]) for k in range(1, len(text))) else text
+
+
+def groups(places: list[int], pieces: list[str]) -> Iterator[list[int]]:
+    """The places in order, some thousand characters at a time."""
+    some, held = [], 0
+    for i in places:
+        some.append(i)
+        held += len(pieces[i]) + 1
+        if held >= ENCODED_CHARS:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
 def write_token_files(
     docs: DataFrame,
     folder: str,
