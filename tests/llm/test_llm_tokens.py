@@ -112,3 +112,21 @@ def test_settled_classes_below_u0250():
         for piece, words in zip(pieces, splitter.split(pieces)):
             text = normal(piece) if normal else piece
             assert words == [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
+
+
+class Strings:
+    def __init__(self, *texts):
+        self.ids = {t: i for i, t in enumerate(texts)}
+
+
+def test_only_a_string_that_cannot_overlap_parts_pieces():
+    assert token_files.separator(Strings("<|endoftext|>")) == "<|endoftext|>"
+    for unfit in (Strings(), Strings("<a>", "<b>"), Strings("aba"), Strings("aa")):
+        assert token_files.separator(unfit) is None
+
+
+def test_groups_hold_every_place_once_in_order():
+    pieces = ["x" * n for n in (1, 0, 50_000, 7, 29_999, 2, 3)]
+    found = list(token_files.groups([0, 1, 2, 4, 5, 6], pieces))
+    assert found == [[0, 1, 2], [4], [5, 6]]
+    assert list(token_files.groups([], pieces)) == []
