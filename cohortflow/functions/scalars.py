@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortflow import defaults
 
@@ -60,6 +61,15 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def nan_as_missing(df: DataFrame) -> DataFrame:
+    """``df`` with NULL for NaN in its floating-point columns, so that both count as missing."""
+    floating = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    if not floating:
+        return df
+    columns = [(name, F.col("`" + name.replace("`", "``") + "`")) for name in df.columns]
+    return df.select(*[nan_to_null(c).alias(n) if n in floating else c for n, c in columns])
+
+
 def code_in(code: Column, codes: Sequence[str]) -> Column:
     """Membership in a code set, in the plain form that scans can push down. Nothing
     belongs to the empty set."""

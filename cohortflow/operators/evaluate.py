@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortflow import defaults
 from cohortflow.functions.ranks import ROWS_PER_BUCKET, ranked_values
-from cohortflow.functions.scalars import ratio
+from cohortflow.functions.scalars import nan_as_missing, ratio
 
 
 def score_ranks(
@@ -20,7 +20,7 @@ def score_ranks(
 ) -> DataFrame:
     """Distinct scores with positives and negatives at, below and overall, per score column."""
     positive = F.col(label).cast("long")
-    labelled = scored.where(F.col(label).isNotNull())
+    labelled = nan_as_missing(scored).where(F.col(label).isNotNull())
     weights = {"pos": positive, "neg": F.lit(1) - positive}
     return ranked_values(labelled, scores, weights, rows_per_bucket)
 
@@ -56,7 +56,7 @@ def average_precision(
 def brier(scored: DataFrame, scores: Sequence[str], label: str = defaults.TARGET) -> DataFrame:
     """(series, brier) for every score column, one aggregate."""
     y = F.col(label).cast("double")
-    means = scored.agg(*[F.avg(F.pow(F.col(s) - y, F.lit(2.0))).alias(s) for s in scores])
+    means = nan_as_missing(scored).agg(*[F.avg(F.pow(F.col(s) - y, F.lit(2.0))).alias(s) for s in scores])
     rows = [F.struct(F.lit(s).alias("series"), F.col(s).alias("brier")) for s in scores]
     return means.select(F.inline(F.array(*rows)))
 
@@ -97,7 +97,7 @@ def confusion_at_thresholds(
         reached = reached + (F.col(score) >= F.lit(float(cut))).cast("int")
     y = F.col(label)
     levels = (
-        scored.where(y.isNotNull() & F.col(score).isNotNull())
+        nan_as_missing(scored).where(y.isNotNull() & F.col(score).isNotNull())
         .groupBy(*by, reached.alias("_level"))
         .agg(F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg"))
     )
@@ -192,7 +192,7 @@ def metrics_row(
             F.sum(F.when(mine, step)).alias(f"auprc_{suffix}"),
         ]
     y = F.col(label).cast("double")
-    errors = scored.agg(
+    errors = nan_as_missing(scored).agg(
         F.struct(
             *[
                 F.avg(F.pow(F.col(column) - y, F.lit(2.0))).alias(suffix)

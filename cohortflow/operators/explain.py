@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from cohortflow import defaults
 from cohortflow.functions import trees
-from cohortflow.functions.scalars import risk_band
+from cohortflow.functions.scalars import nan_as_missing, risk_band
 from cohortflow.functions.trees import Forest, exact_shapley
 from cohortflow.operators.train import row_hash
 
@@ -33,6 +33,7 @@ def linear_shap(df: DataFrame, weights: Mapping[str, float], intercept: float =
 
     A missing value contributes nothing, as if it were the mean.
     """
+    df = nan_as_missing(df)
     means = df.agg(
         F.struct(*[F.avg(F.col(f).cast("double")).alias(f) for f in weights])
     ).scalar()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
+from cohortflow.functions.scalars import nan_as_missing
 
 
 def bias_group_stats(
@@ -30,7 +31,7 @@ def bias_group_stats(
     rate = F.avg(F.col(label).cast("double")) if label in scored.columns else F.lit(None).cast("double")
     kept = [c for c in (score, label) if c in scored.columns]
     return (
-        scored.select(*kept, F.inline(F.array(*parts)))
+        nan_as_missing(scored).select(*kept, F.inline(F.array(*parts)))
         .where(F.col("group").isNotNull())
         .groupBy("attribute", "group")
         .agg(

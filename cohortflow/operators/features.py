@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
-from cohortflow.functions.scalars import band, code_in, split_names, text_matches, tolerant_number
+from cohortflow.functions.scalars import (
+    band,
+    code_in,
+    nan_as_missing,
+    split_names,
+    text_matches,
+    tolerant_number,
+)
 from cohortflow.operators.windows import (
     DAY,
     Count,
@@ -102,7 +109,7 @@ def clinical_bands(
 
 def nonnull_counts(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, n_nonnull, n_rows) from one aggregate."""
-    counts = features.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns])
+    counts = nan_as_missing(features).agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns])
     rows = [
         F.struct(
             F.lit(c).alias("feature"),

@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 
 from cohortflow import defaults
 from cohortflow.functions.scalars import days, split_names, time_literal
-from cohortflow.operators.windows import DAY, index_bounds, join_cells, span_cells, time_cell
+from cohortflow.operators.windows import (
+    DAY,
+    cut_events,
+    exact_grain,
+    index_bounds,
+    instant,
+    join_cells,
+    span_cells,
+    time_cell,
+)
 
 
 def class_counts(encounters: DataFrame, event_class: str = "EncounterClass") -> DataFrame:
@@ -49,14 +58,20 @@ def make_labels(
     else:
         first, last = index_bounds(index, as_of)
         keys = [entity, as_of]
+        ahead = positive.where((time > first) & (time <= last + days(window_days)))
         cells = (
-            positive.where((time > first) & (time <= last + days(window_days)))
-            .select(entity, time_cell(time, grain).alias("_cell"))
+            ahead.select(entity, time_cell(time, grain).alias("_cell"))
             .distinct()
         )
         hits = join_cells(
             index, cells, entity, as_of, 1, span_cells(window_days, grain), grain
         ).select(*keys)
+        if exact_grain(index, as_of, grain) != grain:
+            ends = [0, span_cells(window_days, grain)]
+            cut = cut_events(index, ahead, event_time, ends, entity, as_of, grain)
+            since = instant(time) - instant(F.col("_as_of"))
+            inside = cut.where((since > 0) & (since <= window_days * DAY))
+            hits = hits.unionByName(inside.select(entity, F.col("_as_of").alias(as_of)))
     flagged = hits.distinct().withColumn(label, F.lit(1))
     return (
         index.select(entity, as_of)

@@ -19,8 +19,16 @@ from cohortflow.functions.ranks import (
     split_points,
     value_counts,
 )
-from cohortflow.functions.scalars import days, time_literal
-from cohortflow.operators.windows import DAY, running_counts, span_cells, time_cell
+from cohortflow.functions.scalars import days, nan_as_missing, time_literal
+from cohortflow.operators.windows import (
+    DAY,
+    cut_events,
+    exact_grain,
+    instant,
+    running_counts,
+    span_cells,
+    time_cell,
+)
 
 NUMERIC = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType)
 WHISKER = 1.5
@@ -39,6 +47,7 @@ def _per_column(df: DataFrame, aggregates: Mapping[str, Column], rows: list[Colu
 
 def feature_completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, nonnull_pct, n_missing, is_empty); the share of an empty table is NULL."""
+    df = nan_as_missing(df)
     counts = {"_rows": F.count("*"), **{c: F.count(c) for c in columns}}
     rows = [
         F.struct(
@@ -165,6 +174,25 @@ def leakage_audit(
         .agg(F.sum("_upto").alias("_upto"), F.sum("_old").alias("_old"))
     )
     found = running_counts(index, steps, ["_upto", "_old"], entity, as_of, grain)
+    if exact_grain(index, as_of, grain) != grain:
+        # Of the two cells that hold a window's ends, only a part lies before them.
+        ends = [-span_cells(lookback_days, grain), 0]
+        cut = cut_events(index, events, event_time, ends, entity, as_of, grain)
+        here, end = instant(time), instant(F.col("_as_of"))
+        parts = cut.groupBy(entity, F.col("_as_of").alias(as_of)).agg(
+            F.count_if((F.col("_offset") == 0) & (here > end)).alias("_late"),
+            F.count_if((F.col("_offset") != 0) & (here < end - lookback_days * DAY)).alias("_early"),
+        )
+        found = (
+            found.join(parts, [entity, as_of], "left")
+            .fillna(0, ["_late", "_early"])
+            .select(
+                entity,
+                as_of,
+                (F.col("_upto") - F.col("_late")).alias("_upto"),
+                (F.col("_old") + F.col("_early")).alias("_old"),
+            )
+        )
     totals = cells.groupBy(entity).agg(F.sum("_upto").alias("_all"))
     return (
         index.select(entity, as_of)
@@ -188,6 +216,7 @@ def target_correlation(
     limit: float = 0.9,
 ) -> DataFrame:
     """(feature, correlation, leaks): all features against the target in one aggregate."""
+    df = nan_as_missing(df)
     correlations = {
         c: F.corr(F.col(c).cast("double"), F.col(target).cast("double")) for c in columns
     }

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
+from cohortflow.functions.scalars import nan_as_missing
 from cohortflow.operators.calibrate import apply_isotonic
 from cohortflow.operators.merge import require_columns
 
@@ -101,6 +102,7 @@ def class_weights(df: DataFrame, target: str = defaults.TARGET) -> DataFrame:
 
 def with_missing_flags(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Features as doubles, each followed by a 0/1 column that marks it missing."""
+    df = nan_as_missing(df)
     return df.select(
         *[c for c in df.columns if c not in features],
         *[F.col(c).cast("double").alias(c) for c in features],

@@ -11,8 +11,10 @@ instant, and the rest of it. Events collapse into one mergeable state per
 (entity, cell), again by partial aggregation, and index rows meet states instead
 of events: equal (entity, stretch of cells), then a comparison of cells. How many
 pairs that makes depends on the calendar, not on the number of events. Windows of
-whole grains around an as_of on the grid are unions of whole cells, so results
-are exact; an as_of off the grid raises an error and needs a finer grain.
+whole grains around an as_of on the grid are unions of whole cells. Where an as_of
+lies off the grid its window cuts two cells; the events of those, and of no others,
+meet the index row themselves, by an equi-join on (entity, cell), and are aggregated
+as they meet. Results are exact for every as_of.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from pyspark.sql import functions as F
 from cohortflow.functions.scalars import days, time_literal
 
 DAY = 24 * 3600 * 1_000_000
+#: An hour, half an hour, a minute, a second, a millisecond.
+DIVISIONS = (3600 * 1_000_000, 1800 * 1_000_000, 60 * 1_000_000, 1_000_000, 1_000)
 
 
 @dataclass(frozen=True)
@@ -69,10 +73,20 @@ def time_cell(time: Column, grain: int = DAY) -> Column:
     )
 
 
-def grid_cell(as_of: Column, grain: int = DAY) -> Column:
-    cell = time_cell(as_of, grain)
-    off_grid = F.concat(F.lit("as_of is not on the time grid: "), as_of.cast("string"))
-    return F.when(cell % 2 == 0, cell).otherwise(F.raise_error(off_grid).cast("long"))
+def instant(time: Column) -> Column:
+    """Microseconds since the epoch."""
+    return F.unix_micros(time.cast("timestamp"))
+
+
+def exact_grain(index: DataFrame, as_of: str, grain: int = DAY) -> int:
+    """The coarsest of ``grain`` and its usual divisions that has every as_of on its grid.
+
+    One aggregate of a row; it decides how windows are computed, not what they hold.
+    """
+    choices = [grain] + [g for g in DIVISIONS if g < grain and grain % g == 0]
+    at = instant(F.col(as_of))
+    fits = index.agg(*[F.bool_and(F.pmod(at, F.lit(g)) == 0) for g in choices]).first()
+    return next(g for g, fit in zip([*choices, 1], [*fits, True]) if fit or fit is None)
 
 
 def span_cells(span_days: int, grain: int = DAY) -> int:
@@ -199,6 +213,7 @@ def join_cells(
 ) -> DataFrame:
     """Distinct index rows with the cells from ``first`` to ``last`` relative to theirs.
 
+    A row off the grid leaves out the cells its window cuts; see ``cut_events``.
     Both sides carry a stretch number of the window's width, so a window touches at
     most two stretches and the join stays an equi-join.
     """
@@ -206,7 +221,7 @@ def join_cells(
     windows = (
         index.select(entity, as_of)
         .distinct()
-        .withColumn("_at", grid_cell(F.col(as_of), grain))
+        .withColumn("_at", time_cell(F.col(as_of), grain))
         .withColumn(
             "_stretch",
             F.explode(
@@ -218,9 +233,37 @@ def join_cells(
     )
     stretched = cells.withColumn("_stretch", F.floor(F.col("_cell") / width))
     joined = windows.join(stretched, [entity, "_stretch"])
-    return joined.where(
-        F.col("_cell").between(F.col("_at") + first, F.col("_at") + last)
-    ).drop("_stretch")
+    off = (F.pmod(F.col("_at"), F.lit(2)) != 0).cast("int")
+    opens = F.col("_at") + first + (off if first % 2 == 0 else F.lit(0))
+    return joined.where(F.col("_cell").between(opens, F.col("_at") + last - off)).drop("_stretch")
+
+
+def cut_events(
+    index: DataFrame,
+    events: DataFrame,
+    event_time: str,
+    offsets: Sequence[int],
+    entity: str,
+    as_of: str,
+    grain: int = DAY,
+) -> DataFrame:
+    """Events with each off-grid index row, as ``_as_of``, that has them in one of the cells at
+    ``offsets`` from its own; ``_offset`` tells which. The caller compares the instants."""
+    at = time_cell(F.col(as_of), grain)
+    cut = (
+        index.select(entity, F.col(as_of).alias("_as_of"), at.alias("_at"))
+        .where(F.pmod(F.col("_at"), F.lit(2)) != 0)
+        .distinct()
+        .select(
+            entity,
+            "_as_of",
+            "_at",
+            F.explode(F.array(*[F.lit(o).cast("long") for o in offsets])).alias("_offset"),
+        )
+        .withColumn("_cell", F.col("_at") + F.col("_offset"))
+        .drop("_at")
+    )
+    return events.withColumn("_cell", time_cell(F.col(event_time), grain)).join(cut, [entity, "_cell"])
 
 
 def lookback_aggregates(
@@ -249,6 +292,8 @@ def lookback_aggregates(
         first, high = index_bounds(index, as_of)
         low = first - days(lookback_days)
     seen = events.where(time.between(low, high))
+    off_grid = at is None and exact_grain(index, as_of, grain) != grain
+    ends = [-span_cells(lookback_days, grain), 0] if at is None else []
     for group, wanted in _passes(measures):
         chosen = seen if wanted is None else seen.where(wanted)
         if at is not None:
@@ -266,6 +311,15 @@ def lookback_aggregates(
             pairs = join_cells(
                 index, cells, entity, as_of, -span_cells(lookback_days, grain), 0, grain
             )
+            if off_grid:
+                before = instant(F.col("_as_of")) - instant(time)
+                parts = (
+                    cut_events(index, chosen, event_time, ends, entity, as_of, grain)
+                    .where(before.between(0, lookback_days * DAY))
+                    .groupBy(entity, F.col("_as_of").alias(as_of))
+                    .agg(*_states(group, event_time))
+                )
+                pairs = pairs.select(*parts.columns).unionByName(parts)
             found = _merge(pairs, keys, group)
         rows = rows.join(found, keys, "left")
     return rows.fillna({m.name: 0 for m in measures if isinstance(m, Count)})
@@ -292,22 +346,37 @@ def count_horizons(
             index, events, measures, event_time, max(horizons), entity, as_of, at
         )
     low, high = index_bounds(index, as_of)
+    seen = events.where(F.col(event_time).between(low - days(max(horizons)), high))
     cells = (
-        events.where(F.col(event_time).between(low - days(max(horizons)), high))
-        .withColumn("_cell", time_cell(F.col(event_time), grain))
+        seen.withColumn("_cell", time_cell(F.col(event_time), grain))
         .groupBy(entity, "_cell")
         .agg(F.count("*").alias("_n"))
     )
     longest = span_cells(max(horizons), grain)
     pairs = join_cells(index, cells, entity, as_of, -longest, 0, grain)
+    off = (F.pmod(F.col("_at"), F.lit(2)) != 0).cast("int")
     found = pairs.groupBy(entity, as_of).agg(
         *[
             F.sum(
-                F.when(F.col("_cell") >= F.col("_at") - span_cells(h, grain), F.col("_n"))
+                F.when(F.col("_cell") >= F.col("_at") - span_cells(h, grain) + off, F.col("_n"))
             ).alias(n)
             for h, n in zip(horizons, names)
         ]
     )
+    if exact_grain(index, as_of, grain) != grain:
+        ends = sorted({0, *[-span_cells(h, grain) for h in horizons]})
+        cut = cut_events(index, seen, event_time, ends, entity, as_of, grain)
+        before = instant(F.col("_as_of")) - instant(F.col(event_time))
+        parts = cut.groupBy(entity, F.col("_as_of").alias(as_of)).agg(
+            *[
+                F.count_if(
+                    F.col("_offset").isin(0, -span_cells(h, grain)) & before.between(0, h * DAY)
+                ).alias(n)
+                for h, n in zip(horizons, names)
+            ]
+        )
+        both = found.unionByName(parts)
+        found = both.groupBy(entity, as_of).agg(*[F.sum(n).alias(n) for n in names])
     return index.join(found, [entity, as_of], "left").fillna(0, names)
 
 
@@ -365,7 +434,7 @@ def running_counts(
     """
     points = index.select(entity, as_of).distinct().select(
         entity,
-        grid_cell(F.col(as_of), grain).alias("_cell"),
+        time_cell(F.col(as_of), grain).alias("_cell"),
         F.col(as_of),
         *[F.lit(0).cast("long").alias(a) for a in amounts],
     )
@@ -395,7 +464,8 @@ def active_distinct(
     """Distinct non-null items whose interval meets [as_of - lookback, as_of].
 
     An interval counts if start <= as_of and it is open (NULL stop) or
-    stop >= as_of - lookback. ``onto`` is as in ``lookback_aggregates``.
+    stop >= as_of - lookback. ``onto`` is as in ``lookback_aggregates``. With an as_of per
+    row, cells are made as fine as the finest as_of needs.
     """
     rows = index if onto is None else onto
     named = intervals.where(F.col(item).isNotNull())
@@ -414,6 +484,7 @@ def active_distinct(
         return rows.join(found, entity, "left").fillna(0, [name])
 
     low, high = index_bounds(index, as_of)
+    grain = exact_grain(index, as_of, grain)
     # As as_of cells an item is active from its start to its stop plus the lookback.
     never = F.lit(1 << 60)
     until = F.when(

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow import schemas
+from cohortflow.functions.scalars import nan_as_missing
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Typed scan: codes stay text, dates are dates, an empty field is NULL.
+    """Typed scan: codes stay text, dates are dates, an empty field and NaN are NULL.
 
     Header names are checked against the schema, a malformed line fails the job.
     """
-    return (
+    return nan_as_missing(
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
@@ -30,7 +31,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return nan_as_missing(spark.read.parquet(path))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -63,7 +64,7 @@ def read_events(
 
 def table_profile(df: DataFrame) -> DataFrame:
     """(column_name, n_rows, n_columns, n_null): one aggregate over one scan."""
-    counts = df.agg(
+    counts = nan_as_missing(df).agg(
         F.count("*").alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]
     )
     rows = [

@@ -4,7 +4,6 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from cohortflow.functions.scalars import age_on, tolerant_number
@@ -164,7 +163,7 @@ def test_label_window_is_open_then_closed(spark, rows):
         assert {r[0]: r[2] for r in rows(made)} == expected
 
 
-def test_as_of_off_the_grid_is_refused(spark):
+def test_as_of_off_the_grid_is_exact(spark):
     index = spark.createDataFrame(
         [("p", at("2024-03-01 10:30:00"))], "patient string, as_of timestamp"
     )
@@ -173,14 +172,14 @@ def test_as_of_off_the_grid_is_refused(spark):
         "patient string, Date timestamp",
     )
     count = [windows.Count("n")]
-    with pytest.raises(SparkRuntimeException):
-        windows.lookback_aggregates(index, events, count, "Date", 1).collect()
+    assert windows.lookback_aggregates(index, events, count, "Date", 1).first()["n"] == 1
     finer = windows.lookback_aggregates(index, events, count, "Date", 1, grain=60_000_000)
     assert finer.first()["n"] == 1
 
 
-def _random_world(spark, seed, hot=False):
-    """Entities with events and intervals; one of them holds a third of everything."""
+def _random_world(spark, seed, hot=False, clock=None):
+    """Entities with events and intervals; one of them holds a third of everything. ``clock`` are
+    the times of day that index rows have, midnight unless given."""
     rng = random.Random(seed)
     start = at("2024-01-01")
 
@@ -192,6 +191,8 @@ def _random_world(spark, seed, hot=False):
         return start + whole + rng.choice([timedelta(0), timedelta(seconds=rng.randrange(86400))])
 
     index = sorted({(entity(), start + timedelta(days=rng.randrange(40))) for _ in range(60)})
+    if clock:
+        index = [(who, day + clock[i % len(clock)]) for i, (who, day) in enumerate(index)]
     events = [
         (entity(), moment(), rng.choice("abc"), rng.choice(["x ray", "A1C test", None]),
          rng.choice(["1.5", "2", "x", None, "7"]), i)
@@ -260,6 +261,66 @@ def test_features_match_brute_force(spark, hot):
         assert got[key] == pytest.approx(values), key
 
 
+CLOCKS = {
+    "half past": [timedelta(hours=10, minutes=30)],
+    "mixed": [timedelta(0), timedelta(hours=10, minutes=30), timedelta(seconds=40_000, microseconds=7)],
+}
+
+
+def _with_events_at_the_ends(spark, world, days_back):
+    """The world and further events at, just before and just after the ends of windows."""
+    index, events, intervals, index_frame, event_frame, interval_frame = world
+    tick = timedelta(microseconds=1)
+    more = [
+        (who, moment + offset + nudge, "a", "x ray", "2", 1000 + i)
+        for i, (who, moment) in enumerate(index[:20])
+        for offset in (timedelta(0), -timedelta(days=days_back), timedelta(days=days_back))
+        for nudge in (-tick, timedelta(0), tick)
+    ]
+    frame = event_frame.union(spark.createDataFrame(more, event_frame.schema))
+    return index, events + more, intervals, index_frame, frame, interval_frame
+
+
+@pytest.mark.parametrize("clock", sorted(CLOCKS))
+def test_features_off_the_grid_match_brute_force(spark, clock):
+    world = _random_world(spark, 17, True, CLOCKS[clock])
+    index, events, intervals, *frames = _with_events_at_the_ends(spark, world, 5)
+    expected, got = _expected(index, events, intervals, 5), _computed(*frames, 5)
+    assert got.keys() == expected.keys()
+    for key, values in expected.items():
+        assert got[key] == pytest.approx(values), key
+
+
+@pytest.mark.parametrize("clock", sorted(CLOCKS))
+def test_counts_and_labels_off_the_grid_match_brute_force(spark, clock):
+    world = _random_world(spark, 19, True, CLOCKS[clock])
+    index, events, _, frame, event_frame, _ = _with_events_at_the_ends(spark, world, 3)
+    one, three = timedelta(days=1), timedelta(days=3)
+    own = {key: [e[1] - key[1] for e in events if e[0] == key[0]] for key in index}
+
+    found = windows.count_horizons(frame, event_frame, "Date", [1, 3], "n").collect()
+    assert {(r["patient"], r["as_of"]): (r["n_1d"], r["n_3d"]) for r in found} == {
+        k: tuple(sum(-h <= s <= timedelta(0) for s in since) for h in (one, three))
+        for k, since in own.items()
+    }
+    audit = quality.leakage_audit(frame, event_frame, "Date", 3).collect()
+    assert {tuple(r[:2]): tuple(r[2:]) for r in audit} == {
+        k: (
+            sum(-three <= s <= timedelta(0) for s in since),
+            sum(s > timedelta(0) for s in since),
+            sum(s < -three for s in since),
+        )
+        for k, since in own.items()
+    }
+    visits = event_frame.withColumnsRenamed({"Date": "Start", "Code": "EncounterClass"})
+    made = labels.make_labels(frame, visits, 3, ["a"]).collect()
+    hits = {
+        (e[0], k[1]) for e in events for k in index
+        if e[0] == k[0] and e[2] == "a" and timedelta(0) < e[1] - k[1] <= three
+    }
+    assert {tuple(r[:2]): r[2] for r in made} == {k: int(k in hits) for k in index}
+
+
 def test_both_plans_agree(spark):
     index, events, intervals, _, event_frame, interval_frame = _random_world(spark, 3, True)
     day = at("2024-01-20")

@@ -42,6 +42,18 @@ def test_single_class_has_no_auroc(spark):
     assert evaluate.roc_curve(scored(spark, [0.9, 0.8], [1, 1]), "p", "y").count() == 0
 
 
+def test_nan_scores_and_values_are_missing(spark):
+    nan = float("nan")
+    df = scored(spark, [nan, 0.9, 0.1], [1, 1, 0])
+    level = evaluate.confusion_at_thresholds(df, {"half": 0.5}, "p", "y").first()
+    assert (level["tp"], level["fp"], level["fn"], level["tn"]) == (1, 0, 0, 1)
+    assert evaluate.brier(df, ["p"], "y").first()["brier"] == pytest.approx(0.01)
+    assert quality.feature_completeness(df, ["p"]).first()["n_missing"] == 1
+    grouped = spark.createDataFrame([("a", nan, 1), ("a", 0.5, 0)], "g string, p double, y int")
+    assert fairness.bias_group_stats(grouped, ["g"], "p", "y").first()["prediction_mean"] == 0.5
+    assert train.with_missing_flags(df, ["p"]).where("p_missing = 1").count() == 1
+
+
 def brute(p, y):
     pairs = [(a, b) for a, ya in zip(p, y) if ya for b, yb in zip(p, y) if not yb]
     auroc = sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs)

@@ -23,6 +23,13 @@ def index(spark: SparkSession, d: str) -> DataFrame:
     return scratch.settle(users.select("patient", F.explode(day_list).alias("as_of")), "index")
 
 
+def offgrid_index(spark: SparkSession, d: str) -> DataFrame:
+    """The index with a time of day: midnight, 05:37:11, 11:14:22 or 16:51:33."""
+    seconds = (F.col("patient") + F.dayofmonth("as_of")) % 4 * 20_231
+    moved = F.col("as_of") + F.make_dt_interval(secs=seconds.cast("decimal(18, 6)"))
+    return scratch.settle(index(spark, d).select("patient", moved.alias("as_of")), "index")
+
+
 def observations(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select(
         F.col("user_id").alias("patient"),
@@ -75,6 +82,12 @@ SQL_INDEX = f"""
 idx AS (SELECT patient, as_of FROM (SELECT DISTINCT user_id AS patient FROM events),
     (SELECT unnest(generate_series(TIMESTAMP '{FIRST_DAY}', TIMESTAMP '{LAST_DAY}',
      INTERVAL 1 DAY)) AS as_of))"""
+SQL_OFFGRID = f"""
+days AS (SELECT patient, day FROM (SELECT DISTINCT user_id AS patient FROM events),
+    (SELECT unnest(generate_series(TIMESTAMP '{FIRST_DAY}', TIMESTAMP '{LAST_DAY}',
+     INTERVAL 1 DAY)) AS day)),
+idx AS (SELECT patient, day + ((patient + day(day)) % 4 * 20231) * INTERVAL 1 SECOND AS as_of
+    FROM days)"""
 SQL_LABELS = """
 labels AS (SELECT patient, as_of, CAST(count(e.ts) > 0 AS INTEGER) AS label_90d FROM idx
     LEFT JOIN events e ON user_id = patient AND event_type = 'error'
@@ -113,24 +126,56 @@ COUNTS = ["n_observations_180d", "n_encounters_180d", "n_active_meds_180d"]
 DOUBLES = ["hba1c_last", "hba1c_mean", "hba1c_std", "sbp_last", "dbp_last"]
 
 
-@query("make_labels_panel", sql(f"SELECT {KEYS_OUT}, label_90d FROM labels", SQL_LABELS))
+def off_the_grid(text: str) -> str:
+    """The SQL over the index rows that have a time of day."""
+    return text.replace(SQL_INDEX, SQL_OFFGRID)
+
+
+PANEL_LABELS = sql(f"SELECT {KEYS_OUT}, label_90d FROM labels", SQL_LABELS)
+PANEL_FEATURES = sql(
+    f"SELECT {KEYS_OUT}, {', '.join(COUNTS)}, "
+    + ", ".join(f"{r6(f)} AS {f}" for f in DOUBLES)
+    + " FROM features",
+    SQL_FEATURES,
+)
+PANEL_HORIZONS = sql(
+    f"SELECT {KEYS_OUT}, "
+    + ", ".join(
+        f"CAST(count(ts) FILTER (WHERE ts >= as_of - INTERVAL {h} DAY) AS BIGINT) AS n_obs_{h}d"
+        for h in (1, 3, 7)
+    )
+    + " FROM idx LEFT JOIN events ON user_id = patient "
+    "AND ts BETWEEN as_of - INTERVAL 7 DAY AND as_of GROUP BY patient, as_of"
+)
+PANEL_AUDIT = sql(
+    f"SELECT {KEYS_OUT}, "
+    f"count(*) FILTER (WHERE ts BETWEEN as_of - INTERVAL {LOOKBACK} DAY AND as_of) "
+    "AS n_in_window, count(*) FILTER (WHERE ts > as_of) AS n_after, "
+    f"count(*) FILTER (WHERE ts < as_of - INTERVAL {LOOKBACK} DAY) AS n_before "
+    "FROM idx JOIN events ON user_id = patient GROUP BY patient, as_of"
+)
+
+
+@query("make_labels_panel", PANEL_LABELS)
 def make_labels_panel(spark, d):
     return label_rows(spark, d)
 
 
-@query(
-    "rolling_features_panel",
-    sql(
-        f"SELECT {KEYS_OUT}, {', '.join(COUNTS)}, "
-        + ", ".join(f"{r6(f)} AS {f}" for f in DOUBLES)
-        + " FROM features",
-        SQL_FEATURES,
-    ),
-)
+@query("make_labels_offgrid", off_the_grid(PANEL_LABELS))
+def make_labels_offgrid(spark, d):
+    return label_rows(spark, d, offgrid_index(spark, d))
+
+
+@query("rolling_features_panel", PANEL_FEATURES)
 def rolling_features_panel(spark, d):
     return feature_rows(spark, d)
 
 
+@query("rolling_features_offgrid", off_the_grid(PANEL_FEATURES))
+def rolling_features_offgrid(spark, d):
+    return feature_rows(spark, d, offgrid_index(spark, d))
+
+
 @query(
     "future_window_join_panel",
     sql(
@@ -146,36 +191,32 @@ def future_window_join_panel(spark, d):
     )
 
 
-@query(
-    "multi_horizon_counts_panel",
-    sql(
-        f"SELECT {KEYS_OUT}, "
-        + ", ".join(
-            f"CAST(count(ts) FILTER (WHERE ts >= as_of - INTERVAL {h} DAY) AS BIGINT) AS n_obs_{h}d"
-            for h in (1, 3, 7)
-        )
-        + " FROM idx LEFT JOIN events ON user_id = patient "
-        "AND ts BETWEEN as_of - INTERVAL 7 DAY AND as_of GROUP BY patient, as_of"
-    ),
-)
+def horizon_rows(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    return windows.count_horizons(rows, observations(spark, d), "Date", [1, 3, 7], "n_obs")
+
+
+def audit_rows(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    return quality.leakage_audit(rows, observations(spark, d), "Date", LOOKBACK)
+
+
+@query("multi_horizon_counts_panel", PANEL_HORIZONS)
 def multi_horizon_counts_panel(spark, d):
-    return windows.count_horizons(
-        index(spark, d), observations(spark, d), "Date", [1, 3, 7], "n_obs"
-    )
+    return horizon_rows(spark, d, index(spark, d))
 
 
-@query(
-    "leakage_audit_panel",
-    sql(
-        f"SELECT {KEYS_OUT}, "
-        f"count(*) FILTER (WHERE ts BETWEEN as_of - INTERVAL {LOOKBACK} DAY AND as_of) "
-        "AS n_in_window, count(*) FILTER (WHERE ts > as_of) AS n_after, "
-        f"count(*) FILTER (WHERE ts < as_of - INTERVAL {LOOKBACK} DAY) AS n_before "
-        "FROM idx JOIN events ON user_id = patient GROUP BY patient, as_of"
-    ),
-)
+@query("multi_horizon_counts_offgrid", off_the_grid(PANEL_HORIZONS))
+def multi_horizon_counts_offgrid(spark, d):
+    return horizon_rows(spark, d, offgrid_index(spark, d))
+
+
+@query("leakage_audit_panel", PANEL_AUDIT)
 def leakage_audit_panel(spark, d):
-    return quality.leakage_audit(index(spark, d), observations(spark, d), "Date", LOOKBACK)
+    return audit_rows(spark, d, index(spark, d))
+
+
+@query("leakage_audit_offgrid", off_the_grid(PANEL_AUDIT))
+def leakage_audit_offgrid(spark, d):
+    return audit_rows(spark, d, offgrid_index(spark, d))
 
 
 @query(
