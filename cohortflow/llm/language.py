@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from cohortflow.llm.common import hash_fraction, held_out, quoted, texts_in_slices, with_struct
-from cohortflow.llm.pieces import release
+from cohortflow.llm.pieces import kept_by_worker, release
 from cohortflow.sources.scratch import settle
 
 #: Documents of each language that a sample is drawn from, and its normalised characters at most.
@@ -188,7 +187,7 @@ def learn(
     return tuple((lang, text[:sample_chars]) for lang, text in sorted(samples.items()) if text)
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker
 def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(samples)
 
@@ -203,7 +202,7 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], text_col: st
 
     @arrow_udf("struct<lang_pred string, score double>")
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        release()
+        release(keep=_parser)
         parser = _parser(samples) if samples else None
         for column in batches:
             langs, scores = [], [np.zeros(0)]

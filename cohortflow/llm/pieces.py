@@ -14,6 +14,7 @@ import json
 import os
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 import regex
 
@@ -40,13 +41,21 @@ def raw(piece: str) -> str:
     return piece[1:] if piece.startswith(HEAD) else " " + piece
 
 
-on_release: list[Callable[[], None]] = []
+_kept: list = []
 
 
-def release() -> None:
-    """Empties the tables of a worker that goes on with another operator."""
-    for empty in on_release:
-        empty()
+def kept_by_worker(build: Callable):
+    """What ``build`` returns stays in a worker from task to task, for the last two arguments."""
+    cached = lru_cache(maxsize=2)(build)
+    _kept.append(cached)
+    return cached
+
+
+def release(keep=None) -> None:
+    """Drops what other operators keep in a worker that goes on with this one."""
+    for cached in _kept:
+        if cached is not keep:
+            cached.cache_clear()
 
 
 class PieceTable:
@@ -56,10 +65,6 @@ class PieceTable:
         self.values, self.limit = values, limit
         self.known: dict[str, object] = {}
         self.glued = {""}  # pieces after which a space may not be cut
-        on_release.append(self.empty)
-
-    def empty(self) -> None:
-        self.known, self.glued = {}, {""}
 
     def rows(self, texts: list[str]) -> list[list]:
         """The values of the pieces of each text, in order."""

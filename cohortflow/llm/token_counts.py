@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from cohortflow.llm.common import quoted, texts_in_slices, with_struct
-from cohortflow.llm.pieces import BYTE_PATTERN, PieceTable, Splitter, load
+from cohortflow.llm.pieces import BYTE_PATTERN, PieceTable, Splitter, kept_by_worker, load, release
 
 #: Symbols that are merged side by side.
 SYMBOLS_AT_ONCE = 2_000_000
@@ -109,7 +108,7 @@ class RankMerger:
         return tokens
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker
 def _piece_counts(path: str) -> PieceTable:
     tokenizer = load(path)
     merger, splitter = RankMerger(tokenizer), Splitter(tokenizer, BYTE_PATTERN)
@@ -142,6 +141,7 @@ def count_tokens(
 
     @arrow_udf("struct<n_bytes long, n_tokens long, over_limit boolean>")
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release(keep=_piece_counts)
         table = _piece_counts(tokenizer_path)
         for column in batches:
             n = [sum(row) for texts in texts_in_slices(column) for row in table.rows(texts)]

@@ -13,7 +13,6 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import quoted, texts_in_slices
-from cohortflow.llm.pieces import PieceTable, Special, load
+from cohortflow.llm.pieces import PieceTable, Special, kept_by_worker, load, release
 
 NULL_ID = -(1 << 63)
 READ_DOCS = 20_000
@@ -38,7 +37,7 @@ def mounted(folder: str) -> str:
     return unquote(parts.path) if parts.scheme else folder
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker
 def _piece_ids(path: str, kind: str) -> PieceTable:
     tokenizer = load(path)
     special = Special(tokenizer)
@@ -120,6 +119,7 @@ def write_token_files(
         shard, attempt = task.partitionId(), task.taskAttemptId()
         at = f"{path}/{shard}"
         own = {part: f"{at}.{part}.{attempt}" for part in ("ids", "offsets", "docs")}
+        release(keep=_piece_ids)
         table = _piece_ids(tokenizer_path, kind)
         n_docs = n_ids = 0
         with open(own["ids"], "wb") as f_ids, open(own["offsets"], "wb") as f_offsets, open(own["docs"], "wb") as f_docs:

@@ -12,7 +12,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql.functions import arrow_udf
 from tokenizers.pre_tokenizers import ByteLevel
 
 from cohortflow.llm.common import quoted, texts_in_slices, with_struct
-from cohortflow.llm.pieces import WORD_PATTERN, PieceTable, Splitter, load, on_release
+from cohortflow.llm.pieces import WORD_PATTERN, PieceTable, Splitter, kept_by_worker, load, release
 
 KNOWN_SEAMS = 2_000_000
 NEVER = 1 << 60
@@ -261,10 +260,9 @@ class WordCoder:
         return " ".join([self.strings[i] for i in ids if i in self.strings])
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker
 def _coder(path: str) -> tuple[WordCoder, PieceTable]:
     coder = WordCoder(path)
-    on_release.append(coder.encoder.seams.clear)
     return coder, PieceTable(coder.values, limit=300_000)
 
 
@@ -286,6 +284,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
 
     @arrow_udf("struct<ids array<int>>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release(keep=_coder)
         _, table = _coder(tokenizer_path)
         for column in batches:
             offsets, flat = [0], []
@@ -311,6 +310,7 @@ def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_col: s
 
     @arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release(keep=_coder)
         coder, _ = _coder(tokenizer_path)
         for column in batches:
             yield pa.array([coder.decode(ids or ()) for ids in column.to_pylist()], pa.string())
@@ -329,6 +329,7 @@ def digests(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -> Dat
 
     @arrow_udf("struct<n_tokens long, ids_sha256 string, decoded_sha256 string>")
     def digested(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release(keep=_coder)
         _, table = _coder(tokenizer_path)
         for column in batches:
             n, ids, decoded = [], [], []

@@ -1,15 +1,17 @@
 """Token operators against the tokenizers library."""
 
+import gc
 import hashlib
 import json
 import random
+import weakref
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 
-from cohortflow.llm import token_counts, token_files, trie_bpe
+from cohortflow.llm import pieces, token_counts, token_files, trie_bpe
 from cohortflow.llm.pieces import BYTE_PATTERN, WORD_PATTERN, PieceTable, Splitter, load
 from cohortflow.session import ship_package
 
@@ -130,3 +132,15 @@ def test_groups_hold_every_place_once_in_order():
     found = list(token_files.groups([0, 1, 2, 4, 5, 6], pieces))
     assert found == [[0, 1, 2], [4], [5, 6]]
     assert list(token_files.groups([], pieces)) == []
+
+
+def test_worker_keeps_only_what_the_operator_at_hand_uses():
+    made = []
+    first = pieces.kept_by_worker(lambda name: made.append(name) or PieceTable(len))
+    second = pieces.kept_by_worker(lambda name: made.append(name) or PieceTable(len))
+    kept, dropped = first("a"), weakref.ref(second("b"))
+    pieces.release(keep=first)
+    gc.collect()
+    assert first("a") is kept and dropped() is None
+    second("b")
+    assert made == ["a", "b", "b"]
