@@ -106,6 +106,7 @@ def band(value: Column, bands: Sequence[tuple[float | None, str]]) -> Column:
 
 def risk_band(score: Column, strict: bool = False) -> Column:
     """high / medium / low; ``strict`` uses > at the cut points instead of >=."""
+    score = nan_to_null(score)
     high, medium = F.lit(defaults.RISK_HIGH), F.lit(defaults.RISK_MEDIUM)
     is_high, is_medium = (
         (score > high, score > medium) if strict else (score >= high, score >= medium)
@@ -116,6 +117,7 @@ def risk_band(score: Column, strict: bool = False) -> Column:
 
 
 def confidence(score: Column) -> Column:
+    score = nan_to_null(score)
     # least() would skip a NULL score.
     return F.when(
         score.isNotNull(), F.least(F.lit(0.5) + F.abs(score - F.lit(0.5)), F.lit(1.0))

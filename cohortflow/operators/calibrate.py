@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortflow import defaults
 from cohortflow.functions.bins import unit_bin_left_closed, unit_bin_right_closed
+from cohortflow.functions.scalars import nan_as_missing
 from cohortflow.operators.merge import require_columns
 
 
@@ -21,7 +22,7 @@ def fit_isotonic(
     """
     require_columns(scored, [score, label], "scored rows")
     points = (
-        scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+        nan_as_missing(scored).where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(
             F.avg(F.col(label).cast("double")).alias("rate"),
@@ -54,7 +55,7 @@ def reliability_left_closed(
 ) -> DataFrame:
     """(bin, n, true_rate, mean_raw, mean_calibrated) over tenths [lo, hi) of the raw score."""
     return (
-        scored.withColumn("bin", unit_bin_left_closed(F.col(raw)))
+        nan_as_missing(scored).withColumn("bin", unit_bin_left_closed(F.col(raw)))
         .where(F.col("bin").isNotNull())
         .groupBy("bin")
         .agg(
@@ -71,7 +72,7 @@ def reliability_right_closed(
 ) -> DataFrame:
     """(bin, centre, true_rate, n) over tenths (lo, hi] of the score."""
     return (
-        scored.withColumn("bin", unit_bin_right_closed(F.col(score)))
+        nan_as_missing(scored).withColumn("bin", unit_bin_right_closed(F.col(score)))
         .where(F.col("bin").isNotNull())
         .groupBy("bin")
         .agg(F.avg(F.col(label).cast("double")).alias("true_rate"), F.count("*").alias("n"))
@@ -83,6 +84,6 @@ def score_range(
     scored: DataFrame, score: str = "prediction_proba", label: str = defaults.TARGET
 ) -> DataFrame:
     """(label, n, min_score, max_score)."""
-    return scored.groupBy(F.col(label).cast("int").alias("label")).agg(
+    return nan_as_missing(scored).groupBy(F.col(label).cast("int").alias("label")).agg(
         F.count("*").alias("n"), F.min(score).alias("min_score"), F.max(score).alias("max_score")
     )

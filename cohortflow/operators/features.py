@@ -99,7 +99,7 @@ def rolling_features(
 def clinical_bands(
     features: DataFrame, hba1c: str = "hba1c_last", sbp: str = "sbp_last", dbp: str = "dbp_last"
 ) -> DataFrame:
-    return features.select(
+    return nan_as_missing(features).select(
         "*",
         band(F.col(hba1c), defaults.HBA1C_BANDS).alias("hba1c_band"),
         band(F.col(sbp), defaults.SBP_BANDS).alias("sbp_band"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
+from cohortflow.functions.scalars import nan_to_null
 
 
 def append_measurements(measurements: DataFrame, path: str) -> None:
@@ -27,8 +28,8 @@ def metric_degradation(
 
     ``change`` is the loss: positive means worse, whichever way the metric points.
     """
-    joined = baseline.select("metric", F.col("value").cast("double").alias("baseline")).join(
-        current.select("metric", F.col("value").cast("double").alias("current")), "metric"
+    joined = baseline.select("metric", nan_to_null(F.col("value").cast("double")).alias("baseline")).join(
+        current.select("metric", nan_to_null(F.col("value").cast("double")).alias("current")), "metric"
     )
     rise = F.col("current") - F.col("baseline")
     fall = F.col("baseline") - F.col("current")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
-from cohortflow.functions.scalars import confidence, risk_band
+from cohortflow.functions.scalars import confidence, nan_to_null, risk_band
 
 DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
@@ -28,8 +28,8 @@ def range_errors() -> Column:
     checks = {}
     for feature, (low, high, required) in defaults.FEATURE_RANGES.items():
         if required:
-            checks[f"{feature}:missing"] = F.col(feature).isNull()
-        checks[f"{feature}:range"] = ~F.col(feature).between(low, high)
+            checks[f"{feature}:missing"] = nan_to_null(F.col(feature)).isNull()
+        checks[f"{feature}:range"] = ~nan_to_null(F.col(feature)).between(low, high)
     return _errors(checks)
 
 

@@ -42,6 +42,10 @@ def test_single_class_has_no_auroc(spark):
     assert evaluate.roc_curve(scored(spark, [0.9, 0.8], [1, 1]), "p", "y").count() == 0
 
 
+def evaluate_range(df):
+    return {r["label"]: r["max_score"] for r in calibrate.score_range(df, "p", "y").collect()}
+
+
 def test_nan_scores_and_values_are_missing(spark):
     nan = float("nan")
     df = scored(spark, [nan, 0.9, 0.1], [1, 1, 0])
@@ -52,6 +56,15 @@ def test_nan_scores_and_values_are_missing(spark):
     grouped = spark.createDataFrame([("a", nan, 1), ("a", 0.5, 0)], "g string, p double, y int")
     assert fairness.bias_group_stats(grouped, ["g"], "p", "y").first()["prediction_mean"] == 0.5
     assert train.with_missing_flags(df, ["p"]).where("p_missing = 1").count() == 1
+    banded = df.select(risk_band(F.col("p")).alias("b"), confidence(F.col("p")).alias("c"))
+    assert banded.where("b IS NULL AND c IS NULL").count() == 1
+    worse = performance.metric_degradation(
+        spark.createDataFrame([("auroc", 0.8)], "metric string, value double"),
+        spark.createDataFrame([("auroc", nan)], "metric string, value double"),
+    )
+    assert worse.where("degraded").count() == 0
+    tops = evaluate_range(df)
+    assert tops == {0: 0.1, 1: 0.9}
 
 
 def brute(p, y):
