@@ -15,8 +15,11 @@ from cohortflow.llm.common import quoted
 from cohortflow.sources.scratch import settle
 
 SHINGLE_WORDS = 5
-#: One hash in so many is kept.
+#: One hash in so many is kept by ``sketch`` unless told otherwise.
 SCALE = 8
+#: Fingerprints and edited pairs keep every hash: with any lower share a text of s distinct shingles
+#: has an empty sketch with probability (1 - share)^s, whatever the texts compared.
+PAIR_SCALE = 1
 #: Ranges of ids for each shuffle partition, so that partitions come out even.
 RANGES_PER_PARTITION = 4
 
@@ -43,8 +46,8 @@ def shingle_hashes(text: Column, shingle_words: int = SHINGLE_WORDS) -> Column:
 
 def sketch(text: Column, scale: int = SCALE, shingle_words: int = SHINGLE_WORDS) -> Column:
     """The distinct shingle hashes below 1 / ``scale`` of the range, ascending."""
-    below = -(1 << 63) + (1 << 64) // scale
-    return F.sort_array(F.array_distinct(F.filter(shingle_hashes(text, shingle_words), lambda h: h < F.lit(below))))
+    last = -(1 << 63) + (1 << 64) // scale - 1
+    return F.sort_array(F.array_distinct(F.filter(shingle_hashes(text, shingle_words), lambda h: h <= F.lit(last))))
 
 
 def fingerprint(whole: Column, kept: Column) -> Column:
@@ -65,7 +68,7 @@ def likeness(whole_a: Column, a: Column, whole_b: Column, b: Column) -> Column:
 
 
 def fingerprints(
-    docs: DataFrame, scale: int = SCALE, shingle_words: int = SHINGLE_WORDS, text_col: str = "text", out: str = "fingerprint"
+    docs: DataFrame, scale: int = PAIR_SCALE, shingle_words: int = SHINGLE_WORDS, text_col: str = "text", out: str = "fingerprint"
 ) -> DataFrame:
     """``docs`` with the fingerprint of every whole text; null counts as empty, which has no kept hash.
     A column named ``out`` is replaced."""
@@ -119,7 +122,9 @@ def range_of(value: Column, cuts: list) -> Column:
     return F.when(value.isNull(), -1).otherwise(let(group, lambda k: F.when(k > 0, within(F.greatest(k, F.lit(1)))).otherwise(0)))
 
 
-def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def edited_pairs(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scale: int = PAIR_SCALE
+) -> DataFrame:
     """A row per row of ``docs``: the id, ``n_chars`` (code points), ``edited_sha256``, ``fingerprint``,
     ``edited_fingerprint``, ``near_edited``, ``near_next``.
 
@@ -127,21 +132,27 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     has fewer) in place of as many at its end. Next is the order of descending ids, null last, equal
     ids by a hash of their texts, and the first document follows the last. A null text counts as
     empty. A single row is its own next. An empty table gives an empty one. Other columns are not
-    read, whatever their names.
+    read, whatever their names. At scale 1 both likenesses are exact but for collisions of 64-bit
+    hashes. Sketches are worked out after the shuffle, which so moves texts only.
     """
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), text.alias("text"))
-    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("whole"), sketch(F.col("text")).alias("kept"))
-    rows = with_next(rows, ["text", "whole", "kept"], "doc_id", "whole")
+    rows = with_next(rows.withColumn("whole", F.xxhash64("text")), ["text", "whole"], "doc_id", "whole")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", edited).drop("text", "next_text")
-    rows = rows.withColumn("edited_whole", F.xxhash64("edited")).withColumn("edited_kept", sketch(F.col("edited")))
+    rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", edited)
+    rows = rows.withColumns({
+        "kept": sketch(F.col("text"), scale),
+        "next_kept": sketch(F.col("next_text"), scale),
+        "edited_kept": sketch(F.col("edited"), scale),
+        "edited_whole": F.xxhash64("edited"),
+        "edited_sha256": F.sha2("edited", 256),
+    }).drop("text", "next_text", "edited")
     return rows.select(
         F.col("doc_id").alias(id_col),
         "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
+        "edited_sha256",
         fingerprint(F.col("whole"), F.col("kept")).alias("fingerprint"),
         fingerprint(F.col("edited_whole"), F.col("edited_kept")).alias("edited_fingerprint"),
         likeness(F.col("whole"), F.col("kept"), F.col("edited_whole"), F.col("edited_kept")).alias("near_edited"),

@@ -142,6 +142,30 @@ def test_sketch_keeps_what_is_below_the_threshold(spark):
     assert 40 < len(row["kept"]) < 140  # an eighth of 700
 
 
+def test_edited_pairs_of_short_texts_are_exact(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 40, n)) for n in [1, 2, 3, *range(4, 31)] * 2]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    def likeness(a, b):
+        x, y = shingles(a), shingles(b)
+        return 1.0 if a == b else len(x & y) / min(len(x), len(y)) if x and y else 0.0
+
+    found = {r["doc_id"]: r for r in scaled_sketch.edited_pairs(df).collect()}
+    for i, text in enumerate(texts):
+        following = texts[(i - 1) % len(texts)]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        assert found[i]["near_edited"] == pytest.approx(likeness(text, edited))
+        assert found[i]["near_next"] == pytest.approx(likeness(text, following))
+        assert len(found[i]["fingerprint"]) == 17 + 16 * len(shingles(text))
+    assert sum(0 < r["near_edited"] < 1 for r in found.values()) > 20
+
+
 def test_licenses(spark):
     notice = licenses.TEMPLATES["mit-permission"]
     rows = [
