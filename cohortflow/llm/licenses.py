@@ -24,6 +24,9 @@ SHINGLE_WORDS = 5
 WINDOW_SHINGLES = 2
 BANDS = 10
 LEAST_CONTAINMENT = 0.8
+#: A region of ``notices`` has so many shingles for each of the template's: words put into a notice may
+#: be twice its length.
+REGION_WIDTH = 3
 
 # Public license notices.
 TEMPLATES = {
@@ -66,13 +69,13 @@ def _starts(n: Column) -> Column:
     return F.coalesce(F.when(n > 0, F.sequence(F.lit(0), n - 1)), F.array().cast("array<int>"))
 
 
-def shingles(of: Column) -> Column:
-    """Word shingles of an array of words as strings, none for fewer than five words."""
+def shingles(of: Column, length: int = SHINGLE_WORDS) -> Column:
+    """Word shingles of an array of words as strings, none for fewer than ``length`` words."""
     return let(
         of,
         lambda w: F.transform(
-            _starts(F.size(w) - (SHINGLE_WORDS - 1)),
-            lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(SHINGLE_WORDS)]),
+            _starts(F.size(w) - (length - 1)),
+            lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(length)]),
         ),
     )
 
@@ -180,6 +183,120 @@ def scan(
     return pairs.where(F.col("containment") >= LEAST_CONTAINMENT)
 
 
+def notices(
+    docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """A row per row of ``docs`` and template it holds, as ``scan`` gives them, but looked for from every
+    shingle of the text instead of from each multiple of the template's length.
+
+    Retrieval is by single shingles, so none is missed. A region opens at any shingle of the text that
+    the template has and is ``REGION_WIDTH`` times as long as the template; ``regions`` counts those
+    with containment of at least 0.8 that overlap no earlier one with so much. A template of fewer than
+    five words is one shingle of all its words. Nulls, repeated rows and empty tables are as in
+    ``scan``, and no row is shuffled.
+    """
+    named = docs.sparkSession.createDataFrame(sorted(templates.items()), "name string, text string")
+    split = {r["name"]: r["w"] for r in named.select("name", words(F.col("text")).alias("w")).collect()}
+    bare = sorted(name for name, w in split.items() if not w)
+    if bare:
+        raise ValueError(f"templates without words: {bare}")
+    length = {name: min(SHINGLE_WORDS, len(w)) for name, w in split.items()}
+    wanted = {
+        name: sorted({" ".join(w[i : i + length[name]]) for i in range(len(w) - length[name] + 1)})
+        for name, w in split.items()
+    }
+    every = {k: sorted({s for name in wanted if length[name] == k for s in wanted[name]}) for k in set(length.values())}
+
+    def hashed(h: Column, at: Column, k: int) -> Column:
+        return F.xxhash64(*[F.get(h, at + j) for j in range(k)])
+
+    def hashes(of: Column) -> Column:
+        return F.transform(of, lambda w: F.xxhash64(w))
+
+    listed = docs.sparkSession.createDataFrame([(k, s) for k in every for s in every[k]], "k int, s string")
+    listed = listed.withColumn("h", hashes(F.split("s", " ")))
+    keys: dict[int, list[int]] = {k: [] for k in every}
+    for k in every:
+        keys[k] = [r[0] for r in listed.where(F.col("k") == k).select(hashed(F.col("h"), F.lit(0), k)).collect()]
+
+    def places(h: Column) -> Column:
+        """For each length of shingles, the places of those that some template has."""
+
+        def of(k: int) -> Column:
+            return F.filter(_starts(F.size(h) - (k - 1)), lambda i: hashed(h, i, k).isin(keys[k])).alias(f"of_{k}")
+
+        return F.struct(*map(of, sorted(every)))
+
+    def by_template(found: Column) -> Column:
+        def hits(k: int) -> Column:
+            def hit(i: Column) -> Column:
+                return F.struct(i.alias("at"), F.concat_ws(" ", *[F.get("words", i + j) for j in range(k)]).alias("s"))
+
+            return F.transform(found[f"of_{k}"], hit)
+
+        def own(name: str) -> Column:
+            shingle = F.array(*map(F.lit, wanted[name]))
+            mine = F.filter(hits(length[name]), lambda x: F.array_contains(shingle, x["s"]))
+            return F.struct(F.lit(name).alias("template"), F.lit(len(wanted[name])).alias("n"), mine.alias("hits"))
+
+        return F.filter(F.array(*map(own, sorted(wanted))), lambda t: F.size(t["hits"]) >= LEAST_CONTAINMENT * t["n"])
+
+    some = reduce(Column.__or__, [F.size(F.col("places")[f"of_{k}"]) > 0 for k in every])
+    rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), words(F.col(quoted(text_col))).alias("words"))
+    rows = rows.select("doc_id", "words", let(hashes(F.col("words")), places).alias("places"))
+    # An outer generator takes no inferred filter, which would work every text out twice.
+    pairs = rows.select("doc_id", F.explode_outer(F.when(some, by_template(F.col("places")))).alias("found"))
+    pairs = pairs.where(F.col("found").isNotNull()).select("doc_id", "found.*")
+    width = F.col("n") * REGION_WIDTH
+
+    def region(hit: Column, k: Column) -> Column:
+        inside = F.filter(F.slice("hits", k + 1, width), lambda x: x["at"] < hit["at"] + width)
+        return F.struct(hit["at"].alias("at"), (F.size(F.array_distinct(F.transform(inside, lambda x: x["s"]))) / F.col("n")).alias("part"))
+
+    pairs = pairs.select("doc_id", "template", "n", F.transform("hits", region).alias("all"))
+    pairs = pairs.withColumn("enough", F.filter("all", lambda r: r["part"] >= LEAST_CONTAINMENT))
+
+    def opens(r: Column, k: Column) -> Column:
+        before = F.get(F.col("enough"), k - 1)["at"]
+        return before.isNull() | (r["at"] - before >= width)
+
+    return pairs.where(F.size("enough") > 0).select(
+        F.col("doc_id").alias(id_col),
+        "template",
+        F.array_max(F.transform("enough", lambda r: r["part"])).alias("containment"),
+        F.size(F.filter("enough", opens)).cast("long").alias("regions"),
+    )
+
+
+def notices_sql(templates: dict[str, str] = TEMPLATES) -> str:
+    """``notices`` without retrieval, in DuckDB's SQL over ``documents``: from every shingle of every text."""
+    listed = ", ".join(f"('{n}', '{t.replace(chr(39), chr(39) * 2)}')" for n, t in sorted(templates.items()))
+    split = "regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER + "'), '[a-z0-9]+')"
+    cut = "[array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]"
+    return f"""
+WITH named(name, text) AS (VALUES {listed}),
+templates AS (
+  SELECT name, k, list_distinct({cut}) AS wanted
+  FROM (SELECT name, w, least({SHINGLE_WORDS}, len(w)) AS k FROM (SELECT name, {split} AS w FROM named))),
+lengths AS (SELECT DISTINCT k FROM templates),
+texts AS (SELECT doc_id, k, {cut} AS shingles FROM (SELECT doc_id, {split} AS w FROM documents), lengths),
+opened AS (
+  SELECT doc_id, name, wanted, shingles, {REGION_WIDTH} * len(wanted) AS width,
+         [i for i in range(1, len(shingles) + 1) if list_contains(wanted, shingles[i])] AS starts
+  FROM texts JOIN templates USING (k)),
+compared AS (
+  SELECT doc_id, name AS template, width, starts,
+         [len(list_intersect(shingles[i:i + width - 1], wanted)) / len(wanted) for i in starts] AS parts
+  FROM opened WHERE len(starts) > 0),
+kept AS (
+  SELECT doc_id, template, width, parts, [starts[j] for j in range(1, len(starts) + 1) if parts[j] >= {LEAST_CONTAINMENT}] AS enough
+  FROM compared)
+SELECT doc_id, template, CAST(list_max(parts) AS DOUBLE) AS containment,
+       CAST(len([j for j in range(1, len(enough) + 1) if j = 1 OR enough[j] - enough[j - 1] >= width]) AS BIGINT) AS regions
+FROM kept WHERE len(enough) > 0
+"""
+
+
 def sql(templates: dict[str, str] = TEMPLATES) -> str:
     """The same without retrieval, in DuckDB's SQL over ``documents``: every region of every text."""
     listed = ", ".join(f"('{n}', '{t.replace(chr(39), chr(39) * 2)}')" for n, t in sorted(templates.items()))

@@ -104,3 +104,11 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_license_scan"] = licenses.sql()
+
+
+@query
+def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.notices(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_license_notices"] = licenses.notices_sql()

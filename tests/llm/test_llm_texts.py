@@ -203,6 +203,51 @@ def test_license_sql(spark):
     same(QUERIES["op8_license_scan"](spark, SF), duck(documents, licenses.sql()))
 
 
+def notices_by_brute_force(text, templates):
+    """Template, containment and regions, from every shingle of the text."""
+    import re
+
+    split = lambda t: re.findall("[a-z0-9]+", t.lower())
+    out, w = [], split(text or "")
+    for name, notice in templates.items():
+        own = split(notice)
+        k = min(5, len(own))
+        wanted = {tuple(own[i : i + k]) for i in range(len(own) - k + 1)}
+        cut = [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]
+        parts = [len(wanted & set(cut[i : i + 3 * len(wanted)])) / len(wanted) for i in range(len(cut))]
+        enough = [i for i, p in enumerate(parts) if p >= 0.8 and cut[i] in wanted]
+        assert bool(enough) == any(p >= 0.8 for p in parts)
+        if enough:
+            regions = sum(j == 0 or enough[j] - enough[j - 1] >= 3 * len(wanted) for j in range(len(enough)))
+            out.append((name, round(max(parts), 9), regions))
+    return out
+
+
+def test_notices_wherever_they_stand(spark):
+    words = licenses.TEMPLATES["mit-permission"].split()
+    texts = [None, "", "Released under the MIT License."]
+    for put in (0, 4, 8, 12, 20, 30):
+        for offset in range(26):
+            inside = words[:15] + [f"x{i}" for i in range(put)] + words[15:]
+            texts.append(" ".join([f"a{i}" for i in range(offset)] + inside + ["end"] * 60))
+    texts.append(" ".join(words + ["between"] * 200 + words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in licenses.notices(df).collect():
+        found.setdefault(r["doc_id"], []).append((r["template"], round(r["containment"], 9), r["regions"]))
+    for i, text in enumerate(texts):
+        assert sorted(found.get(i, [])) == sorted(notices_by_brute_force(text, licenses.TEMPLATES))
+    assert all(found[i][0][0] == "mit-permission" for i in range(3, len(texts)))
+    assert found[len(texts) - 1] == [("mit-permission", 1.0, 2)]
+    same(licenses.notices(df), duck(df.toPandas(), licenses.notices_sql()))
+    assert licenses.notices(df.where("false")).count() == 0
+
+
+def test_notices_sql(spark):
+    documents = pd.read_parquet(f"{SF}/documents.parquet")
+    same(QUERIES["op8_license_notices"](spark, SF), duck(documents, licenses.notices_sql()))
+
+
 @pytest.mark.parametrize("case", ["given", "hot", "one", "tiny", "empty"])
 def test_mixing_sql(spark, case):
     words = lambda n: " ".join(["w"] * n)
