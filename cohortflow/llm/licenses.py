@@ -57,6 +57,14 @@ TEMPLATES = {
         "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
 }
+#: With notices of fewer than five words, which ``scan`` and its SQL cannot take.
+NOTICES = {
+    **TEMPLATES,
+    "all-rights-reserved": "All rights reserved.",
+    "spdx-apache-2.0": "SPDX-License-Identifier: Apache-2.0",
+    "spdx-gpl-3.0": "SPDX-License-Identifier: GPL-3.0",
+    "spdx-mit": "SPDX-License-Identifier: MIT",
+}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -184,7 +192,7 @@ def scan(
 
 
 def notices(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, templates: dict[str, str] = NOTICES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """A row per row of ``docs`` and template it holds, as ``scan`` gives them, but looked for from every
     shingle of the text instead of from each multiple of the template's length.
@@ -268,7 +276,7 @@ def notices(
     )
 
 
-def notices_sql(templates: dict[str, str] = TEMPLATES) -> str:
+def notices_sql(templates: dict[str, str] = NOTICES) -> str:
     """``notices`` without retrieval, in DuckDB's SQL over ``documents``: from every shingle of every text."""
     listed = ", ".join(f"('{n}', '{t.replace(chr(39), chr(39) * 2)}')" for n, t in sorted(templates.items()))
     split = "regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER + "'), '[a-z0-9]+')"

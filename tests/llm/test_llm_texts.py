@@ -236,13 +236,28 @@ def test_notices_wherever_they_stand(spark):
     for r in licenses.notices(df).collect():
         found.setdefault(r["doc_id"], []).append((r["template"], round(r["containment"], 9), r["regions"]))
     for i, text in enumerate(texts):
-        assert sorted(found.get(i, [])) == sorted(notices_by_brute_force(text, licenses.TEMPLATES))
+        assert sorted(found.get(i, [])) == sorted(notices_by_brute_force(text, licenses.NOTICES))
     assert all(found[i][0][0] == "mit-permission" for i in range(3, len(texts)))
     assert found[len(texts) - 1] == [("mit-permission", 1.0, 2)]
     same(licenses.notices(df), duck(df.toPandas(), licenses.notices_sql()))
     assert licenses.notices(df.where("false")).count() == 0
 
 
+def test_short_notices(spark):
+    texts = [
+        "All rights reserved.", "© 2020 A. All  RIGHTS reserved! and more", "all rights", "SPDX-License-Identifier: MIT",
+        "// SPDX-License-Identifier: Apache-2.0 //", "word " * 2000 + "All rights reserved. " + "word " * 2000, "rights reserved all", "", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted((r["doc_id"], r["template"], r["containment"], r["regions"]) for r in licenses.notices(df).collect())
+    assert found == [
+        (0, "all-rights-reserved", 1.0, 1), (1, "all-rights-reserved", 1.0, 1), (3, "spdx-mit", 1.0, 1),
+        (4, "spdx-apache-2.0", 1.0, 1), (5, "all-rights-reserved", 1.0, 1),
+    ]
+    for i, text in enumerate(texts):
+        assert [f[1:] for f in found if f[0] == i] == notices_by_brute_force(text, licenses.NOTICES)
+
+
 def test_notices_sql(spark):
     documents = pd.read_parquet(f"{SF}/documents.parquet")
     same(QUERIES["op8_license_notices"](spark, SF), duck(documents, licenses.notices_sql()))
