@@ -52,6 +52,16 @@ def unused(df: DataFrame, label: str) -> str:
     return name
 
 
+def spread(text: Column, most: Column | int, stretches: int = 10) -> Column:
+    """A text of up to ``most`` characters whole, else as many of them in stretches that lie evenly over
+    it from its start to its end, on lines of their own."""
+    n = F.length(text)
+    size = F.greatest(F.floor((most if isinstance(most, Column) else F.lit(most)) / stretches), F.lit(1)).cast("int")
+    steps = F.sequence(F.lit(0), F.lit(stretches - 1))
+    parts = F.transform(steps, lambda i: F.substring(text, F.floor((n - size) * i / (stretches - 1)).cast("int") + 1, size))
+    return F.when(n <= most, text).otherwise(F.array_join(parts, "\n"))
+
+
 def held_out(id_col: str) -> Column:
     """The quarter of the ids that no model learns from; a null id is not held out."""
     return F.coalesce(F.pmod(F.crc32(F.col(quoted(id_col)).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))

@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from cohortflow.llm.common import hash_fraction, held_out, quoted, texts_in_slices, with_struct
+from cohortflow.llm.common import hash_fraction, held_out, quoted, spread, texts_in_slices, with_struct
 from cohortflow.llm.pieces import kept_by_worker, release
 from cohortflow.sources.scratch import settle
 
 #: Documents of each language that a sample is drawn from, and its normalised characters at most.
 SAMPLE_DOCS, SAMPLE_CHARS = 300, 40_000
-#: Longer documents give no sample text (every document is scored whole).
+#: Of a longer document, evenly spread stretches of so many characters together are drawn from, or of
+#: more where a language has few documents (every document is scored whole).
 SAMPLE_DOC_CHARS = 20_000
 #: A text is cut into pieces of so many normalised characters, each parsed from the start.
 PIECE_CHARS = 2_048
@@ -164,7 +165,8 @@ def learn(
     """Samples of the languages of the documents that are not held out: (language, normalised text).
 
     Of each language, documents with the smallest hashes of their ids, about ``sample_docs``, give
-    their whole texts in that order until ``sample_chars`` are reached; repeated texts count once.
+    their whole texts, or evenly spread stretches of long ones, in that order until ``sample_chars``
+    are reached; repeated texts count once.
     """
     id_, text, lang = (F.col(quoted(c)) for c in (id_col, text_col, lang_col))
     rows = docs.where(~held_out(id_col)).select(
@@ -172,10 +174,11 @@ def learn(
     ).where("lang is not null and hash is not null")
     counts = rows.groupBy("lang").count()
     # A row per language, written first so that its size is known where the join is planned.
-    share = settle(counts.select("lang", (F.lit(float(sample_docs)) / F.col("count")).alias("share")), "languages")
-    drawn = rows.join(share, "lang").where(
-        (F.col("hash") < F.col("share")) & (F.length("text") <= SAMPLE_DOC_CHARS)
-    )
+    most = F.greatest(F.lit(SAMPLE_DOC_CHARS), F.ceil(F.lit(2 * sample_chars) / F.col("count"))).cast("int")
+    share = (F.lit(float(sample_docs)) / F.col("count")).alias("share")
+    share = settle(counts.select("lang", share, most.alias("most")), "languages")
+    drawn = rows.join(share, "lang").where((F.col("hash") < F.col("share")) & F.col("text").isNotNull())
+    drawn = drawn.withColumn("text", spread(F.col("text"), F.col("most")))
     samples: dict[str, str] = {}
     seen: set[str] = set()
     for row in sorted(drawn.select("lang", "hash", "text").collect(), key=lambda r: (r["lang"], r["hash"])):

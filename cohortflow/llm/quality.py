@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from cohortflow.llm.common import hash_fraction, held_out, quoted, texts_in_slices, with_struct
+from cohortflow.llm.common import hash_fraction, held_out, quoted, spread, texts_in_slices, with_struct
 from cohortflow.llm.pieces import release
 
 #: Labelled documents of each class that the field is fitted on, about.
 SAMPLE_DOCS = 1_000
-#: Longer documents are not fitted on (every document is scored whole).
+#: Of a longer document, evenly spread stretches of so many characters together are fitted on (every
+#: document is scored whole).
 SAMPLE_DOC_CHARS = 20_000
 STEPS, RATE, RIDGE = 150, 0.1, 1e-3
 THRESHOLD = 0.7
@@ -190,7 +191,7 @@ def learn(
 ) -> Field:
     """A field fitted on about ``sample_docs`` labelled documents of each class, those whose ids have the
     smallest hashes, without the held-out ones. The sample meets on the driver: at most about
-    2 x ``sample_docs`` texts of up to ``SAMPLE_DOC_CHARS`` characters."""
+    2 x ``sample_docs`` texts, of each up to about ``SAMPLE_DOC_CHARS`` characters."""
     rows = labels.where(~held_out(id_col)).select(
         F.col(quoted(id_col)).alias("doc_id"),
         F.col(quoted(label_col)).cast("int").alias("y"),
@@ -205,9 +206,10 @@ def learn(
     spark = docs.sparkSession
     chosen = F.broadcast(spark.createDataFrame([(r["doc_id"], r["y"]) for r in ids], "doc_id long, y int").distinct())
     texts = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text")).where(
-        F.length("text") <= SAMPLE_DOC_CHARS
+        "text is not null"
     )
-    sample = texts.join(chosen, "doc_id").select("doc_id", "text", "y").collect()
+    drawn_texts = texts.join(chosen, "doc_id").select("doc_id", spread(F.col("text"), SAMPLE_DOC_CHARS).alias("text"), "y")
+    sample = drawn_texts.collect()
     sample.sort(key=lambda r: (r["doc_id"], r["y"], r["text"]))
     good_share = counts.get(1, 0) / sum(counts.values())
     return fit_field([(line_features(r["text"])[0], r["y"]) for r in sample], good_share)

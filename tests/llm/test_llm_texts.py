@@ -95,6 +95,34 @@ def test_language(spark):
     assert language.learn(null) == ()
 
 
+def test_long_documents_are_learned_from(spark):
+    de, en = "der Hund und die Katze gehen in das Haus ", "the dog and the cat go into the house "
+    rows = [(i, f"{de}{i} " * 3, "de") for i in range(40)] + [(100 + i, f"{en}{i} " * 900, "en") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(t) for _, t, lang in rows if lang == "en") > language.SAMPLE_DOC_CHARS
+    samples = language.learn(docs)
+    assert [lang for lang, _ in samples] == ["de", "en"] and len(samples[1][1]) > 15_000
+    found = {r["lang"]: r["lang_pred"] for r in language.identify(docs, samples).collect()}
+    assert found == {"de": "de", "en": "en"}
+    clean, junk = "The river is long and the town lies near it.\n", "BUY NOW!!! $$$ | BUY NOW!!! $$$\n"
+    rows = [(i, clean * (3 + i), 1) for i in range(40)] + [(100 + i, junk * 900, 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    field = quality.learn(docs, docs)
+    found = quality.score(docs, field).collect()
+    assert all(r["predicted"] == r["quality"] for r in found)
+
+
+def test_stretches_are_spread_evenly(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(5000))
+    df = spark.createDataFrame([(text,), (text[:100],), ("",)], "text string")
+    from cohortflow.llm.common import spread
+
+    whole, short, empty = (r[0] for r in df.select(spread(df.text, 100)).collect())
+    parts = whole.split("\n")
+    assert [len(p) for p in parts] == [10] * 10 and parts[0] == text[:10] and parts[-1] == text[-10:]
+    assert all(p in text for p in parts) and short == text[:100] and empty == ""
+
+
 def test_held_out_language(spark):
     found = QUERIES["op3_language_id"](spark, "/root/testdata/sf0.01").where("held_out")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
