@@ -29,4 +29,13 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     storage that outlives any executor."""
     path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._settled_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes the tables behind frames that ``settle`` returned and that no later job reads."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._settled_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
