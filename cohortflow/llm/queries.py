@@ -8,15 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.llm import (
+    clustering,
     embedding_dedup,
     language,
     licenses,
+    merkle,
     mixing,
     quality,
     scaled_sketch,
     simhash,
     token_counts,
     token_files,
+    top_k,
     trie_bpe,
 )
 from cohortflow.llm.common import held_out
@@ -112,3 +115,27 @@ def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_license_notices"] = licenses.notices_sql()
+
+
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_centroid_clustering"] = clustering.sql()
+
+
+@query
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_exact_top_k"] = top_k.SQL
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle_manifest"] = merkle.sql()
