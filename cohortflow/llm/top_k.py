@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -135,7 +136,7 @@ def _rows(query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBa
 def cell(queries: pa.Table, vectors: pa.Table, best: int) -> Iterator[pa.RecordBatch]:
     """The best of one shard's vectors for each query of one block."""
     queries, vectors = queries.combine_chunks(), vectors.combine_chunks()
-    widths = [pa.compute.list_value_length(t.column("x")).to_numpy() for t in (queries, vectors)]
+    widths = [pc.list_value_length(t.column("x")).to_numpy() for t in (queries, vectors)]
     for width in np.unique(widths[0]):
         q, v = (t.filter(pa.array(w == width)) for t, w in zip((queries, vectors), widths))
         if not v.num_rows:
