@@ -167,7 +167,7 @@ def proofs(found: Manifest, wanted: DataFrame | None = None) -> DataFrame:
         F.lit(0).alias("tree"), F.lit(0).cast("long").alias("prefix"), F.lit(found.root).alias("digest"),
         F.expr(f"cast(array() as {segments})").alias("path"), F.lit(None).cast("string").alias("subroot"), F.lit(0).cast("long").alias("n"),
     )
-    at = start
+    at = settle(start, "start")
     for height in reversed(range(len(found.top))):
         at = _descended(at, found.top[height], heads(WIDTH**height, False))
     sizes = found.subroots.select(F.col("tree").alias("prefix"), F.col("n").alias("size"))
