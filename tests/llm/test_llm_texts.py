@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 
 from cohortflow.llm import language, licenses, mixing, quality, scaled_sketch
 from cohortflow.llm.queries import QUERIES
@@ -136,20 +137,22 @@ def test_edited_pairs(spark):
     rows = [(i * 3, t) for i, t in enumerate(texts + words)] + [(6, "ab"), (None, "null id")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_chars int")
     found = scaled_sketch.edited_pairs(df).collect()
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)  # equal rows share an id
-    assert len(found) == len(rows)
-    by_id = {r["doc_id"]: r for r in found}
-    for k, (doc, text) in enumerate(order):
-        text, following = text or "", order[(k + 1) % len(order)][1] or ""
-        if (doc, text) == (6, "ab") and order[(k + 1) % len(order)][0] == 6:
-            continue  # the other of two equal rows
+    # Ids descend, null last; rows that share an id descend by the hash of their text.
+    signed = lambda t: int.from_bytes(xxhash.xxh64_digest(t.encode(), 42), "big", signed=True)
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])), reverse=True)
+    expected, unchanged = [], set()
+    for (doc, text), (_, following) in zip(order, order[1:] + order[:1]):
         half = len(text) // 2
         edited = text[: len(text) - half] + following[:half]
-        rows_of = [r for r in found if r["doc_id"] == doc]
-        assert hashlib.sha256(edited.encode()).hexdigest() in {r["edited_sha256"] for r in rows_of}
-        assert all(r["n_chars"] == len(text) and 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows_of)
+        expected.append((doc, len(text), hashlib.sha256(edited.encode()).hexdigest()))
         if edited == text:
-            assert by_id[doc]["near_edited"] == 1 or doc == 6
+            unchanged.add(expected[-1])
+    got = [(r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    for key, r in zip(got, found):
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        assert key not in unchanged or (r["near_edited"] == 1 and r["fingerprint"] == r["edited_fingerprint"])
+    by_id = {r["doc_id"]: r for r in found}
     assert by_id[0]["fingerprint"] == by_id[3]["fingerprint"]  # empty and null
     assert by_id[24]["fingerprint"] != by_id[27]["fingerprint"]
     assert scaled_sketch.edited_pairs(df.where("false")).count() == 0
