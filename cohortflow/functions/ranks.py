@@ -104,6 +104,11 @@ def _buckets(
     )
 
 
+def bucket_of(df: DataFrame, column: str, splits: Sequence[float], name: str) -> DataFrame:
+    """``df`` with the bucket of a column's values between inner bounds."""
+    return _buckets(df, {column: F.col(column)}, {column: splits}).withColumnRenamed("_b0", name)
+
+
 def _bucket_totals(
     df: DataFrame, weights: Mapping[str, Column], splits: Mapping[str, Sequence[float]]
 ) -> DataFrame:

@@ -2,52 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
+from cohortflow.functions import isotonic
 from cohortflow.functions.bins import unit_bin_left_closed, unit_bin_right_closed
 from cohortflow.functions.scalars import nan_as_missing
 from cohortflow.operators.merge import require_columns
+from cohortflow.sources.scratch import settle
 
 
 def fit_isotonic(
-    scored: DataFrame, score: str = "prediction_proba", label: str = defaults.TARGET
-) -> IsotonicRegressionModel:
-    """Isotonic fit of label on score.
+    scored: DataFrame,
+    score: str = "prediction_proba",
+    label: str = defaults.TARGET,
+    points_per_range: int = isotonic.POINTS_PER_RANGE,
+) -> DataFrame:
+    """(score, calibrated): the break points of the isotonic fit of label on score.
 
-    Equal scores become one weighted point first; the fit is the same and a score
-    shared by many rows costs one row.
+    Equal scores become one weighted point first; the fit is the same and a score shared by many
+    rows costs one row. Violators are pooled inside ranges of ``points_per_range`` scores and then across
+    their seams, so no task and not the driver holds all of them. Without rows there are no points.
     """
     require_columns(scored, [score, label], "scored rows")
     points = (
         nan_as_missing(scored).where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))
-        .agg(
-            F.avg(F.col(label).cast("double")).alias("rate"),
-            F.count("*").cast("double").alias("weight"),
-        )
+        .agg(F.sum(F.col(label).cast("double")).alias("total"), F.count("*").cast("double").alias("weight"))
     )
-    return IsotonicRegression(
-        featuresCol="score", labelCol="rate", weightCol="weight", predictionCol="calibrated"
-    ).fit(points)
+    blocks = isotonic.fit_blocks(settle(points, "points"), points_per_range)
+    return isotonic.break_points(blocks)
 
 
 def apply_isotonic(
-    model: IsotonicRegressionModel,
-    scored: DataFrame,
-    score: str = "prediction_proba",
-    name: str = "prediction_calibrated",
+    points: DataFrame, scored: DataFrame, score: str = "prediction_proba", name: str = "prediction_calibrated"
 ) -> DataFrame:
     """Adds the calibrated score: linear between the fitted points, clipped outside."""
-    return model.copy().setFeaturesCol(score).setPredictionCol(name).transform(scored)
-
-
-def calibration_points(model: IsotonicRegressionModel, spark) -> DataFrame:
-    """(score, calibrated): the fitted break points."""
-    points = zip(model.boundaries.toArray().tolist(), model.predictions.toArray().tolist())
-    return spark.createDataFrame(list(points), "score double, calibrated double")
+    return isotonic.interpolated(points, scored, score, name)
 
 
 def reliability_left_closed(

@@ -28,7 +28,7 @@ from cohortflow.operators import (
     train,
 )
 from cohortflow.operators.windows import shared_as_of
-from cohortflow.sources.models import load_calibrator, load_classifier, save_model
+from cohortflow.sources.models import load_calibrator, load_classifier, save_calibrator, save_model
 from cohortflow.sources.reports import read_report, write_report
 from cohortflow.sources.tables import read_parquet, read_source, write_parquet
 
@@ -111,7 +111,7 @@ def train_classifier(
 def calibrate_model(
     spark: SparkSession, validation: str, output: str, target: str = defaults.TARGET
 ) -> None:
-    save_model(calibrate.fit_isotonic(read_parquet(spark, validation), label=target), output)
+    save_calibrator(calibrate.fit_isotonic(read_parquet(spark, validation), label=target), output)
 
 
 def evaluate_model(
@@ -119,7 +119,7 @@ def evaluate_model(
     thresholds: Mapping[str, float] = defaults.THRESHOLDS, target: str = defaults.TARGET,
 ) -> None:
     scored = calibrate.apply_isotonic(
-        load_calibrator(calibrator), read_parquet(spark, validation)
+        load_calibrator(spark, calibrator), read_parquet(spark, validation)
     )
     metrics = evaluate.metrics_row(scored, "prediction_proba", "prediction_calibrated", target)
     confusion = evaluate.threshold_metrics(

@@ -194,8 +194,8 @@ def model_roundtrip(spark, d):
 def score_calibrated(spark, d):
     scored = validation_scores(spark, d)
     path = scratch.scratch_path(spark, "calibrator")
-    models.save_model(calibrate.fit_isotonic(scored), path)
-    calibrated = calibrate.apply_isotonic(models.load_calibrator(path), scored)
+    models.save_calibrator(calibrate.fit_isotonic(scored), path)
+    calibrated = calibrate.apply_isotonic(models.load_calibrator(spark, path), scored)
     return calibrated.select(*KEYS, "prediction_proba", "prediction_calibrated")
 
 
