@@ -11,20 +11,16 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow import defaults
-from cohortflow.functions import trees
+from cohortflow.functions import coalitions
 from cohortflow.functions.scalars import nan_as_missing, risk_band
-from cohortflow.functions.trees import Forest, exact_shapley
+from cohortflow.functions.trees import Forest
 from cohortflow.operators.train import row_hash
 
-# The tree helpers travel with the task, so that executors need not have this package.
-register_pickle_by_value(trees)
-
 CONTRIBUTIONS = "array<struct<feature: string, value: double, phi: double>>"
 
 
@@ -82,8 +78,9 @@ def tree_shap(assembled: DataFrame, forest: Forest, features: Sequence[str]) ->
     """Path-dependent contributions to the margin of a tree ensemble.
 
     ``assembled`` comes from ``train.assembled``. A feature and its missing flag
-    count as one. The trees go to the tasks with the function; their size is that
-    of the model, not of the data.
+    count as one. A row costs leaves x depth^2 steps, whatever the depth. The trees go
+    to the tasks with the function; their size is that of the model, not of the data.
+    Executors need this package (``session.ship_package``).
     """
     width = len(features)
 
@@ -97,7 +94,8 @@ def tree_shap(assembled: DataFrame, forest: Forest, features: Sequence[str]) ->
 def background_sample(
     assembled: DataFrame, keys: Sequence[str], n: int = defaults.BACKGROUND_ROWS
 ) -> np.ndarray:
-    """Model inputs of the n rows of smallest key hash; a bounded sample by design."""
+    """Model inputs of the n rows of smallest key hash; a bounded sample by design, which goes to
+    every task."""
     rows = assembled.orderBy(row_hash(keys), *keys).select("inputs").limit(n).collect()
     return np.array([row["inputs"] for row in rows])
 
@@ -108,21 +106,25 @@ def kernel_shap(
     background: np.ndarray,
     features: Sequence[str],
     partitions: int | None = None,
+    sets: int = coalitions.SETS,
+    seed: int = defaults.SEED,
 ) -> DataFrame:
-    """Model-agnostic contributions to ``predict``: exact Shapley values over all feature
-    subsets, absent features taking the values of each background row in turn.
+    """Model-agnostic contributions to ``predict`` (a function of a matrix of inputs): absent features take the
+    values of each background row in turn, and a weighted fit over sets of known features gives the Shapley
+    values, exactly if all sets (2^features - 2) are no more than ``sets``, else from sets drawn in pairs.
 
-    A row costs (2^features x background) predictions, so few bytes keep a core busy
-    for long; ``partitions`` spreads the rows wider than their size would.
+    The sets are drawn once and shared by all rows; a batch of rows costs one solve and rows x sets x background
+    predictions, so few bytes keep a core busy for long; ``partitions`` spreads the rows wider than their
+    size would. Any number of background rows is taken; they go to every task. An empty table gives an empty one.
     """
     if partitions:
         assembled = assembled.repartition(partitions)
-    if len(background) > defaults.BACKGROUND_ROWS:
-        raise ValueError(f"at most {defaults.BACKGROUND_ROWS} background rows")
-    width = len(features)
+    if not len(background):
+        raise ValueError("contributions need background rows")
+    shared = coalitions.Coalitions.of(len(features), sets, seed)
 
     def phi_of(inputs: np.ndarray) -> np.ndarray:
-        return np.array([exact_shapley(predict, row, background, width) for row in inputs])
+        return coalitions.contributions(predict, inputs, background, shared)
 
     base = float(np.mean(predict(background)))
     return _with_phi(_map_inputs(assembled, phi_of, base), features)

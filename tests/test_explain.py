@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortflow.functions.trees import exact_shapley, load_forest, shapley_of_game
+from cohortflow.functions.coalitions import Coalitions, contributions
+from cohortflow.functions.trees import Forest, Leaf, load_forest
 from cohortflow.operators import calibrate, explain, train
 from cohortflow.sources import models
 
@@ -27,11 +28,65 @@ def by_definition(worth, k):
     return phi
 
 
-def test_shapley_of_game():
+def test_a_fit_over_all_sets_is_the_definition():
     rng = np.random.default_rng(0)
-    worth = rng.normal(size=16)
-    expected = by_definition(lambda s: worth[sum(1 << i for i in s)], 4)
-    assert shapley_of_game(worth, 4) == pytest.approx(expected)
+    for k in (1, 2, 3, 5):
+        worth = rng.normal(size=1 << k)
+        number = lambda s: sum(1 << int(i) for i in s)
+        sets = Coalitions.of(k)
+        assert len(sets.known) == max(0, 2**k - 2)
+        of_sets = np.array([[worth[number(np.flatnonzero(row))] for row in sets.known]])
+        phi = sets.solve(of_sets.reshape(1, -1), worth[0], np.array([worth[-1]]))[0]
+        assert phi == pytest.approx(by_definition(lambda s: worth[number(s)], k))
+
+
+def test_thirty_features_and_many_background_rows():
+    """Drawn sets find the closed form of a linear score, and add up for any score."""
+    rng = np.random.default_rng(1)
+    weights, background = rng.normal(size=30), rng.normal(size=(150, 30))
+    rows = rng.normal(size=(4, 30))
+    sets = Coalitions.of(30, 400, seed=5)
+    assert len(sets.known) <= 400 and (sets.known.sum(0) * 2 == len(sets.known)).all()  # complements
+    phi = contributions(lambda x: x @ weights, rows, background, sets)
+    assert phi == pytest.approx((rows - background.mean(0)) * weights)
+    squared = lambda x: (x @ weights) ** 2
+    phi = contributions(squared, rows, background, sets)
+    assert phi.sum(1) == pytest.approx(squared(rows) - squared(background).mean())
+
+
+def test_long_paths_by_the_definition_and_deep_trees_add_up():
+    rng = np.random.default_rng(2)
+
+    def grow(depth, width, box, share):
+        if not depth:
+            fs = sorted(box)
+            low, high = (np.array([box[f][i] for f in fs]) for i in (0, 1))
+            return [Leaf(float(rng.normal()), np.array(fs, int), low, high, np.array([share[f] for f in fs]))]
+        f = int(rng.integers(width))
+        low, high = box.get(f, (-np.inf, np.inf))
+        cut = rng.uniform(max(low, -2), min(high, 2))
+        part = rng.uniform(0.0, 1.0) if rng.random() < 0.9 else 0.0  # a branch that no training row took
+        found = []
+        for bounds, p in (((low, cut), part), ((cut, high), 1 - part)):
+            found += grow(depth - 1, width, {**box, f: bounds}, {**share, f: share.get(f, 1.0) * p})
+        return found
+
+    forest = Forest(grow(4, 7, {}, {}), 7)
+    rows = rng.normal(size=(3, 7))
+    for row, phi in zip(rows, forest.contributions(rows)):
+        def worth(known):
+            return sum(
+                leaf.value * np.prod([
+                    float(low < row[f] <= high) if f in known else share
+                    for f, low, high, share in zip(leaf.features, leaf.low, leaf.high, leaf.share)
+                ])
+                for leaf in forest.leaves
+            )
+
+        assert phi == pytest.approx(by_definition(worth, 7))
+    deep = Forest(grow(10, 40, {}, {}) + grow(11, 25, {}, {}), 40)
+    rows = rng.normal(size=(60, 40))
+    assert deep.base + deep.contributions(rows).sum(1) == pytest.approx(deep.margin(rows))
 
 
 @pytest.fixture(scope="module")
@@ -109,14 +164,32 @@ def test_kernel_shap_matches_the_definition(fitted):
         phi = [c["phi"] for c in r["contributions"]]
         assert phi == pytest.approx(by_definition(worth, 3))
         assert r["base"] + sum(phi) == pytest.approx(r["prediction_proba"])
+    more = explain.kernel_shap(rows.where("id < 2"), forest.probability, np.zeros((101, 6)), FEATURES)
+    assert more.count() == 2
     with pytest.raises(ValueError):
-        explain.kernel_shap(rows, forest.probability, np.zeros((101, 6)), FEATURES)
+        explain.kernel_shap(rows, forest.probability, np.zeros((0, 6)), FEATURES)
+
+
+def test_a_deep_model_adds_up(spark, fitted):
+    """Paths of more features than sets of them could be listed for."""
+    rng = np.random.default_rng(9)
+    names = [f"f{i}" for i in range(16)]
+    x = rng.normal(size=(3000, 16))
+    y = (np.sin(3 * x).sum(1) + rng.normal(size=3000) > 0).astype(int)
+    rows = [(i, *map(float, v), int(t)) for i, (v, t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{n} double" for n in names) + ", label_90d int")
+    model = train.fit_classifier(df, names, maxIter=2, maxDepth=15, minInstancesPerNode=1)
+    forest = load_forest(spark, model.stages[-1])
+    assert max(len(leaf.features) for leaf in forest.leaves) > 8
+    few = train.assembled(model, df.where("id < 200"), names)
+    row = explain.shap_additivity(explain.tree_shap(few, forest, names)).first()
+    assert row["n"] == 200 and row["max_error"] < 1e-9 and row["passed"]
 
 
 def test_dummy_player_gets_nothing():
     background = np.zeros((3, 4))
-    phi = exact_shapley(lambda x: x[:, 0] * 2.0, np.array([1.0, 5.0, 0.0, 0.0]), background, 2)
-    assert phi == pytest.approx([2.0, 0.0])
+    phi = contributions(lambda x: x[:, 0] * 2.0, np.array([[1.0, 5.0, 0.0, 0.0]]), background, Coalitions.of(2))
+    assert phi[0] == pytest.approx([2.0, 0.0])
 
 
 def test_model_and_calibrator_round_trip(spark, fitted, tmp_path):

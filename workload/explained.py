@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,6 +229,40 @@ def kernel_shap(spark, d):
     return _phi_columns(explained)
 
 
+# The linear score again, explained as if nothing were known of it: no gaps, and means of the background.
+PLAIN = {f: w for f, w in WEIGHTS.items() if f != "item"}
+
+
+@query(
+    "kernel_shap_linear",
+    """WITH rows AS (SELECT event_id, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, hour(ts) AS hour
+  FROM events),
+means AS (SELECT avg(value) AS value, avg(k) AS k, avg(hour) AS hour FROM (
+  SELECT * FROM rows ORDER BY md5('42:' || CAST(event_id AS VARCHAR)), event_id LIMIT 50))
+SELECT event_id, """
+    + r6("0.3 - 0.0123456789123457::DOUBLE * m.value + 0.0198761234598761::DOUBLE * m.k + 0.0317171698317171::DOUBLE * m.hour")
+    + " AS base, "
+    + r6("-0.0123456789123457::DOUBLE * (r.value - m.value)") + " AS phi_value, "
+    + r6("0.0198761234598761::DOUBLE * (r.k - m.k)") + " AS phi_k, "
+    + r6("0.0317171698317171::DOUBLE * (r.hour - m.hour)") + " AS phi_hour FROM rows r, means m",
+)
+def kernel_shap_linear(spark, d):
+    """Contributions to a linear score, found from its values alone; the closed form is weight x (value - mean)."""
+    key = F.col("event_id")
+    rows = table(spark, d, "events").select(
+        key,
+        F.col("value").cast("double").alias("value"),
+        F.get_json_object("props", "$.k").cast("double").alias("k"),
+        F.hour("ts").cast("double").alias("hour"),
+    )
+    rows = rows.withColumn("inputs", F.array(*PLAIN))
+    background = explain.background_sample(rows, IDS, 50)
+    weights, intercept = np.array(list(PLAIN.values())), INTERCEPT
+    explained = explain.kernel_shap(rows, lambda inputs: inputs @ weights + intercept, background, list(PLAIN))
+    phi = F.col("contributions")
+    return explained.select(*IDS, "base", *[phi[i]["phi"].alias(f"phi_{f}") for i, f in enumerate(PLAIN)])
+
+
 @query(
     "shap_additivity",
     f"{VALIDATION_SQL} SELECT count(*) AS n, 0.0::DOUBLE AS max_error, 1 AS passed FROM held_out",
