@@ -1,16 +1,20 @@
 """Near duplicates among vectors: random hyperplanes, exact cosines, connected components.
 
-The signs of ``BITS`` random projections make a bucket, ``TABLES`` times. Vectors at the least cosine
-(0.93, an angle of 21.6 degrees) agree on a sign with probability 0.88, so on one of 32 buckets of
-12 signs with 1 - (1 - 0.88 ** 12) ** 32 = 0.9996, and nearer ones more surely.
+The signs of some random projections make a bucket, in several tables. Two vectors at the least cosine
+(0.93, an angle of 21.6 degrees) agree on a sign with probability 0.88, and nearer ones more surely. The number of
+signs of a bucket follows from the number of vectors of the largest label, so that a bucket holds some
+hundred of them, and the number of tables from the signs, so that vectors at the least cosine share a
+bucket with the wanted recall: 1 - (1 - 0.88 ** signs) ** tables.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -21,7 +25,12 @@ from cohortflow.llm.components import connected_components
 from cohortflow.sources.scratch import settle
 
 LEAST_COSINE = 0.93
-BITS, TABLES = 12, 32
+#: Of pairs at the least cosine, the share that meet in a bucket; of nearer pairs more do.
+RECALL = 0.995
+#: Vectors of one label that fall into a bucket on average, about.
+BUCKET_ROWS = 512
+#: Signs of a bucket, at least and at most.
+LEAST_BITS, MOST_BITS = 4, 30
 SEED = 20
 BLOCK_ROWS = 2048
 #: Rows of a group that are multiplied with the whole group at once.
@@ -30,31 +39,44 @@ ROWS_AT_ONCE = 512
 SMALL_GROUP = 24
 
 
-def planes(dim: int, bits: int = BITS, tables: int = TABLES, seed: int = SEED) -> np.ndarray:
+def plan(vectors: int, least_cosine: float = LEAST_COSINE, recall: float = RECALL, bucket_rows: int = BUCKET_ROWS) -> tuple[int, int]:
+    """Signs of a bucket and number of tables for so many vectors of one label."""
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, vectors / bucket_rows)))))
+    meet = (1 - math.acos(max(-1.0, min(1.0, least_cosine))) / math.pi) ** bits
+    return bits, 1 if meet >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
+
+
+def planes(dim: int, bits: int, tables: int, seed: int = SEED) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, bits * tables))
 
 
-def sign_buckets(vector: Column, bits: int = BITS, tables: int = TABLES, seed: int = SEED) -> Column:
-    """An array of ``tables`` bucket numbers for each vector."""
+def sign_buckets(vector: Column, bits: int, tables: int, seed: int = SEED) -> Column:
+    """The signs of each vector, eight to a byte, and its bucket in each table."""
 
-    @arrow_udf("array<int>")
+    @arrow_udf("struct<signs binary, buckets array<bigint>>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            sizes = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False).astype(int)
+            sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(int)
             flat = column.flatten().to_numpy(zero_copy_only=False).astype(float)
             starts = np.r_[0, np.cumsum(sizes)]
-            found = np.zeros((len(column), tables), np.int32)
+            found = np.zeros((len(column), -(-bits * tables // 8)), np.uint8)
             for dim in np.unique(sizes):
                 own = np.flatnonzero(sizes == dim)
                 x = flat[(starts[own][:, None] + np.arange(dim)).ravel()].reshape(len(own), dim)
-                signs = (x @ planes(int(dim), bits, tables, seed) >= 0).reshape(len(own), tables, bits)
-                found[own] = signs @ (1 << np.arange(bits))
-            offsets = pa.array(np.arange(len(column) + 1) * tables, pa.int32())
-            yield pa.ListArray.from_arrays(offsets, pa.array(found.ravel(), pa.int32()))
+                found[own] = np.packbits(x @ planes(int(dim), bits, tables, seed) >= 0, axis=1, bitorder="little")
+            offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * tables)
+            buckets = pa.ListArray.from_arrays(offsets, pa.array(bucket_numbers(found, bits, tables).ravel()))
+            yield pa.StructArray.from_arrays([pa.array([row.tobytes() for row in found], pa.binary()), buckets], names=["signs", "buckets"])
 
     return of(vector)
 
 
+def bucket_numbers(signs: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """(rows, tables): the bucket in each table, from rows of packed signs."""
+    found = np.unpackbits(signs, axis=1, count=bits * tables, bitorder="little").reshape(len(signs), tables, bits)
+    return found.astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+
+
 def usable(vector: Column) -> Column:
     """Neither null nor zero, with finite components only."""
     finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
@@ -64,12 +86,12 @@ def usable(vector: Column) -> Column:
 def near_vectors(
     vectors: DataFrame,
     least_cosine: float = LEAST_COSINE,
-    bits: int = BITS,
-    tables: int = TABLES,
+    recall: float = RECALL,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     label_col: str = "label",
     block_rows: int = BLOCK_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """A row per row of ``vectors``: the id, ``n_links`` (other rows linked directly), ``component_id``
     (the smallest id reachable by links, its own included), ``kept`` (id = component_id).
@@ -78,43 +100,54 @@ def near_vectors(
     at least ``least_cosine``. Vectors that are null, empty, zero or hold null or non-finite components,
     and rows without a label, link with nothing. So do rows without an id, whose component_id is null
     and which are kept. Vectors of different lengths do not link. Rows that repeat an id are rows like
-    any other. An empty table gives an empty one; other columns are not read, whatever their names.
+    any other: each has the links of its own vector and label. An empty table gives an empty one;
+    other columns are not read, whatever their names.
 
-    Equal vectors of a label are one from the start and count as often as they occur. A pair is
-    counted in the first table in which its buckets agree.
+    Equal vectors of a label are one class from the start and count as often as they occur; a class has
+    a number of its own. A pair is counted in the first table in which its buckets agree. Rows find
+    their class by two 64-bit hashes of label and vector, so vectors are shuffled for the classes and for
+    the tables only.
     """
+    vector, label = F.col(quoted(vector_col)), F.col(quoted(label_col))
+    wide = vectors.schema[vector_col].dataType.elementType.simpleString() != "float"
+    fit = F.col(quoted(id_col)).isNotNull() & label.isNotNull() & usable(vector.cast("array<double>"))
     rows = vectors.select(
-        F.col(quoted(id_col)).alias("vec_id"), F.col(quoted(vector_col)).cast("array<double>").alias("v"), F.col(quoted(label_col)).alias("label")
+        F.col(quoted(id_col)).alias("vec_id"),
+        label.alias("label"),
+        (vector.cast("array<double>") if wide else vector).alias("v"),
+        F.coalesce(fit, F.lit(False)).alias("fit"),
     )
-    fit = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v"))
-    rows = rows.withColumn("fit", F.coalesce(fit, F.lit(False)))
-    joined = rows.where("fit").select("vec_id", "label", "v")
-    classes = joined.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    classes = settle(classes, "classes")
+    hashes = {"h1": F.xxhash64("label", "v"), "h2": F.xxhash64(F.lit(1), "v", "label")}
+    joined = rows.where("fit").withColumns(hashes)
+    classes = joined.groupBy("h1", "h2", "label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+    classes = settle(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    bits, tables = plan(most, least_cosine, recall, bucket_rows)
     found = settle(_links(classes, least_cosine, bits, tables, block_rows), "links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    edges = found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
-    parts = connected_components(edges).select(F.col("node").alias("rep"), "component")
-    by_class = classes.join(links, "rep", "left").join(parts, "rep", "left")
+    links = found.groupBy("class").agg(F.sum("links").alias("links"))
+    edges = found.where("class <> root").select(F.col("class").alias("a"), F.col("root").alias("b"))
+    parts = settle(connected_components(edges).select(F.col("node").alias("class"), "component"), "parts")
+    names = classes.select("class", "h1", "h2", "rep", "copies")
+    least = names.join(parts, "class").groupBy("component").agg(F.min("rep").alias("least"))
+    by_class = names.join(links, "class", "left").join(parts.join(least, "component"), "class", "left")
     by_class = by_class.select(
-        "label",
-        "v",
+        "h1",
+        "h2",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"),
+        F.coalesce("least", "rep").alias("component_id"),
     )
-    linked = joined.join(settle(by_class, "by_class"), ["label", "v"]).select("vec_id", "n_links", "component_id")
+    linked = joined.select("vec_id", "h1", "h2").join(settle(by_class, "by_class"), ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not fit").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
     return linked.unionByName(alone).select(F.col("vec_id").alias(id_col), "n_links", "component_id", kept.alias("kept"))
 
 
 def _links(classes: DataFrame, least_cosine: float, bits: int, tables: int, block_rows: int) -> DataFrame:
-    """rep, links (rows it is linked to that were found here), root (a row it is linked to)."""
-    rows = classes.withColumn("signs", sign_buckets(F.col("v"), bits, tables))
-    rows = rows.select("rep", "copies", "v", "signs", "label", F.posexplode("signs").alias("table", "sign"))
-    bucket = F.xxhash64("label", F.size("v"), "table", "sign")
-    rows = rows.select("rep", "copies", "v", "signs", "table", F.xxhash64("label").alias("label"), bucket.alias("bucket"))
-    rows = with_block_pairs(rows, "bucket", F.col("rep"), block_rows)
+    """class, links (rows it is linked to that were found here), root (a class it is linked to)."""
+    signed = classes.select("class", "copies", "v", F.xxhash64("label").alias("label"), sign_buckets(F.col("v"), bits, tables).alias("found"))
+    rows = signed.select("class", "copies", "v", "label", "found.signs", F.posexplode("found.buckets").alias("table", "sign"))
+    rows = rows.withColumn("bucket", F.xxhash64("label", F.size("v"), "table", "sign")).drop("sign")
+    rows = with_block_pairs(rows, "bucket", F.col("class"), block_rows)
     keys = ["bucket", "_pair"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,31 +160,31 @@ def _links(classes: DataFrame, least_cosine: float, bits: int, tables: int, bloc
             starts = np.r_[0, np.cumsum(sizes[sizes > 1])]
             copies = table.column("copies").to_numpy()
             links, forest = np.zeros(len(copies), np.int64), Forest(len(copies))
-            for a, b in _near_pairs(table, starts, least_cosine):
+            for a, b in _near_pairs(table, starts, least_cosine, bits, tables):
                 np.add.at(links, a, copies[b])
                 np.add.at(links, b, copies[a])
                 forest.link(a, b)
-            reps, roots = table.column("rep").to_numpy(), forest.roots()
+            names, roots = table.column("class").to_numpy(), forest.roots()
             out = np.flatnonzero(links)
             if len(out):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(reps[out]), pa.array(links[out]), pa.array(reps[roots[out]])], names=["rep", "links", "root"]
+                    [pa.array(names[out]), pa.array(links[out]), pa.array(names[roots[out]])], names=["class", "links", "root"]
                 )
 
     return (
-        rows.select(*keys, "_block", "rep", "copies", "label", "table", "v", "signs")
+        rows.select(*keys, "_block", "class", "copies", "label", "table", "v", "signs")
         .repartition(*keys)
         .sortWithinPartitions(*keys)
-        .mapInArrow(compare, "rep long, links long, root long")
+        .mapInArrow(compare, "class long, links long, root long")
     )
 
 
-def _near_pairs(table: pa.Table, starts: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _near_pairs(table: pa.Table, starts: np.ndarray, least: float, bits: int, tables: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one group at the cosine or above whose buckets agree in no earlier table."""
     lists, signs = table.column("v").chunk(0), table.column("signs").chunk(0)
-    flat, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+    flat, sizes = lists.flatten().to_numpy().astype(float), np.diff(lists.offsets.to_numpy())
     at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    sign = signs.flatten().to_numpy().reshape(len(table), -1)
+    sign = bucket_numbers(np.frombuffer(b"".join(signs.to_pylist()), np.uint8).reshape(len(table), -1), bits, tables)
     number = table.column("table").to_numpy()
     label = table.column("label").to_numpy()
     block = table.column("_block").to_numpy()

@@ -128,6 +128,35 @@ def test_near_fingerprints(spark, block_rows):
     assert {p: found.get(p, p) for p in prints} == parts_of(prints, near)
 
 
+def test_repeated_ids_have_the_links_of_their_own_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0], 0), (1, [0.0, 1.0, 0.0], 0), (2, [1.0, 0.01, 0.0], 0), (1, [0.0, 0.0, 1.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.near_vectors(df).collect())
+    assert found == [(1, 0, 1), (1, 0, 1), (1, 1, 1), (2, 1, 1)]
+
+
+def test_signs_and_tables_follow_from_the_number_of_vectors():
+    for n in (0, 1, 500, 5_000, 10**6, 10**9):
+        bits, tables = embedding_dedup.plan(n)
+        meet = (1 - np.arccos(0.93) / np.pi) ** bits
+        assert 1 - (1 - meet) ** tables >= 0.995 > 1 - (1 - meet) ** (tables - 1)
+        assert n / 2**bits <= 512 and (bits == embedding_dedup.LEAST_BITS or n / 2**bits > 256)
+
+
+def test_recall_at_the_least_cosine():
+    """Pairs at exactly the least cosine meet as often as the plan says."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((4000, 32))
+    y = rng.standard_normal((4000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(1, keepdims=True) * x
+    y = 0.93 * x + np.sqrt(1 - 0.93**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    bits, tables = embedding_dedup.plan(100_000)
+    signs = [np.packbits(v @ embedding_dedup.planes(32, bits, tables) >= 0, axis=1, bitorder="little") for v in (x, y)]
+    a, b = (embedding_dedup.bucket_numbers(s, bits, tables) for s in signs)
+    assert (a == b).any(1).mean() > 0.98
+
+
 @pytest.mark.parametrize("block_rows", [2048, 9])
 def test_near_vectors(spark, block_rows):
     rng = np.random.default_rng(2)
@@ -139,12 +168,13 @@ def test_near_vectors(spark, block_rows):
             vector = (base + noise * rng.standard_normal(24)) * rng.choice([1.0, 1.0, 7.0])
             rows.append((len(rows), vector.astype("float32").tolist(), int(rng.integers(0, 2)), 0))
     rows += [(len(rows) + i, rows[0][1], 0, 0) for i in range(40)]  # copies
+    rows += [(5, rows[40][1], 1, 0), (5, rows[90][1], 0, 0), (5, rows[90][1], 0, 0), (77, (-np.array(rows[3][1])).tolist(), 1, 0)]
     n = len(rows)
     odd = [None, [], [0.0] * 24, [float("nan")] * 24, [float("inf")] * 24, [None] * 24, [1.0] * 23]
     rows += [(n + i, v, 0, 0) for i, v in enumerate(odd)]
     rows += [(n + 20, rows[0][1], None, 0), (n + 20, rows[0][1], None, 0), (None, rows[0][1], 0, 0)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, n_links int")
-    fit = [i for i, (v, e, label, _) in enumerate(rows) if i < n]
+    fit = list(range(n))
     x = np.array([rows[i][1] for i in fit], float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     near = [
@@ -152,11 +182,12 @@ def test_near_vectors(spark, block_rows):
         if i < k and rows[i][2] == rows[k][2] and x[i] @ x[k] >= 0.93
     ]
     part = parts_of(fit, near)
+    least = {}
+    for i in fit:
+        least[part[i]] = min(least.get(part[i], rows[i][0]), rows[i][0])
     links = np.bincount([i for pair in near for i in pair], minlength=len(rows))
-    expected = [
-        (v, int(links[i]), v if i not in part else rows[part[i]][0], v is None or i not in part or part[i] == i)
-        for i, (v, _, _, _) in enumerate(rows)
-    ]
-    found = [tuple(r) for r in embedding_dedup.near_vectors(df, block_rows=block_rows).collect()]
+    component = [v if i not in part else least[part[i]] for i, (v, _, _, _) in enumerate(rows)]
+    expected = [(v, int(links[i]), component[i], v is None or component[i] == v) for i, (v, _, _, _) in enumerate(rows)]
+    found = [tuple(r) for r in embedding_dedup.near_vectors(df, recall=0.999999, block_rows=block_rows, bucket_rows=40).collect()]
     assert sorted(found, key=repr) == sorted(expected, key=repr)
     assert embedding_dedup.near_vectors(df.where("false")).count() == 0
