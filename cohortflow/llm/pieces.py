@@ -3,8 +3,8 @@
 No pre-token of the patterns used here runs from a character that is not white space into the
 space behind it. So a text may be cut before each such space, every distinct piece be worked out
 once, and the values be put together again. A worker keeps the values of a bounded number of
-pieces from batch to batch; a full table keeps those of the batch at hand, which costs time and
-changes nothing.
+pieces from batch to batch; a full table forgets those that were not used for longest, which costs
+time and changes nothing.
 """
 
 from __future__ import annotations
@@ -34,9 +34,17 @@ BYTE_PATTERN = (
 #: Those of the tokenizers that drop white space.
 WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^\s\p{{L}}\p{{N}}{MARK}]+"
 
+#: Marks that follow a word; an apostrophe could open a suffix.
+TAIL = ".,;:!?)]}\"-*/"
+
 _SPACE_AFTER_WORD = re.compile(r"(?<=\S) ")
 
 
+def space_after_word(text: str) -> list[str]:
+    """A text cut at the spaces behind what is not white space."""
+    return _SPACE_AFTER_WORD.split(text)
+
+
 def raw(piece: str) -> str:
     return piece[1:] if piece.startswith(HEAD) else " " + piece
 
@@ -58,13 +66,35 @@ def release(keep=None) -> None:
             cached.cache_clear()
 
 
+class Generations:
+    """A mapping of a bounded number of keys: when ``young`` has half of them it becomes ``old``, and what was
+    old and has not been asked for since is forgotten."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def revive(self, keys: set) -> list:
+        """Brings those of ``keys`` that are old back to ``young``; returns the others."""
+        old, young, unknown = self.old, self.young, []
+        for k in keys:
+            if k in old:
+                young[k] = old[k]
+            else:
+                unknown.append(k)
+        return unknown
+
+    def trim(self) -> None:
+        if len(self.young) > self.limit // 2:
+            self.old, self.young = self.young, {}
+
+
 class PieceTable:
     """``values`` maps raw pieces to one value each."""
 
     def __init__(self, values: Callable[[list[str]], list], limit: int = KNOWN_PIECES):
-        self.values, self.limit = values, limit
-        self.known: dict[str, object] = {}
-        self.glued = {""}  # pieces after which a space may not be cut
+        self.values, self.known = values, Generations(limit)
 
     def rows(self, texts: list[str]) -> list[list]:
         """The values of the pieces of each text, in order."""
@@ -77,37 +107,32 @@ class PieceTable:
                 gc.enable()
 
     def _rows(self, texts: list[str]) -> list[list]:
-        cut = []
+        self.known.trim()
+        known, cut, missing = self.known.young, [], []
         for text in texts:
             parts = text.split(" ")
             parts[0] = HEAD + parts[0]
             cut.append(parts)
-        new = set().union(*cut).difference(self.known)
-        self._glue(new)
-        for i, parts in enumerate(cut):
-            if not self.glued.isdisjoint(parts):
-                parts = _SPACE_AFTER_WORD.split(texts[i])
-                parts[0] = HEAD + parts[0]
-                cut[i] = parts
-                new.update(set(parts).difference(self.known))
-        if len(self.known) + len(new) > self.limit:
-            used = set().union(*cut)
-            self.known = {p: self.known[p] for p in used.intersection(self.known)}
-            self.glued = {""}
-            self._glue(used)
-        self._glue(new)
-        order = list(new)
-        self.known.update(zip(order, self.values([raw(p) for p in order])))
-        result = [list(map(self.known.__getitem__, parts)) for parts in cut]
-        for p in order:
-            if len(p) > KNOWN_CHARS:
-                del self.known[p]
-                self.glued.discard(p)
+            missing.append([p for p in parts if p not in known])
+        new: set[str] = set().union(*missing)
+        glued = {p for p in new if not p or p[-1].isspace()}  # a space may not be cut off behind these
+        if glued:
+            new = set()
+            for i, miss in enumerate(missing):
+                if not glued.isdisjoint(miss):
+                    parts = space_after_word(texts[i])
+                    parts[0] = HEAD + parts[0]
+                    cut[i] = parts
+                    miss = [p for p in parts if p not in known]
+                new.update(miss)
+        unknown = self.known.revive(new)
+        known.update(zip(unknown, self.values([raw(p) for p in unknown])))
+        result = [list(map(known.__getitem__, parts)) for parts in cut]
+        for p in unknown:  # pieces with white space at their end are looked at anew in every text
+            if len(p) > KNOWN_CHARS or not p or p[-1].isspace():
+                del known[p]
         return result
 
-    def _glue(self, pieces: set[str]) -> None:
-        self.glued.update(p for p in pieces if not p or p[-1].isspace())
-
 
 def load(path: str):
     """The tokenizer of a file, in one thread, without truncation and padding."""
@@ -132,19 +157,34 @@ class Splitter:
         self.tokenizer, self.pattern = tokenizer, regex.compile(pattern + "|" + MARK)
         self.normal = normal
         self.special = Special(tokenizer)
+        #: The space before a word, where the pattern keeps it.
+        self.lead = " " if self.pattern.findall(" a") == [" a"] else ""
+        self.plain = not any(s.rstrip(TAIL).isalpha() or not s.rstrip(TAIL) for s in self.special.ids)
+
+    def _word(self, piece: str) -> list[str] | None:
+        """The pre-tokens of a space and letters below U+0250, with or without a tail of marks."""
+        if piece[:1] != " " or not (piece.isascii() or not FAR.search(piece)):
+            return None
+        word = piece[1:].lower() if self.normal else piece[1:]
+        if word.isalpha():
+            return [self.lead + word]
+        body = word.rstrip(TAIL)
+        return [self.lead + body, word[len(body) :]] if body.isalpha() else None
 
     def split(self, pieces: list[str]) -> list[list[str | int]]:
         """The pre-tokens of each piece in order; a special string is its id."""
-        near = [i for i, p in enumerate(pieces) if not FAR.search(p) and not self.special.within(p)]
+        out: list[list[str | int] | None] = [self._word(p) for p in pieces] if self.plain else [None] * len(pieces)
+        rest = [i for i, found in enumerate(out) if found is None]
+        near = [i for i in rest if not FAR.search(pieces[i]) and not self.special.within(pieces[i])]
         text = MARK.join([pieces[i] for i in near])
-        out: list[list[str | int]] = [[] for _ in pieces]
         if near:
             words = self.pattern.findall(text.lower() if self.normal else text)
             start = 0
             for i, end in zip(near, [*(k for k, w in enumerate(words) if w == MARK), len(words)]):
                 out[i] = words[start:end]
                 start = end + 1
-        for i in set(range(len(pieces))).difference(near):
+        for i in set(rest).difference(near):
+            out[i] = []
             for k, part in enumerate(self.special.split(pieces[i])):
                 if k % 2:
                     out[i].append(self.special.ids[part])

@@ -21,12 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import quoted, texts_in_slices
-from cohortflow.llm.pieces import PieceTable, Special, kept_by_worker, load, release
+from cohortflow.llm.common import quoted
+from cohortflow.llm.piece_arrays import Encoder
+from cohortflow.llm.pieces import kept_by_worker, load, release
 
 NULL_ID = -(1 << 63)
 READ_DOCS = 20_000
-ENCODED_CHARS = 30_000
+#: Bytes of text that are encoded together.
+SLICE_BYTES = 16_000_000
 
 
 def mounted(folder: str) -> str:
@@ -38,54 +40,17 @@ def mounted(folder: str) -> str:
 
 
 @kept_by_worker
-def _piece_ids(path: str, kind: str) -> PieceTable:
-    tokenizer = load(path)
-    special = Special(tokenizer)
-    mark = separator(special)
-    width = np.dtype(kind).itemsize
-
-    def ids(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, kind) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def values(pieces: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(pieces)
-        plain = [i for i, p in enumerate(pieces) if mark is not None and not special.within(p)]
-        for some in groups(plain, pieces):
-            found = ids([mark.join([pieces[i] for i in some])])[0]
-            cuts = (width * np.flatnonzero(found == special.ids[mark])).tolist()
-            flat = found.tobytes()
-            for i, start, end in zip(some, [0, *(c + width for c in cuts)], [*cuts, len(flat)], strict=True):
-                out[i] = flat[start:end]
-        apart = sorted(set(range(len(pieces))).difference(plain))
-        for some in groups(apart, pieces):
-            for i, found in zip(some, ids([pieces[i] for i in some])):
-                out[i] = found.tobytes()
-        return out
-
-    return PieceTable(values)
-
-
-def separator(special: Special) -> str | None:
-    """A special string that parts what stands before it from what follows, wherever it is put; the
-    library encodes many pieces in one text faster than each on its own. None if there are several
-    special strings, which could overlap, or if the only one can overlap itself."""
-    if len(special.ids) != 1:
-        return None
-    (text,) = special.ids
-    return None if any(text.startswith(text[k:]) for k in range(1, len(text))) else text
-
-
-def groups(places: list[int], pieces: list[str]) -> Iterator[list[int]]:
-    """The places in order, some thousand characters at a time."""
-    some, held = [], 0
-    for i in places:
-        some.append(i)
-        held += len(pieces[i]) + 1
-        if held >= ENCODED_CHARS:
-            yield some
-            some, held = [], 0
-    if some:
-        yield some
+def _encoder(path: str, kind: str) -> Encoder:
+    return Encoder(path, kind)
+
+
+def slices(column: pa.Array) -> Iterator[pa.Array]:
+    """A column of texts some million bytes at a time."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    turn = np.cumsum(sizes) // SLICE_BYTES
+    cuts = np.r_[0, np.flatnonzero(np.diff(turn)) + 1, len(column)]
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield column.slice(a, b - a)
 
 
 def write_token_files(
@@ -112,27 +77,26 @@ def write_token_files(
     ids = max(tokenizer.get_vocab(with_added_tokens=True).values())
     kind = "<u2" if max(ids, end_id) < 1 << 16 else "<u4"
     end = np.array([end_id], kind).tobytes()
-    width = np.dtype(kind).itemsize
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         shard, attempt = task.partitionId(), task.taskAttemptId()
         at = f"{path}/{shard}"
         own = {part: f"{at}.{part}.{attempt}" for part in ("ids", "offsets", "docs")}
-        release(keep=_piece_ids)
-        table = _piece_ids(tokenizer_path, kind)
+        release(keep=_encoder)
+        encoder = _encoder(tokenizer_path, kind)
         n_docs = n_ids = 0
         with open(own["ids"], "wb") as f_ids, open(own["offsets"], "wb") as f_offsets, open(own["docs"], "wb") as f_docs:
             f_offsets.write(np.zeros(1, "<i8").tobytes())
             for batch in batches:
                 f_docs.write(batch.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
                 n_docs += batch.num_rows
-                for texts in texts_in_slices(batch.column(1)):
-                    flat = [b"".join(row) + end for row in table.rows(texts)]
-                    ends = n_ids + np.cumsum([len(x) // width for x in flat])
-                    n_ids = int(ends[-1])
+                for texts in slices(batch.column(1)):
+                    ids, sizes = encoder.encode(texts, end)
+                    ends = n_ids + np.cumsum(sizes)
+                    n_ids += len(ids)
                     f_offsets.write(ends.astype("<i8").tobytes())
-                    f_ids.writelines(flat)
+                    f_ids.write(ids.tobytes())
         for part, name in own.items():
             os.replace(name, f"{at}.{part}")
         yield pa.RecordBatch.from_arrays(

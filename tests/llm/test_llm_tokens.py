@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from cohortflow.llm import pieces, token_counts, token_files, trie_bpe
+from cohortflow.llm import piece_arrays, pieces, token_counts, token_files, trie_bpe
 from cohortflow.llm.pieces import BYTE_PATTERN, WORD_PATTERN, PieceTable, Splitter, load
 from cohortflow.session import ship_package
 
@@ -122,16 +122,16 @@ class Strings:
 
 
 def test_only_a_string_that_cannot_overlap_parts_pieces():
-    assert token_files.separator(Strings("<|endoftext|>")) == "<|endoftext|>"
+    assert piece_arrays.separator(Strings("<|endoftext|>")) == "<|endoftext|>"
     for unfit in (Strings(), Strings("<a>", "<b>"), Strings("aba"), Strings("aa")):
-        assert token_files.separator(unfit) is None
+        assert piece_arrays.separator(unfit) is None
 
 
-def test_groups_hold_every_place_once_in_order():
-    pieces = ["x" * n for n in (1, 0, 50_000, 7, 29_999, 2, 3)]
-    found = list(token_files.groups([0, 1, 2, 4, 5, 6], pieces))
-    assert found == [[0, 1, 2], [4], [5, 6]]
-    assert list(token_files.groups([], pieces)) == []
+def test_groups_hold_every_word_once_in_order():
+    words = ["x" * n for n in (1, 0, 50_000, 29_999, 2, 3)]
+    assert piece_arrays.groups(words) == [words[:3], [words[3]], words[4:]]
+    assert piece_arrays.groups([]) == []
+    assert [w for some in piece_arrays.groups(words * 50) for w in some] == words * 50
 
 
 def test_worker_keeps_only_what_the_operator_at_hand_uses():
@@ -144,3 +144,28 @@ def test_worker_keeps_only_what_the_operator_at_hand_uses():
     assert first("a") is kept and dropped() is None
     second("b")
     assert made == ["a", "b", "b"]
+
+
+@pytest.mark.parametrize("limit", [0, 40, 1_000_000])
+def test_encoder_equals_the_library_whatever_it_remembers(texts, limit):
+    import pyarrow as pa
+
+    library = load(BYTES)
+    encoder = piece_arrays.Encoder(BYTES, "<u2", limit)
+    some = [*texts, None, "tail " * 3, " a", "a ", "a\u2003 b", "word.,; <|endoftext|> x"]
+    for i in range(0, len(some), 400):
+        part = some[i : i + 400]
+        ids, sizes = encoder.encode(pa.array(part, pa.string()), b"\x02\x00")
+        expected = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in part]
+        assert sizes.tolist() == [len(e) for e in expected]
+        assert ids.tolist() == [x for e in expected for x in e]
+        assert len(encoder.words) <= max(limit, 0) or limit > 40
+    assert encoder.encode(pa.array([], pa.string()), b"\x02\x00")[1].tolist() == []
+
+
+def test_letters_below_u0250_are_those_of_arrow():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    chars = [chr(c) for c in range(0x250)]
+    assert pc.utf8_is_alpha(pa.array(chars)).to_pylist() == [c.isalpha() for c in chars]
