@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from cohortflow.functions.ranks import bucket_of, split_points
+from cohortflow.functions.ranks import in_ranges
 from cohortflow.sources.scratch import discard, settle
 
 POINTS_PER_RANGE = 1_000_000
@@ -153,12 +153,12 @@ def break_points(blocks: DataFrame) -> DataFrame:
     return blocks.select(ends, (F.col("total") / F.col("weight")).alias("calibrated"))
 
 
-def interpolated(points: DataFrame, df: DataFrame, column: str, name: str, shipped: int = SHIPPED_POINTS) -> DataFrame:
+def interpolated(points: DataFrame, df: DataFrame, column: str, name: str, shipped: int = SHIPPED_POINTS, parts: int | None = None) -> DataFrame:
     """``df`` with ``name``: linear between the break points (score, calibrated) around ``column``, level outside
     them; null for null and NaN, and if there are no points. More points than ``shipped`` stay a table
-    that is met by bucket."""
+    that is met by range."""
     if points.count() > shipped:
-        return _met(points, df, column, name)
+        return _met(points, df, column, name, parts)
     rows = sorted((r["score"], r["calibrated"]) for r in points.collect())
     at, level = np.array(rows, float).reshape(-1, 2).T
 
@@ -171,28 +171,24 @@ def interpolated(points: DataFrame, df: DataFrame, column: str, name: str, shipp
     return df.withColumn(name, between(F.col(column).cast("double")))
 
 
-def _met(points: DataFrame, df: DataFrame, column: str, name: str) -> DataFrame:
-    """The same by windows inside buckets of the score; what lies in other buckets comes from a row per bucket."""
-    cuts = split_points(points, ["score"])["score"]
+def _met(points: DataFrame, df: DataFrame, column: str, name: str, parts: int | None = None) -> DataFrame:
+    """The same by windows inside ranges of the score; what lies in other ranges comes from a row per range."""
     value = F.col(column).cast("double")
     asked = df.select(value.alias("score")).where(F.col("score").isNotNull() & ~F.isnan("score")).distinct()
     both = points.withColumn("point", F.struct("score", "calibrated")).drop("calibrated").unionByName(asked, allowMissingColumns=True)
-    both = bucket_of(both, "score", cuts, "bucket")
-    order = Window.partitionBy("bucket").orderBy("score")
+    both = in_ranges(both, ["score"], "points", parts)
+    order = Window.partitionBy("part").orderBy("score")
     below = F.last("point", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     above = F.first("point", ignorenulls=True).over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    own = both.select("bucket", "score", "point", below.alias("below"), above.alias("above")).where("point is null")
-    ends = bucket_of(points, "score", cuts, "bucket").groupBy("bucket").agg(
-        F.min(F.struct("score", "calibrated")).alias("lowest"), F.max(F.struct("score", "calibrated")).alias("highest")
-    )
-    every = df.sparkSession.range(len(cuts) + 1).select(F.col("id").cast("int").alias("bucket")).join(ends, "bucket", "left")
-    row = Window.orderBy("bucket")  # a row per bucket
-    ends = every.select(
-        "bucket",
+    own = both.select("part", "score", "point", below.alias("below"), above.alias("above")).where("point is null")
+    ends = both.groupBy("part").agg(F.min("point").alias("lowest"), F.max("point").alias("highest"))
+    row = Window.orderBy("part")  # a row per range
+    ends = ends.select(
+        "part",
         F.last("highest", ignorenulls=True).over(row.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
         F.first("lowest", ignorenulls=True).over(row.rowsBetween(1, Window.unboundedFollowing)).alias("behind"),
     )
-    found = own.join(F.broadcast(ends), "bucket").select(
+    found = own.join(ends, "part").select(
         "score", F.coalesce("below", "before").alias("a"), F.coalesce("above", "behind").alias("b")
     )
     part = (F.col("score") - F.col("a.score")) / (F.col("b.score") - F.col("a.score"))

@@ -1,63 +1,34 @@
-"""Running totals over a global order without a single-task window.
-
-1. Rows collapse to one row per distinct value (partial aggregation first, so a
-   value held by a third of all rows costs one row per task).
-2. Quantile split points, taken once, cut the value axis into buckets holding
-   about equally many rows. They are literals of the plan, so every part of a
-   query sees the same buckets, also after an executor is lost.
-3. Windows run inside a bucket; a table of at most MAX_BUCKETS rows per series
-   carries the totals of the buckets below and is broadcast.
+"""Statistics of columns from one stored table of distinct values.
+
+1. A table is read once: its rows collapse to one row per distinct value of each column
+   (partial aggregation first, so a value held by a third of all rows costs one row per
+   task) with whatever is counted of it.
+2. The distinct values are dealt out by ranges and stored with the number of their range.
+   Every statistic reads that table: moments, quantiles, ranks and bins are sums over it.
+3. Running totals are windows inside a range plus what lies in the ranges below, which is
+   a row per column and range, joined on them. There are as many ranges as shuffle
+   partitions, so neither their number nor their size has a ceiling.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import isfinite
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.functions.scalars import nan_to_null
-
-MAX_BUCKETS = 4096
-FEW_BUCKETS = 64
-ROWS_PER_BUCKET = 100_000
+from cohortflow.sources.scratch import settle
 
 
 def _number(name: str) -> Column:
     return nan_to_null(F.col(name).cast("double")).alias(name)
 
 
-def split_points(
-    df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
-) -> dict[str, list[float]]:
-    """Inner bucket bounds per column: an aggregate that returns a bounded row of doubles.
-
-    Only the balance of the buckets depends on these numbers, no result does.
-    """
-    doubles = df.select(*[_number(name) for name in columns])
-
-    def quantiles(parts: int):
-        shares = [i / parts for i in range(1, parts)]
-        return doubles.agg(
-            F.count("*").alias("_rows"),
-            *[F.percentile_approx(name, shares, 10 * parts).alias(name) for name in columns],
-        ).first()
-
-    found = quantiles(FEW_BUCKETS)
-    wanted = min(MAX_BUCKETS, max(1, found["_rows"] // rows_per_bucket))
-    if wanted > FEW_BUCKETS:
-        found = quantiles(wanted)
-        picked = range(wanted - 1)
-    else:
-        picked = [i * FEW_BUCKETS // wanted - 1 for i in range(1, wanted)]
-    return {
-        name: sorted({found[name][i] for i in picked if isfinite(found[name][i])})
-        if found[name]
-        else []
-        for name in columns
-    }
+def in_ranges(df: DataFrame, columns: Sequence[str], label: str, parts: int | None = None) -> DataFrame:
+    """``df`` dealt out by ranges of ``columns`` and stored, with ``part``, the number of the range."""
+    ranged = df.repartitionByRange(*[parts] * (parts is not None), *columns)
+    return settle(ranged.withColumn("part", F.spark_partition_id()), label)
 
 
 def long_values(
@@ -70,91 +41,39 @@ def long_values(
     return wide.unpivot(list(keep), list(columns), series, "value")
 
 
-def value_counts(
-    df: DataFrame, columns: Sequence[str], weights: Mapping[str, Column]
-) -> DataFrame:
-    """(series, value, *weights): the weights summed per distinct value of each column."""
-    long = long_values(df, columns, weights).where(F.col("value").isNotNull())
-    return long.groupBy("series", "value").agg(*[F.sum(w).alias(w) for w in weights])
-
-
-def _buckets(
-    df: DataFrame, values: Mapping[str, Column], splits: Mapping[str, Sequence[float]]
+def value_table(
+    df: DataFrame, columns: Sequence[str], weights: Mapping[str, Column], parts: int | None = None
 ) -> DataFrame:
-    """``df`` with a column ``_b<i>`` per entry: the bucket of its value, NULL for none."""
-    names = list(values)
-    df = df.select("*", *[values[n].alias(f"_v{i}") for i, n in enumerate(names)])
-    cut = [i for i, n in enumerate(names) if splits[n]]
-    if cut:
-        df = Bucketizer(
-            splitsArray=[[float("-inf"), *splits[names[i]], float("inf")] for i in cut],
-            inputCols=[f"_v{i}" for i in cut],
-            outputCols=[f"_cut{i}" for i in cut],
-            handleInvalid="keep",
-        ).transform(df)
-    kept = [c for c in df.columns if not c.startswith(("_v", "_cut"))]
-    return df.select(
-        *kept,
-        *[
-            F.col(f"_cut{i}").cast("int").alias(f"_b{i}")
-            if i in cut
-            else F.when(F.col(f"_v{i}").isNotNull(), F.lit(0)).alias(f"_b{i}")
-            for i in range(len(names))
-        ],
-    )
-
-
-def bucket_of(df: DataFrame, column: str, splits: Sequence[float], name: str) -> DataFrame:
-    """``df`` with the bucket of a column's values between inner bounds."""
-    return _buckets(df, {column: F.col(column)}, {column: splits}).withColumnRenamed("_b0", name)
+    """(series, value, *weights, part): the weights summed per distinct value of each column, stored.
 
-
-def _bucket_totals(
-    df: DataFrame, weights: Mapping[str, Column], splits: Mapping[str, Sequence[float]]
-) -> DataFrame:
-    """(series, bucket, *weights) straight from the table: few groups, hardly a shuffle."""
-    wide = df.select(*[_number(n) for n in splits], *[c.alias(w) for w, c in weights.items()])
-    placed = _buckets(wide, {n: F.col(n) for n in splits}, splits).select(
-        *weights, *[F.col(f"_b{i}").alias(n) for i, n in enumerate(splits)]
-    )
-    return (
-        placed.unpivot(list(weights), list(splits), "series", "bucket")
-        .where(F.col("bucket").isNotNull())
-        .groupBy("series", "bucket")
-        .agg(*[F.sum(w).alias(w) for w in weights])
-    )
+    Missing values (NULL and NaN) of a column are one row with a NULL value.
+    """
+    counts = long_values(df, columns, weights).groupBy("series", "value")
+    return in_ranges(counts.agg(*[F.sum(w).alias(w) for w in weights]), ["series", "value"], "values", parts)
 
 
-def running_totals(
-    df: DataFrame,
-    counts: DataFrame,
-    weights: Mapping[str, Column],
-    splits: Mapping[str, Sequence[float]],
-) -> DataFrame:
-    """The ``value_counts`` rows of ``df`` with, for every weight, ``<weight>_below``, its
-    sum over all smaller values of the series, and ``<weight>_all``."""
-    own = {n: F.when(F.col("series") == n, F.col("value")) for n in splits}
-    bucket = F.coalesce(*[f"_b{i}" for i in range(len(own))])
-    bucketed = _buckets(counts, own, splits).select(*counts.columns, bucket.alias("bucket"))
+def running_totals(table: DataFrame, weights: Sequence[str]) -> DataFrame:
+    """The rows of a ``value_table`` that have a value with, for every weight, ``<weight>_below``,
+    its sum over all smaller values of the series, and ``<weight>_all``."""
+    values = table.where(F.col("value").isNotNull())
     inside = (
-        Window.partitionBy("series", "bucket")
+        Window.partitionBy("series", "part")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # At most MAX_BUCKETS rows per series, hence windowed per series and broadcast.
-    whole = Window.partitionBy("series")
-    earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = _bucket_totals(df, weights, splits).select(
+    whole = Window.partitionBy("series")  # a row per range
+    earlier = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = values.groupBy("series", "part").agg(*[F.sum(w).alias(w) for w in weights]).select(
         "series",
-        "bucket",
+        "part",
         *[(F.sum(w).over(earlier) - F.col(w)).alias(f"_{w}_offset") for w in weights],
         *[F.sum(w).over(whole).alias(f"{w}_all") for w in weights],
     )
     return (
-        bucketed.select(
+        values.select(
             "*", *[(F.sum(w).over(inside) - F.col(w)).alias(f"_{w}_inside") for w in weights]
         )
-        .join(F.broadcast(offsets), ["series", "bucket"])
+        .join(offsets, ["series", "part"])
         .select(
             "series",
             "value",
@@ -166,14 +85,39 @@ def running_totals(
 
 
 def ranked_values(
-    df: DataFrame,
-    columns: Sequence[str],
-    weights: Mapping[str, Column],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    df: DataFrame, columns: Sequence[str], weights: Mapping[str, Column], parts: int | None = None
 ) -> DataFrame:
     """``running_totals`` of a table's columns."""
-    splits = split_points(df, columns, rows_per_bucket)
-    return running_totals(df, value_counts(df, columns, weights), weights, splits)
+    return running_totals(value_table(df, columns, weights, parts), list(weights))
+
+
+def moments(table: DataFrame, weights: Sequence[str]) -> DataFrame:
+    """(series, then for every weight <w>_count, _missing, _mean, _std, _min, _max) of a
+    ``value_table``: a row per series. Squares are taken from the mean, so nothing cancels."""
+    value = F.col("value")
+    sums = []
+    for w in weights:
+        held = F.when(value.isNotNull(), F.col(w)).otherwise(0)
+        present = F.when(F.col(w) > 0, value)
+        sums += [
+            F.sum(held).alias(f"{w}_count"),
+            F.sum(F.when(value.isNull(), F.col(w)).otherwise(0)).alias(f"{w}_missing"),
+            F.try_divide(F.sum(F.col(w) * value), F.sum(held)).alias(f"{w}_mean"),
+            F.min(present).alias(f"{w}_min"),
+            F.max(present).alias(f"{w}_max"),
+        ]
+    first = table.groupBy("series").agg(*sums)
+    # One row per series on the broadcast side.
+    means = first.select("series", *[F.col(f"{w}_mean").alias(f"_{w}") for w in weights])
+    spread = table.where(value.isNotNull()).join(F.broadcast(means), "series").groupBy("series").agg(
+        *[
+            F.sqrt(
+                F.try_divide(F.sum(F.col(w) * F.pow(value - F.col(f"_{w}"), F.lit(2.0))), F.sum(w) - 1)
+            ).alias(f"{w}_std")
+            for w in weights
+        ]
+    )
+    return first.join(F.broadcast(spread), "series", "left")
 
 
 def exact_quantiles(totals: DataFrame, weight: str, shares: Mapping[str, float]) -> DataFrame:

@@ -10,13 +10,9 @@ from pyspark.sql import functions as F
 from cohortflow import defaults
 from cohortflow.functions.bins import bin_of, widened
 from cohortflow.functions.pvalues import ks_p_value, two_sided_normal_p
-from cohortflow.functions.ranks import (
-    ROWS_PER_BUCKET,
-    exact_quantiles,
-    long_values,
-    ranked_values,
-)
+from cohortflow.functions.ranks import exact_quantiles, moments, running_totals, value_table
 from cohortflow.operators.quality import numeric_columns
+from cohortflow.sources.scratch import settle
 
 
 def monitored_features(reference: DataFrame) -> list[str]:
@@ -24,60 +20,54 @@ def monitored_features(reference: DataFrame) -> list[str]:
     return numeric_columns(reference)
 
 
-def _sides(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Both tables' features, told apart by ``is_ref``; absent current ones are NULL."""
-    present = [c for c in features if c in current.columns]
-    left = reference.select(*features, F.lit(1).cast("long").alias("is_ref"))
-    right = current.select(*present, F.lit(0).cast("long").alias("is_ref"))
-    return left.unionByName(right, allowMissingColumns=True)
-
+def value_counts(
+    reference: DataFrame, current: DataFrame, features: Sequence[str], parts: int | None = None
+) -> DataFrame:
+    """(series, value, ref, cur, part): how often each side has each value of each feature, stored.
 
-def _features_long(both: DataFrame, features: Sequence[str]) -> DataFrame:
-    return long_values(both, features, {"is_ref": F.col("is_ref")}, "feature")
+    The one read of both tables that all statistics below rest on. Features that the current
+    table lacks are missing in all its rows.
+    """
+    present = [c for c in features if c in current.columns]
+    left = reference.select(*features, F.lit(1).cast("long").alias("ref"), F.lit(0).cast("long").alias("cur"))
+    right = current.select(*present, F.lit(0).cast("long").alias("ref"), F.lit(1).cast("long").alias("cur"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    return value_table(both, features, {"ref": F.col("ref"), "cur": F.col("cur")}, parts)
 
 
 def reference_stats(
-    reference: DataFrame, features: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
+    reference: DataFrame, features: Sequence[str], parts: int | None = None
 ) -> DataFrame:
     """(feature, mean, std, median, q25, q75, min, max, count, missing_rate)."""
-    ranks = ranked_values(reference, features, {"n": F.lit(1).cast("long")}, rows_per_bucket)
+    table = value_table(reference, features, {"n": F.lit(1).cast("long")}, parts)
     quantiles = exact_quantiles(
-        ranks, "n", {"median": 0.5, "q25": 0.25, "q75": 0.75}
-    ).withColumnRenamed("series", "feature")
-    value = F.col("value")
-    moments = (
-        _features_long(reference.withColumn("is_ref", F.lit(1)), features)
-        .groupBy("feature")
-        .agg(
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-            F.count(value).alias("count"),
-            F.try_divide(F.count_if(value.isNull()).cast("double"), F.count("*")).alias(
-                "missing_rate"
-            ),
-        )
+        running_totals(table, ["n"]), "n", {"median": 0.5, "q25": 0.25, "q75": 0.75}
     )
-    return moments.join(quantiles, "feature", "left").select(
-        "feature", "mean", "std", "median", "q25", "q75", "min", "max", "count", "missing_rate"
+    missing = F.try_divide(F.col("n_missing").cast("double"), F.col("n_missing") + F.col("n_count"))
+    return moments(table, ["n"]).join(quantiles, "series", "left").select(
+        F.col("series").alias("feature"),
+        *[F.col(f"n_{m}").alias(m) for m in ("mean", "std")],
+        "median",
+        "q25",
+        "q75",
+        *[F.col(f"n_{m}").alias(m) for m in ("min", "max", "count")],
+        missing.alias("missing_rate"),
     )
 
 
 def rank_tests(
-    reference: DataFrame,
-    current: DataFrame,
-    features: Sequence[str],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    reference: DataFrame, current: DataFrame, features: Sequence[str], parts: int | None = None
 ) -> DataFrame:
     """Kolmogorov-Smirnov and Mann-Whitney numbers per feature from one set of ranks.
 
     (feature, ks_statistic, ks_p_value, mw_statistic, mw_z, mw_p_value); features with
     no values on either side are left out.
     """
-    both = _sides(reference, current, features)
-    weights = {"ref": F.col("is_ref"), "cur": F.lit(1) - F.col("is_ref")}
-    ranks = ranked_values(both, features, weights, rows_per_bucket)
+    return _rank_tests(value_counts(reference, current, features, parts))
+
+
+def _rank_tests(table: DataFrame) -> DataFrame:
+    ranks = running_totals(table, ["ref", "cur"])
     n1, n2 = F.col("ref_all").cast("double"), F.col("cur_all").cast("double")
     gap = F.abs(
         F.try_divide(F.col("ref_below") + F.col("ref"), n1)
@@ -137,53 +127,44 @@ def mann_whitney(
     )
 
 
-def _side_moments(long: DataFrame) -> DataFrame:
-    """One row per feature with both sides' moments and ranges."""
-    ref = F.when(F.col("is_ref") == 1, F.col("value"))
-    cur = F.when(F.col("is_ref") == 0, F.col("value"))
-    aggregates = []
-    for side, value in (("ref", ref), ("cur", cur)):
-        aggregates += [
-            F.avg(value).alias(f"{side}_mean"),
-            F.stddev_samp(value).alias(f"{side}_std"),
-            F.count(value).alias(f"{side}_count"),
-            F.min(value).alias(f"{side}_min"),
-            F.max(value).alias(f"{side}_max"),
-        ]
-    return long.groupBy("feature").agg(*aggregates)
-
-
 def psi(
     reference: DataFrame,
     current: DataFrame,
     features: Sequence[str],
     bins: int = defaults.PSI_BINS,
+    parts: int | None = None,
 ) -> DataFrame:
     """(feature, psi, psi_drift). Equal-width bins over the reference's range.
 
     Values beyond that range fall into the outer bins, as if those reached out to them.
     """
-    long = _features_long(_sides(reference, current, features), features)
+    table = value_counts(reference, current, features, parts)
+    return _psi(table, _comparable(table), bins)
+
+
+def _comparable(table: DataFrame) -> DataFrame:
+    """Both sides' moments, a row per feature that both have values of."""
+    found = moments(table, ["ref", "cur"]).withColumnRenamed("series", "feature")
+    return found.where((F.col("ref_count") > 0) & (F.col("cur_count") > 0))
+
+
+def _psi(table: DataFrame, sides: DataFrame, bins: int = defaults.PSI_BINS) -> DataFrame:
     # One row per feature.
-    ranges = (
-        _side_moments(long)
-        .where((F.col("ref_count") > 0) & (F.col("cur_count") > 0))
-        .select("feature", "ref_count", "cur_count", "ref_min", "ref_max")
-    )
+    ranges = sides.select(F.col("feature").alias("series"), "ref_count", "cur_count", "ref_min", "ref_max")
     low, high = widened(F.col("ref_min"), F.col("ref_max"))
     placed = (
-        long.where(F.col("value").isNotNull())
-        .join(F.broadcast(ranges), "feature")
+        table.where(F.col("value").isNotNull())
+        .join(F.broadcast(ranges), "series")
         .withColumn("bin", bin_of(F.col("value"), low, high, bins))
     )
-    counts = placed.groupBy("feature", "bin", "ref_count", "cur_count").agg(
-        F.sum("is_ref").alias("ref"), F.sum(1 - F.col("is_ref")).alias("cur")
+    counts = placed.groupBy("series", "bin", "ref_count", "cur_count").agg(
+        F.sum("ref").alias("ref"), F.sum("cur").alias("cur")
     )
     # Bins that neither side reaches add nothing: both shares are the floor.
     r = _floored(F.col("ref"), F.col("ref_count"))
     c = _floored(F.col("cur"), F.col("cur_count"))
     return (
-        counts.groupBy("feature")
+        counts.groupBy(F.col("series").alias("feature"))
         .agg(F.sum((c - r) * F.ln(c / r)).alias("psi"))
         .withColumn("psi_drift", F.col("psi") > defaults.PSI_LIMIT)
     )
@@ -198,15 +179,12 @@ def feature_drift(
     current: DataFrame,
     features: Sequence[str],
     alpha: float = defaults.SIGNIFICANCE,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Per feature: both sides' mean, std and count, the three tests and the verdict."""
-    moments = (
-        _side_moments(_features_long(_sides(reference, current, features), features))
-        .where((F.col("ref_count") > 0) & (F.col("cur_count") > 0))
-        .drop("ref_min", "ref_max", "cur_min", "cur_max")
-    )
-    tests = rank_tests(reference, current, features, rows_per_bucket)
+    """Per feature: both sides' mean, std and count, the three tests and the verdict. Each
+    table is read once."""
+    table = value_counts(reference, current, features, parts)
+    sides = settle(_comparable(table), "moments")  # a row per feature
     fired = (
         F.coalesce(F.col("ks_p_value") < alpha, F.lit(False))
         | F.coalesce(F.col("mw_p_value") < alpha, F.lit(False))
@@ -214,8 +192,9 @@ def feature_drift(
     )
     # One row per feature on every side.
     return (
-        moments.join(tests, "feature", "left")
-        .join(psi(reference, current, features), "feature", "left")
+        sides.drop("ref_min", "ref_max", "cur_min", "cur_max", "ref_missing", "cur_missing")
+        .join(F.broadcast(_rank_tests(table)), "feature", "left")
+        .join(F.broadcast(_psi(table, sides)), "feature", "left")
         .withColumn("drift_detected", fired)
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
-from cohortflow.functions.ranks import ROWS_PER_BUCKET, ranked_values
+from cohortflow.functions.ranks import ranked_values
 from cohortflow.functions.scalars import nan_as_missing, ratio
 
 
@@ -16,13 +16,13 @@ def score_ranks(
     scored: DataFrame,
     scores: Sequence[str],
     label: str = defaults.TARGET,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
     """Distinct scores with positives and negatives at, below and overall, per score column."""
     positive = F.col(label).cast("long")
     labelled = nan_as_missing(scored).where(F.col(label).isNotNull())
     weights = {"pos": positive, "neg": F.lit(1) - positive}
-    return ranked_values(labelled, scores, weights, rows_per_bucket)
+    return ranked_values(labelled, scores, weights, parts)
 
 
 def auroc_from_ranks(ranks: DataFrame) -> DataFrame:
@@ -65,13 +65,13 @@ def roc_curve(
     scored: DataFrame,
     score: str = "prediction_proba",
     label: str = defaults.TARGET,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score; no rows for a single class.
 
     The curve's origin (0, 0) lies above the largest score and has no row.
     """
-    ranks = score_ranks(scored, [score], label, rows_per_bucket)
+    ranks = score_ranks(scored, [score], label, parts)
     return ranks.where((F.col("pos_all") > 0) & (F.col("neg_all") > 0)).select(
         F.col("value").alias("threshold"),
         ((F.col("neg_all") - F.col("neg_below")) / F.col("neg_all")).alias("fpr"),
@@ -171,11 +171,11 @@ def metrics_row(
     raw: str,
     calibrated: str,
     label: str = defaults.TARGET,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row: auroc, auprc and brier, each for the raw and the calibrated score."""
     scores = {"raw": raw, "calibrated": calibrated}
-    ranks = score_ranks(scored, list(scores.values()), label, rows_per_bucket)
+    ranks = score_ranks(scored, list(scores.values()), label, parts)
     pairs = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))
     true_above = F.col("pos_all") - F.col("pos_below")
     all_above = true_above + F.col("neg_all") - F.col("neg_below")

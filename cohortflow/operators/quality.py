@@ -12,12 +12,10 @@ from pyspark.sql import types as T
 from cohortflow import defaults
 from cohortflow.functions.bins import bin_of, edge, widened
 from cohortflow.functions.ranks import (
-    ROWS_PER_BUCKET,
     exact_quantiles,
     long_values,
     running_totals,
-    split_points,
-    value_counts,
+    value_table,
 )
 from cohortflow.functions.scalars import days, nan_as_missing, time_literal
 from cohortflow.operators.windows import (
@@ -100,22 +98,20 @@ def feature_histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) ->
     )
 
 
-def feature_boxstats(
-    df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def feature_boxstats(df: DataFrame, columns: Sequence[str], parts: int | None = None) -> DataFrame:
     """(feature, q1, median, q3, low_whisker, high_whisker, n_outliers), exact.
 
-    Whiskers are the furthest values within 1.5 interquartile ranges of the box.
+    Whiskers are the furthest values within 1.5 interquartile ranges of the box. The table
+    is read once; a feature without values has no row.
     """
-    rows = {"n": F.lit(1).cast("long")}
-    counts = value_counts(df, columns, rows)
-    totals = running_totals(df, counts, rows, split_points(df, columns, rows_per_bucket))
-    boxes = exact_quantiles(totals, "n", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    table = value_table(df, columns, {"n": F.lit(1).cast("long")}, parts)
+    boxes = exact_quantiles(running_totals(table, ["n"]), "n", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     # One row per feature on the broadcast side.
     return (
-        counts.join(F.broadcast(boxes), "series")
+        table.where(F.col("value").isNotNull())
+        .join(F.broadcast(boxes), "series")
         .groupBy(F.col("series").alias("feature"), "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("low_whisker"),

@@ -78,43 +78,63 @@ def brute(p, y):
     return auroc, ap
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10, 100_000])
-def test_ranks_match_brute_force_in_any_number_of_buckets(spark, rows_per_bucket):
+@pytest.mark.parametrize("parts", [10, 100_000])
+def test_ranks_match_brute_force_in_any_number_of_buckets(spark, parts):
     rng = random.Random(1)
     # A third of all rows share one score.
     p = [0.5 if rng.random() < 0.34 else rng.randrange(60) / 60 for _ in range(300)]
     y = [int(rng.random() < 0.3 + 0.4 * a) for a in p]
     df = scored(spark, p, y)
-    found = metrics_of(df, rows_per_bucket=rows_per_bucket)
+    found = metrics_of(df, parts=parts)
     auroc, ap = brute(p, y)
     assert found["auroc"] == pytest.approx(auroc) and found["average_precision"] == pytest.approx(ap)
     flipped = df.withColumn("p", 1 - F.col("p"))
-    assert metrics_of(flipped, rows_per_bucket=rows_per_bucket)["auroc"] == pytest.approx(1 - auroc)
+    assert metrics_of(flipped, parts=parts)["auroc"] == pytest.approx(1 - auroc)
     curve = sorted((r["fpr"], r["tpr"]) for r in evaluate.roc_curve(
-        df, "p", "y", rows_per_bucket).collect())
+        df, "p", "y", parts).collect())
     area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip([(0, 0), *curve], curve))
     assert area == pytest.approx(auroc)
 
 
-def test_many_buckets_are_used(spark):
-    df = spark.range(10_000).select((F.col("id") * 1.0).alias("v"))
-    points = ranks.split_points(df, ["v"], 1_000)["v"]
-    assert len(points) == 9
-    fine = ranks.split_points(df, ["v"], 100)["v"]
-    assert len(fine) == 99 and fine == sorted(set(fine))
-
-
-@pytest.mark.parametrize("rows_per_bucket", [5, 1000])
-def test_exact_quantiles(spark, rows_per_bucket):
+@pytest.mark.parametrize("parts", [1, 7, 300])
+def test_exact_quantiles(spark, parts):
     rng = random.Random(4)
     values = [rng.choice([1.0, rng.uniform(0, 9)]) for _ in range(101)] + [None, float("nan")]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    totals = ranks.ranked_values(df, ["v"], {"n": F.lit(1)}, rows_per_bucket)
+    totals = ranks.ranked_values(df, ["v"], {"n": F.lit(1)}, parts)
     found = ranks.exact_quantiles(totals, "n", {"a": 0.25, "b": 0.5, "c": 0.9, "d": 1.0}).first()
     expected = np.quantile(values[:101], [0.25, 0.5, 0.9, 1.0])
     assert list(found)[1:] == pytest.approx(list(expected))
 
 
+@pytest.mark.parametrize("parts", [1, 500])
+def test_running_totals_whatever_the_number_of_ranges(spark, parts):
+    df = spark.range(3_000).select((F.col("id") % 1_500 * 1.0).alias("v"), (F.col("id") * -1.0).alias("u"))
+    table = ranks.value_table(df, ["v", "u"], {"n": F.lit(1).cast("long")}, parts)
+    assert table.select("part").distinct().count() > parts / 2
+    found = ranks.running_totals(table, ["n"])
+    wrong = found.where(F.when(F.col("series") == "v", F.col("value") * 2).otherwise(F.col("value") + 2_999) != F.col("n_below"))
+    assert found.count() == 4_500 and wrong.count() == 0
+    assert {r["n_all"] for r in found.collect()} == {3_000}
+
+
+def test_moments_of_a_value_table(spark):
+    rng = np.random.default_rng(6)
+    values = (1e9 + rng.integers(0, 5, 200)).tolist() + [None, float("nan"), float("nan")]
+    rows = [(v, v if i % 2 else None, int(i % 3 == 0)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "a double, b double, w int")
+    df = df.withColumn("none", F.lit(None).cast("double"))
+    table = ranks.value_table(df, ["a", "b", "none"], {"w": F.col("w"), "n": F.lit(1)})
+    found = {r["series"]: r for r in ranks.moments(table, ["w", "n"]).collect()}
+    whole = np.array(values[:200])
+    a, own = found["a"], whole[::3]
+    assert (a["n_count"], a["n_missing"], a["w_count"]) == (200, 3, len(own))
+    assert (a["n_mean"], a["n_std"]) == pytest.approx((whole.mean(), whole.std(ddof=1)), rel=1e-12)
+    assert (a["w_mean"], a["w_std"], a["w_min"], a["w_max"]) == pytest.approx((own.mean(), own.std(ddof=1), own.min(), own.max()))
+    assert found["b"]["n_count"] == 100 and found["b"]["n_missing"] == 103
+    assert found["none"]["n_count"] == 0 and found["none"]["n_mean"] is None and found["none"]["n_std"] is None
+
+
 def test_confusion_at_thresholds(spark):
     df = scored(spark, [0.1, 0.2, 0.3, 0.4, 0.6, 0.7, 0.8, 0.9], [0, 0, 0, 1, 1, 1, 1, 1])
     found = evaluate.threshold_metrics(
@@ -214,11 +234,11 @@ def psi_of(a, b):
     return float(np.sum((c - r) * np.log(c / r)))
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10, 100_000])
-def test_drift(spark, both_sides, rows_per_bucket):
+@pytest.mark.parametrize("parts", [10, 100_000])
+def test_drift(spark, both_sides, parts):
     ref, cur, reference, current = both_sides
     names = drift.monitored_features(reference)
-    changes = drift.feature_drift(reference, current, names, rows_per_bucket=rows_per_bucket)
+    changes = drift.feature_drift(reference, current, names, parts=parts)
     found = {r["feature"]: r for r in changes.collect()}
     assert set(found) == {"count", "level"}
     for i, name in enumerate(("count", "level")):
@@ -244,7 +264,7 @@ def test_a_table_does_not_drift_from_itself(both_sides):
 def test_reference_stats(both_sides):
     ref, _, reference, _ = both_sides
     found = {r["feature"]: r for r in drift.reference_stats(
-        reference, ["level", "empty"], rows_per_bucket=20).collect()}
+        reference, ["level", "empty"], parts=20).collect()}
     values = np.array([r[1] for r in ref])
     assert found["level"]["std"] == pytest.approx(values.std(ddof=1))
     assert found["level"]["q25"] == pytest.approx(np.quantile(values, 0.25))
@@ -260,7 +280,7 @@ def test_constant_reference_is_widened(spark):
 def test_box_statistics(spark):
     values = [*map(float, range(1, 12)), 40.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    row = quality.feature_boxstats(df, ["v"], rows_per_bucket=3).first()
+    row = quality.feature_boxstats(df, ["v"], parts=3).first()
     assert (row["low_whisker"], row["high_whisker"], row["n_outliers"]) == (1.0, 11.0, 1)
     assert row["median"] == pytest.approx(np.median(values))
 

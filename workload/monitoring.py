@@ -404,10 +404,15 @@ def _status_sql() -> str:
     FROM (SELECT drifted_features AS n FROM ({drifted})) d, ({declined}) p, ({biased}) b"""
 
 
+def summaries(spark: SparkSession, d: str) -> list[DataFrame]:
+    """One row each, stored: the status and the document read them several times."""
+    declined = performance.degradation_summary(degradation(spark, d))
+    return [scratch.settle(df, "summary") for df in (line_summary(spark, d), declined, group_summary(spark, d))]
+
+
 @query("monitoring_status", _status_sql())
 def monitoring_status(spark, d):
-    drifted, biased = line_summary(spark, d), group_summary(spark, d)
-    declined = performance.degradation_summary(degradation(spark, d))
+    drifted, declined, biased = summaries(spark, d)
     worst = report.monitoring_status(drifted, declined, biased)
     lowered = report.monitoring_status(drifted, declined, biased, reference_precedence=True)
     return worst.select(
@@ -418,8 +423,7 @@ def monitoring_status(spark, d):
 
 @query("monitoring_report")
 def monitoring_report(spark, d):
-    drifted, biased = line_summary(spark, d), group_summary(spark, d)
-    declined = performance.degradation_summary(degradation(spark, d))
+    drifted, declined, biased = summaries(spark, d)
     status = report.monitoring_status(drifted, declined, biased)
     path = scratch.scratch_path(spark, "monitoring-report")
     document = report.monitoring_report(status, drifted, declined, biased)
