@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from cohortflow.functions.scalars import days, time_literal
 
 DAY = 24 * 3600 * 1_000_000
+#: Cells of a block, and blocks of the next larger one.
+RADIX = 4
 #: An hour, half an hour, a minute, a second, a millisecond.
 DIVISIONS = (3600 * 1_000_000, 1800 * 1_000_000, 60 * 1_000_000, 1_000_000, 1_000)
 
@@ -141,49 +143,63 @@ def _states(measures: Sequence[Measure], time: str) -> list[Column]:
     states = []
     for i, measure in enumerate(measures):
         if isinstance(measure, Count):
-            states.append(F.count_if(_where(measure)).alias(f"_n{i}"))
+            state = F.count_if(_where(measure))
         elif isinstance(measure, Last):
-            states.append(_latest(measure, time).alias(f"_last{i}"))
+            state = _latest(measure, time)
         else:
             value = F.when(_where(measure), measure.value)
-            states += [
-                F.count(value).alias(f"_n{i}"),
-                F.avg(value).alias(f"_mean{i}"),
-                (F.var_pop(value) * F.count(value)).alias(f"_spread{i}"),
-            ]
+            n = F.count(value)
+            state = F.struct(n.alias("n"), F.avg(value).alias("mean"), (F.var_pop(value) * n).alias("spread"))
+        states.append(state.alias(f"_s{i}"))
     return states
 
 
-def _merge(pairs: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    centred = [i for i, m in enumerate(measures) if isinstance(m, Stats)]
-    if centred:
-        # Spread about the common mean: no difference of large sums is taken.
-        group = Window.partitionBy(*keys)
-        pairs = pairs.select(
-            "*",
-            *[
-                F.try_divide(
-                    F.sum(F.col(f"_n{i}") * F.col(f"_mean{i}")).over(group),
-                    F.sum(f"_n{i}").over(group),
-                ).alias(f"_centre{i}")
-                for i in centred
-            ],
-        )
+def _joined(a: Column, b: Column) -> Column:
+    """Count, mean and squared distance from it of two groups together: no difference of large
+    sums is taken."""
+    n = a["n"] + b["n"]
+    step = b["mean"] - a["mean"]
+    share = b["n"] / n
+    both = F.struct(
+        n.alias("n"),
+        (a["mean"] + step * share).alias("mean"),
+        (a["spread"] + b["spread"] + step * step * a["n"] * share).alias("spread"),
+    )
+    return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both)
+
+
+def _merged(measures: Sequence[Measure]) -> list[Column]:
+    """States of a group of states, under the same names. Spreads are put together one after
+    another; the lists hold a state per block of one window, or per cell of one block."""
     merged = []
     for i, measure in enumerate(measures):
+        state = F.col(f"_s{i}")
         if isinstance(measure, Count):
-            merged.append(F.sum(f"_n{i}").alias(measure.name))
+            merged.append(F.sum(state).alias(f"_s{i}"))
         elif isinstance(measure, Last):
-            merged.append(F.max(f"_last{i}")["value"].alias(measure.name))
+            merged.append(F.max(state).alias(f"_s{i}"))
         else:
-            spread = F.col(f"_spread{i}") + F.col(f"_n{i}") * F.pow(
-                F.col(f"_mean{i}") - F.col(f"_centre{i}"), F.lit(2.0)
-            )
-            merged += [
-                F.max(f"_centre{i}").alias(measure.mean),
-                F.sqrt(F.try_divide(F.sum(spread), F.sum(f"_n{i}"))).alias(measure.std),
+            none = F.expr("named_struct('n', 0L, 'mean', 0D, 'spread', 0D)")
+            held = F.collect_list(F.when(state["n"] > 0, state))
+            merged.append(F.aggregate(held, none, _joined).alias(f"_s{i}"))
+    return merged
+
+
+def _values(measures: Sequence[Measure]) -> list[Column]:
+    """What the measures of a state are."""
+    found = []
+    for i, measure in enumerate(measures):
+        state = F.col(f"_s{i}")
+        if isinstance(measure, Count):
+            found.append(state.alias(measure.name))
+        elif isinstance(measure, Last):
+            found.append(state["value"].alias(measure.name))
+        else:
+            found += [
+                F.when(state["n"] > 0, state["mean"]).alias(measure.mean),
+                F.sqrt(F.try_divide(state["spread"], state["n"])).alias(measure.std),
             ]
-    return pairs.groupBy(*keys).agg(*merged)
+    return found
 
 
 def _passes(measures: Sequence[Measure]) -> list[tuple[list[Measure], Column | None]]:
@@ -238,6 +254,57 @@ def join_cells(
     return joined.where(F.col("_cell").between(opens, F.col("_at") + last - off)).drop("_stretch")
 
 
+def block_sizes(first: int, last: int) -> list[int]:
+    """Sizes of the blocks that a window of the cells from ``first`` to ``last`` can hold."""
+    sizes = [1]
+    while sizes[-1] * RADIX <= last - first + 1:
+        sizes.append(sizes[-1] * RADIX)
+    return sizes
+
+
+def window_blocks(
+    index: DataFrame, entity: str, as_of: str, first: int, last: int, grain: int = DAY
+) -> DataFrame:
+    """(entity, as_of, _size, _block): the fewest blocks that make up the cells from ``first`` to
+    ``last`` relative to each distinct index row's; at most 2 (RADIX - 1) of each size, and as
+    many again of the largest. A row off the grid leaves out the cells its window cuts."""
+    sizes = block_sizes(first, last)
+    at = time_cell(F.col(as_of), grain)
+    off = (F.pmod(F.col("_at"), F.lit(2)) != 0).cast("int")
+    opens = F.col("_at") + first + (off if first % 2 == 0 else F.lit(0))
+    closes = F.col("_at") + last - off
+
+    def ends(size: int) -> tuple[Column, Column]:
+        """First and last block of a size that lie inside the window."""
+        return F.ceil(opens / size), F.floor((closes + 1) / size) - 1
+
+    def run(size: int, start: Column, stop: Column) -> Column:
+        blocks = F.when(start <= stop, F.sequence(start, stop)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(blocks, lambda b: F.struct(F.lit(size).alias("size"), b.alias("block")))
+
+    parts = []
+    for size in sizes:
+        start, stop = ends(size)
+        if size == sizes[-1]:
+            parts.append(run(size, start, stop))
+            continue
+        low, high = ends(size * RADIX)
+        none = low > high  # no larger block: all of this size
+        parts.append(run(size, start, F.when(none, stop).otherwise(low * RADIX - 1)))
+        parts.append(run(size, F.when(none, stop + 1).otherwise((high + 1) * RADIX), stop))
+    windows = index.select(entity, as_of).distinct().withColumn("_at", at)
+    return windows.select(entity, as_of, F.explode(F.concat(*parts)).alias("_b")).select(
+        entity, as_of, F.col("_b.size").alias("_size"), F.col("_b.block").alias("_block")
+    )
+
+
+def block_states(cells: DataFrame, entity: str, measures: Sequence[Measure], sizes: Sequence[int]) -> DataFrame:
+    """(entity, _size, _block, states) from (entity, _cell, states)."""
+    size = F.explode(F.array(*[F.lit(s) for s in sizes]))
+    spread = cells.withColumn("_size", size).withColumn("_block", F.floor(F.col("_cell") / F.col("_size")))
+    return spread.groupBy(entity, "_size", "_block").agg(*_merged(measures))
+
+
 def cut_events(
     index: DataFrame,
     events: DataFrame,
@@ -289,8 +356,8 @@ def lookback_aggregates(
         high = time_literal(at, events, event_time)
         low = high - days(lookback_days)
     else:
-        first, high = index_bounds(index, as_of)
-        low = first - days(lookback_days)
+        earliest, high = index_bounds(index, as_of)
+        low = earliest - days(lookback_days)
     seen = events.where(time.between(low, high))
     off_grid = at is None and exact_grain(index, as_of, grain) != grain
     ends = [-span_cells(lookback_days, grain), 0] if at is None else []
@@ -308,9 +375,10 @@ def lookback_aggregates(
                 .groupBy(entity, "_cell")
                 .agg(*_states(group, event_time))
             )
-            pairs = join_cells(
-                index, cells, entity, as_of, -span_cells(lookback_days, grain), 0, grain
-            )
+            first = -span_cells(lookback_days, grain)
+            states = block_states(cells, entity, group, block_sizes(first, 0))
+            blocks = window_blocks(index, entity, as_of, first, 0, grain)
+            met = blocks.join(states, [entity, "_size", "_block"]).drop("_size", "_block")
             if off_grid:
                 before = instant(F.col("_as_of")) - instant(time)
                 parts = (
@@ -319,8 +387,8 @@ def lookback_aggregates(
                     .groupBy(entity, F.col("_as_of").alias(as_of))
                     .agg(*_states(group, event_time))
                 )
-                pairs = pairs.select(*parts.columns).unionByName(parts)
-            found = _merge(pairs, keys, group)
+                met = met.select(*parts.columns).unionByName(parts)
+            found = met.groupBy(*keys).agg(*_merged(group)).select(*keys, *_values(group))
         rows = rows.join(found, keys, "left")
     return rows.fillna({m.name: 0 for m in measures if isinstance(m, Count)})
 
