@@ -19,10 +19,13 @@ STAGES = {
     "evaluate": stages.evaluate_model,
     "monitor": stages.monitor,
     "explain": stages.explain_high_risk,
+    "retrain": stages.decide_retraining,
+    "log-run": stages.log_run,
+    "compare-runs": stages.compare_logged_runs,
 }
 NUMBERS = {
     "min_age": int, "prediction_window_days": int, "lookback_days": int, "seed": int,
-    "validation_split": float, "threshold": float,
+    "validation_split": float, "threshold": float, "max_age_days": int,
 }
 NOT_OPTIONS = ("spark", "params", "stratify")
 

@@ -124,9 +124,12 @@ Entity %s, written %s
 ## Largest shares
 """
 EXPLANATION_FEATURE = """%d. %s
-   - value %.2f
+   - value %s
    - share %+.3f, which %s the score
 """
 EXPLANATION_TAIL = """## How to read this
 Shares above zero raise the score and shares below zero lower it. They describe the model, not causes,
 and do not replace a clinician's judgement."""
+
+# Metrics that runs are compared by unless others are named: those of a metrics document.
+RUN_METRICS = ("auroc_calibrated", "auprc_calibrated", "brier_calibrated")

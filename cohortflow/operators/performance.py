@@ -2,20 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
 from cohortflow.functions.scalars import nan_to_null
+from cohortflow.sources.tables import append_batch
+
+
+HISTORY = "metric string, seq bigint, value double, measured_at timestamp, analysis string, batch string"
+
+
+def append_measurements(
+    measurements: DataFrame,
+    path: str,
+    batch: str,
+    measured_at: Column | None = None,
+    analysis: Column | None = None,
+) -> None:
+    """(metric, seq, value) rows added to the history table under a batch's name, with the time
+    and a text of what was found. Writing a batch again replaces it."""
+    at = F.current_timestamp() if measured_at is None else measured_at
+    text = F.lit(None) if analysis is None else analysis
+    rows = measurements.select(
+        "metric",
+        F.col("seq").cast("bigint").alias("seq"),
+        F.col("value").cast("double").alias("value"),
+        at.cast("timestamp").alias("measured_at"),
+        text.cast("string").alias("analysis"),
+    )
+    append_batch(rows, path, batch)
 
 
-def append_measurements(measurements: DataFrame, path: str) -> None:
-    """(metric, seq, value) rows added to the history table."""
-    measurements.select("metric", "seq", "value").write.mode("append").parquet(path)
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(HISTORY).parquet(path)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("metric string, seq bigint, value double").parquet(path)
+def recent_measurements(history: DataFrame, window: int = defaults.TREND_WINDOW) -> DataFrame:
+    """``history`` reduced to each metric's last measurements, with ``back``, 1 for the last one.
+
+    The rank filter keeps ``window`` rows per metric and task before the shuffle.
+    """
+    latest = Window.partitionBy("metric").orderBy(F.desc("seq"))
+    return history.withColumn("back", F.row_number().over(latest)).where(F.col("back") <= window)
 
 
 def metric_degradation(
@@ -58,14 +87,8 @@ def metric_trend(
     window: int = defaults.TREND_WINDOW,
     lower_is_better: tuple[str, ...] = defaults.LOWER_IS_BETTER,
 ) -> DataFrame:
-    """(metric, n_recent, slope, trend) over each metric's last measurements.
-
-    The rank filter keeps ``window`` rows per metric and task before the shuffle.
-    """
-    latest = Window.partitionBy("metric").orderBy(F.desc("seq"))
-    recent = history.withColumn("back", F.row_number().over(latest)).where(
-        F.col("back") <= window
-    )
+    """(metric, n_recent, slope, trend) over each metric's last measurements."""
+    recent = recent_measurements(history, window)
     position = (F.lit(0) - F.col("back")).cast("double")
     slopes = recent.groupBy("metric").agg(
         F.count("*").alias("n_recent"), F.regr_slope(F.col("value"), position).alias("slope")

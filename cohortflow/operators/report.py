@@ -61,18 +61,35 @@ def monitoring_status(
 
 
 def monitoring_report(
-    status: DataFrame, drift: DataFrame, performance: DataFrame, bias: DataFrame
+    status: DataFrame,
+    drift: DataFrame,
+    performance: DataFrame,
+    bias: DataFrame,
+    features: DataFrame | None = None,
+    metrics: DataFrame | None = None,
+    attributes: DataFrame | None = None,
+    generated: Column | None = None,
 ) -> DataFrame:
-    """One document row: the status with the three summaries it rests on."""
-    def block(df: DataFrame) -> Column:
-        return df.select(F.struct(*df.columns)).scalar()
+    """One document row: the status with the three summaries it rests on and, as far as they are given, the
+    rows behind those: ``features`` of ``feature_drift``, ``metrics`` of ``metric_degradation`` and ``attributes``
+    of ``bias_metrics``, a row per monitored column, metric and attribute; and when it was written.
+    """
+    def block(df: DataFrame, name: str, rows: DataFrame | None, key: str) -> Column:
+        summary = df.select(F.struct(*df.columns)).scalar()
+        fields = [summary[c].alias(c) for c in df.columns]
+        if rows is not None:  # few by nature: columns, metrics, attributes
+            ordered = [key, *[c for c in rows.columns if c != key]]
+            fields.append(rows.agg(F.sort_array(F.collect_list(F.struct(*ordered)))).scalar().alias(name))
+        return F.struct(*fields)
 
     return status.select(
+        *[generated.alias("generated_at")] * (generated is not None),
         F.col("status").alias("overall_status"),
+        "severity",
         "alerts",
-        block(drift).alias("drift_analysis"),
-        block(performance).alias("performance_analysis"),
-        block(bias).alias("bias_analysis"),
+        block(drift, "features", features, "feature").alias("drift_analysis"),
+        block(performance, "metrics", metrics, "metric").alias("performance_analysis"),
+        block(bias, "attributes", attributes, "attribute").alias("bias_analysis"),
     )
 
 

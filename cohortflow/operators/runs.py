@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow import defaults
+from cohortflow.sources.tables import append_batch
 
 RUNS = """run_id string, run_name string, start_time timestamp, status string,
 params map<string, string>, metrics map<string, double>, tags map<string, string>"""
@@ -52,9 +53,10 @@ def prefixed(metrics: Column, prefix: Column) -> Column:
     return F.transform_keys(metrics, lambda k, _: F.concat(prefix, F.lit("_"), k))
 
 
-def log_runs(runs: DataFrame, path: str) -> None:
-    """Appends runs to the runs table; unusable metrics are dropped."""
-    runs.withColumn("metrics", finite_metrics(F.col("metrics"))).write.mode("append").parquet(path)
+def log_runs(runs: DataFrame, path: str, batch: str) -> None:
+    """Adds runs to the runs table under a batch's name; unusable metrics are dropped. Logging a batch
+    again replaces it."""
+    append_batch(runs.withColumn("metrics", finite_metrics(F.col("metrics"))), path, batch)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -72,30 +74,26 @@ def best_run(runs: DataFrame, metric: str, ascending: bool = False) -> DataFrame
     return runs.orderBy(order, "run_id").limit(1)
 
 
-def map_keys(runs: DataFrame, column: str) -> list[str]:
-    """Distinct keys of a map column: names of metrics or parameters, few by nature."""
-    keys = runs.select(F.explode(F.map_keys(column)).alias("key")).distinct().orderBy("key")
-    return [row["key"] for row in keys.collect()]
+def _chosen(runs: DataFrame, run_ids: Sequence[str] | DataFrame | None) -> DataFrame:
+    if run_ids is None:
+        return runs
+    if isinstance(run_ids, DataFrame):
+        return runs.join(run_ids.select("run_id"), "run_id", "left_semi")
+    return runs.where(F.col("run_id").isin(list(run_ids)))
 
 
 def compare_runs(
     runs: DataFrame,
     run_ids: Sequence[str] | DataFrame,
-    metrics: Sequence[str] | None = None,
-    params: Sequence[str] | None = None,
+    metrics: Sequence[str] = defaults.RUN_METRICS,
+    params: Sequence[str] = defaults.KEY_PARAMETERS,
 ) -> DataFrame:
-    """The given runs side by side, a column per metric and parameter.
+    """The given runs side by side, a column per named metric and parameter.
 
-    Runs are named in a list, or by the ``run_id`` column of a frame. Columns come from map look-ups, so nothing is shuffled; names not given are found
-    with one distinct over the selected runs.
+    Runs are named in a list, or by the ``run_id`` column of a frame. Columns come from map look-ups,
+    so nothing is shuffled; ``run_entries`` has whatever else the runs hold, as rows.
     """
-    if isinstance(run_ids, DataFrame):
-        chosen = runs.join(run_ids.select("run_id"), "run_id", "left_semi")
-    else:
-        chosen = runs.where(F.col("run_id").isin(list(run_ids)))
-    metrics = map_keys(chosen, "metrics") if metrics is None else metrics
-    params = map_keys(chosen, "params") if params is None else params
-    return chosen.select(
+    return _chosen(runs, run_ids).select(
         "run_id",
         F.coalesce("run_name", F.lit("Unknown")).alias("run_name"),
         "start_time",
@@ -105,16 +103,28 @@ def compare_runs(
     )
 
 
+def run_entries(runs: DataFrame, run_ids: Sequence[str] | DataFrame | None = None) -> DataFrame:
+    """(run_id, kind, key, text, number): a row for every metric and parameter of the given runs, or
+    of all, whatever their names."""
+    chosen = _chosen(runs, run_ids)
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    metrics = chosen.select("run_id", F.explode("metrics").alias("key", "number")).select(
+        "run_id", F.lit("metric").alias("kind"), "key", no_text.alias("text"), "number"
+    )
+    params = chosen.select("run_id", F.explode("params").alias("key", "text")).select(
+        "run_id", F.lit("param").alias("kind"), "key", "text", no_number.alias("number")
+    )
+    return metrics.unionByName(params)
+
+
 def compare_experiment(
     runs: DataFrame,
-    metrics: Sequence[str] | None = None,
-    params: Sequence[str] | None = None,
+    metrics: Sequence[str] = defaults.RUN_METRICS,
+    params: Sequence[str] = defaults.KEY_PARAMETERS,
     key_parameters: Sequence[str] = defaults.KEY_PARAMETERS,
 ) -> DataFrame:
-    """All runs, newest first, with every metric and the parameters whose name holds a key
-    parameter's."""
-    metrics = map_keys(runs, "metrics") if metrics is None else metrics
-    params = map_keys(runs, "params") if params is None else params
+    """All runs, newest first, with the named metrics and those of the named parameters whose name
+    holds a key parameter's."""
     kept = [p for p in params if any(key in p for key in key_parameters)]
     return runs.select(
         "run_id",

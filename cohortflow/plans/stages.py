@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow import defaults, schemas
@@ -25,11 +25,13 @@ from cohortflow.operators import (
     merge,
     performance,
     report,
+    runs,
     train,
 )
 from cohortflow.operators.windows import shared_as_of
 from cohortflow.sources.models import load_calibrator, load_classifier, save_calibrator, save_model
 from cohortflow.sources.reports import read_report, write_report
+from cohortflow.sources.scratch import discard, settle
 from cohortflow.sources.tables import read_parquet, read_source, write_parquet
 
 
@@ -143,31 +145,112 @@ def reported_metrics(spark: SparkSession, path: str) -> DataFrame:
 def monitor(
     spark: SparkSession, reference: str, current: str, baseline_metrics: str,
     current_metrics: str, output: str, protected: Sequence[str] = (),
+    history: str = "", batch: str = "", now: str = "",
 ) -> int:
-    """Writes the monitoring report; returns 0, 1 or 2 for healthy, warning, critical."""
+    """Writes the monitoring report with its per-feature, per-metric and per-attribute parts; returns 0, 1 or 2 for
+    healthy, warning, critical. With ``history`` the current metrics join that table under the name ``batch`` (the
+    report's path unless given); ``now`` is the time of writing unless given."""
     old, new = read_parquet(spark, reference), read_parquet(spark, current)
     names = drift.monitored_features(old)
-    drifted = drift.drift_summary(drift.feature_drift(old, new, names), len(names))
-    declined = performance.degradation_summary(
-        performance.metric_degradation(
-            reported_metrics(spark, baseline_metrics), reported_metrics(spark, current_metrics)
-        )
-    )
+    changes = settle(drift.feature_drift(old, new, names), "drift")
+    drifted = settle(drift.drift_summary(changes, len(names)), "summary")
+    measured = reported_metrics(spark, current_metrics)
+    metrics = settle(performance.metric_degradation(reported_metrics(spark, baseline_metrics), measured), "metrics")
+    declined = settle(performance.degradation_summary(metrics), "summary")
     present = [a for a in protected if a in new.columns]
-    if present:
-        found = fairness.bias_metrics(fairness.bias_group_stats(new, present))
-        biased = fairness.bias_summary(found, len(protected))
+    attributes = settle(fairness.bias_metrics(fairness.bias_group_stats(new, present)), "bias") if present else None
+    if attributes is not None:
+        biased = settle(fairness.bias_summary(attributes, len(protected)), "summary")
     else:
-        biased = spark.range(1).select(
-            F.lit(len(protected)).alias("total_attributes"),
-            F.lit(0).cast("long").alias("biased_attributes"),
-            F.lit(False).alias("bias_detected"),
+        biased = settle(
+            spark.range(1).select(
+                F.lit(len(protected)).alias("total_attributes"),
+                F.lit(0).cast("long").alias("biased_attributes"),
+                F.lit(False).alias("bias_detected"),
+            ),
+            "summary",
         )
-    status = report.monitoring_status(drifted, declined, biased)
-    document = report.monitoring_report(status, drifted, declined, biased)
+    at = _instant(now)
+    status = settle(report.monitoring_status(drifted, declined, biased), "status")
+    document = report.monitoring_report(status, drifted, declined, biased, changes, metrics, attributes, at)
     write_report(document, output)
-    stored = read_report(spark, output, document.schema)
-    return report.STATUSES.index(stored.first()["overall_status"])
+    if history:
+        analysis = status.select(F.to_json(F.struct("status", "alerts"))).scalar()
+        rows = measured.withColumn("seq", F.unix_micros(at))
+        performance.append_measurements(rows, history, batch or output, at, analysis)
+    severity = status.first()["severity"]
+    discard(*[t for t in (changes, drifted, metrics, declined, biased, status, attributes) if t is not None])
+    return severity
+
+
+def _instant(now: str) -> Column:
+    return F.lit(now).cast("timestamp") if now else F.current_timestamp()
+
+
+MONITORED = """overall_status string, alerts array<string>,
+    drift_analysis struct<overall_drift_detected: boolean, drifted_features: bigint>"""
+
+
+def decide_retraining(
+    spark: SparkSession, report_path: str, model_path: str, output: str, history: str = "",
+    max_age_days: int = defaults.RETRAIN_AFTER_DAYS, now: str = "",
+) -> int:
+    """Writes (retrain, reason, trained_at, decided_at, trends) from a monitoring report, the time the
+    model was saved and, if given, the metric history; returns 1 if the model is to be trained again."""
+    saved = spark.read.schema("timestamp bigint").json(f"{model_path.rstrip('/')}/metadata")
+    facts = read_report(spark, report_path, MONITORED).select(
+        "overall_status",
+        F.col("drift_analysis.overall_drift_detected").alias("drifted"),
+        F.timestamp_millis(saved.agg(F.max("timestamp")).scalar()).alias("trained_at"),
+        _instant(now).alias("decided_at"),
+    )
+    decided = report.retrain_decision(
+        facts, F.col("drifted"), F.col("overall_status"), F.col("trained_at"), F.col("decided_at"), max_age_days
+    )
+    columns = ["retrain", "reason", "trained_at", "decided_at"]
+    if history:
+        table = performance.read_history(spark, history)
+        trend, recent = performance.metric_trend(table), performance.recent_measurements(table)
+        recent = recent.groupBy("metric").agg(
+            F.sort_array(F.collect_list(F.struct("seq", "measured_at", "value"))).alias("recent")
+        )
+        rows = trend.join(recent, "metric")
+        trends = rows.agg(F.sort_array(F.collect_list(F.struct("metric", "trend", "slope", "recent")))).scalar()
+        decided, columns = decided.withColumn("trends", trends), [*columns, "trends"]
+    write_report(decided.select(*columns), output)
+    return int(read_report(spark, output, "retrain boolean").first()["retrain"])
+
+
+def log_run(
+    spark: SparkSession, runs_path: str, run_id: str, model_path: str, metrics_path: str,
+    run_name: str = "", now: str = "",
+) -> None:
+    """Adds a run to the runs table: the classifier's parameters, the metrics of its report, and the model's place.
+    A run that is logged again replaces itself."""
+    classifier = load_classifier(model_path).stages[-1]
+    params = {p.name: str(v) for p, v in sorted(classifier.extractParamMap().items(), key=lambda x: x[0].name)}
+    params = {**params, "learning_rate": params["stepSize"], "n_estimators": params["maxIter"], "max_depth": params["maxDepth"]}
+    document = read_report(spark, metrics_path, schemas.METRICS_REPORT)
+    fields = [f.name for f in document.schema["metrics"].dataType.fields]
+    pairs = lambda names, value: F.create_map(*[c for n in names for c in (F.lit(n), value(n))])
+    row = document.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(run_name or None).cast("string").alias("run_name"),
+        _instant(now).alias("start_time"),
+        F.lit("FINISHED").alias("status"),
+        pairs(params, lambda n: F.lit(params[n])).alias("params"),
+        pairs(fields, lambda n: F.col(f"metrics.{n}")).alias("metrics"),
+        pairs(["model"], lambda _: F.lit(model_path)).alias("tags"),
+    )
+    runs.log_runs(row, runs_path, run_id)
+
+
+def compare_logged_runs(spark: SparkSession, runs_path: str, output: str, run_ids: str | Sequence[str] = "") -> None:
+    """Writes the runs side by side (all, or those named), and ``<output>_entries``: all they hold, as rows."""
+    table, names = runs.read_runs(spark, runs_path), split_names(run_ids)
+    compared = runs.compare_runs(table, names) if names else runs.compare_experiment(table)
+    write_parquet(compared, output)
+    write_parquet(runs.run_entries(table, names or None), f"{output.rstrip('/')}_entries")
 
 
 def explain_high_risk(

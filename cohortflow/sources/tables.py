@@ -38,6 +38,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def append_batch(df: DataFrame, path: str, batch: str) -> None:
+    """Adds rows to a history under the name of their batch. A batch that is written again, as by a job that
+    ran twice, takes the place of its earlier rows and leaves all others alone."""
+    (
+        df.withColumn("batch", F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .parquet(path)
+    )
+
+
 def read_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One of the five source tables, from ``<folder>/<table>.csv``."""
     return read_csv(spark, f"{folder.rstrip('/')}/{table}.csv", schemas.SOURCES[table])

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from cohortflow import __main__ as cli
-from cohortflow import schemas
+from cohortflow import defaults, schemas
 from cohortflow.operators.windows import shared_as_of
 from cohortflow.plans import stages
 from cohortflow.sources.reports import read_report
@@ -75,8 +75,27 @@ def test_stages(spark, sources, tmp_path):
     assert document["metrics"]["auroc_raw"] > 0.9
     assert set(document["confusion_matrices"]) == {"high_sensitivity", "balanced", "high_ppv",
                                                    "conservative"}
-    code = stages.monitor(spark, at["train"], held_out, at["metrics"], at["metrics"], at["report"])
-    assert code in (0, 1)
+    made = {n: str(tmp_path / n) for n in ("history", "decision", "runs", "compared")}
+    for _ in range(2):  # a stage that runs again leaves the same tables
+        code = stages.monitor(spark, at["train"], held_out, at["metrics"], at["metrics"], at["report"],
+                              history=made["history"], batch="june", now="2024-06-30 12:00:00")
+        assert code in (0, 1)
+        retrain = stages.decide_retraining(spark, at["report"], f"{at['model']}/model", made["decision"],
+                                           made["history"], now="2999-01-01 00:00:00")
+        stages.log_run(spark, made["runs"], "first", f"{at['model']}/model", at["metrics"], now="2024-06-30 12:00:00")
+        stages.compare_logged_runs(spark, made["runs"], made["compared"])
+    stored = spark.read.json(at["report"]).first()
+    assert {f["feature"] for f in stored["drift_analysis"]["features"]} <= set(defaults.FEATURES)
+    assert len(stored["performance_analysis"]["metrics"]) == 3
+    history = spark.read.parquet(made["history"])
+    assert history.count() == 3 and {str(r["measured_at"]) for r in history.collect()} == {"2024-06-30 12:00:00"}
+    decision = spark.read.json(made["decision"]).first()
+    assert retrain == 1 and decision["reason"] in ("age", "drift") and len(decision["trends"]) == 3
+    assert decision["trends"][0]["recent"][0]["value"] is not None
+    run = spark.read.parquet(made["runs"]).collect()
+    assert [r["run_id"] for r in run] == ["first"] and run[0]["params"]["n_estimators"] == "5"
+    assert spark.read.parquet(made["compared"]).first()["param_max_depth"] == "3"
+    assert spark.read.parquet(f"{made['compared']}_entries").where("kind = 'metric'").count() == 6
     stages.explain_high_risk(spark, f"{at['model']}/model", held_out, at["why"])
     why = spark.read.parquet(at["why"])
     risky = spark.read.parquet(held_out).where("prediction_proba >= 0.5").count()

@@ -171,17 +171,41 @@ def test_runs(spark, tmp_path):
          ("r3", "c", start, "FAILED", {}, {"auroc": float("inf")}, {})],
         runs.RUNS,
     )
-    runs.log_runs(table, path)
+    first, rest = table.where("run_id = 'r1'"), table.where("run_id <> 'r1'")
+    for rows, batch in ((first, "a"), (rest, "b"), (rest, "b"), (first, "a")):  # logged again, not twice
+        runs.log_runs(rows, path, batch)
     stored = runs.read_runs(spark, path)
+    assert stored.count() == 3
     assert runs.best_run(stored, "auroc").first()["run_id"] == "r1"
     assert runs.best_run(stored, "brier", ascending=True).first()["run_id"] == "r2"
     assert stored.where("run_id = 'r1'").first()["metrics"] == {"auroc": 0.85}
-    wide = runs.compare_runs(stored, ["r1", "r2"])
+    wide = runs.compare_runs(stored, ["r1", "r2"], ["auroc", "brier"], ["learning_rate", "max_depth", "seed"])
     assert wide.columns[4:] == ["metric_auroc", "metric_brier", "param_learning_rate",
                                 "param_max_depth", "param_seed"]
     assert {r["run_name"] for r in wide.collect()} == {"a", "Unknown"}
-    every = runs.compare_experiment(stored)
+    every = runs.compare_experiment(stored, ["auroc"], ["learning_rate", "seed"])
     assert "param_seed" not in every.columns and "param_learning_rate" in every.columns
+    entries = {(r["run_id"], r["kind"], r["key"]): r["text"] or r["number"] for r in runs.run_entries(stored).collect()}
+    assert entries == {
+        ("r1", "metric", "auroc"): 0.85, ("r2", "metric", "auroc"): 0.8, ("r2", "metric", "brier"): 0.18,
+        ("r1", "param", "learning_rate"): "0.05", ("r1", "param", "seed"): "1", ("r2", "param", "max_depth"): "5",
+    }
+    assert {r["run_id"] for r in runs.run_entries(stored, ["r2"]).collect()} == {"r2"}
+
+
+def test_a_batch_that_comes_again_replaces_itself(spark, tmp_path):
+    from cohortflow.operators import performance
+
+    path = str(tmp_path / "history")
+    rows = spark.createDataFrame([("auroc", 1, 0.8), ("brier", 1, 0.2)], "metric string, seq bigint, value double")
+    later = rows.withColumn("seq", rows.seq + 1).withColumn("value", rows.value / 2)
+    at = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    for df, batch in ((rows, "one"), (later, "two"), (rows, "one"), (later, "two")):
+        performance.append_measurements(df, path, batch, at, F.lit("fine"))
+    history = performance.read_history(spark, path)
+    assert history.count() == 4 and {r["analysis"] for r in history.collect()} == {"fine"}
+    recent = {(r["metric"], r["back"]): (r["value"], str(r["measured_at"])) for r in performance.recent_measurements(history, 1).collect()}
+    assert recent == {("auroc", 1): (0.4, "2024-01-02 03:04:05"), ("brier", 1): (0.1, "2024-01-02 03:04:05")}
 
 
 def test_flatten(spark, rows):

@@ -326,13 +326,15 @@ history AS (SELECT event_type AS metric, CAST(ts AS DATE) - DATE '2024-01-01' AS
 
 @query(
     "metric_history",
-    f"WITH {SQL_HISTORY} SELECT metric, CAST(seq AS BIGINT) AS seq, {r6('value')} AS value FROM history",
+    f"WITH {SQL_HISTORY} SELECT metric, CAST(seq AS BIGINT) AS seq, {r6('value')} AS value, "
+    "'daily mean' AS analysis, CASE WHEN seq < 15 THEN 'first' ELSE 'second' END AS batch FROM history",
 )
 def metric_history(spark, d):
     path, rows = scratch.scratch_path(spark, "history"), history(spark, d)
-    for part in (F.col("seq") < 15, F.col("seq") >= 15):
-        performance.append_measurements(rows.where(part), path)
-    return performance.read_history(spark, path)
+    halves = {"first": F.col("seq") < 15, "second": F.col("seq") >= 15}
+    for batch in ("first", "second", "second"):  # a batch that comes again replaces itself
+        performance.append_measurements(rows.where(halves[batch]), path, batch, analysis=F.lit("daily mean"))
+    return performance.read_history(spark, path).select("metric", "seq", "value", "analysis", "batch")
 
 
 def degradation(spark: SparkSession, d: str) -> DataFrame:
@@ -389,6 +391,22 @@ def metric_trend(spark, d):
     return performance.metric_trend(history(spark, d), lower_is_better=LOWER)
 
 
+@query(
+    "metric_recent",
+    f"""WITH {SQL_HISTORY} SELECT metric, CAST(seq AS BIGINT) AS seq, {r6('value')} AS value,
+      strftime(TIMESTAMP '2024-01-01' + seq * INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS measured_at,
+      CAST(row_number() OVER (PARTITION BY metric ORDER BY seq DESC) AS INTEGER) AS back
+    FROM history QUALIFY back <= 10""",
+)
+def metric_recent(spark, d):
+    path, rows = scratch.scratch_path(spark, "history"), history(spark, d)
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    at = start + F.make_dt_interval(F.col("seq").cast("int"))
+    performance.append_measurements(rows, path, "all", at)
+    recent = performance.recent_measurements(performance.read_history(spark, path))
+    return recent.select("metric", "seq", "value", "measured_at", "back")
+
+
 def _status_sql() -> str:
     drifted = drift_sql(SQL_LINES, f"SELECT * FROM {SUMMARY}").replace(
         "USING (feature))", "USING (feature) WHERE feature <> 'l_discount')"
@@ -421,15 +439,46 @@ def monitoring_status(spark, d):
     )
 
 
-@query("monitoring_report")
+def _report_sql() -> str:
+    """A row per entry of the document: the summaries' counts, then features, metrics and attributes."""
+    lines = drift_sql(SQL_LINES, "SELECT feature, psi, " + FIRED + " AS fired FROM tests JOIN psi USING (feature) "
+                      "WHERE feature <> 'l_discount'")
+    declined = f"WITH {SQL_DEGRADATION} SELECT metric, change FROM degradation"
+    biased = f"WITH {SQL_GROUPS} SELECT attribute, diff, diff > 0.1 OR var > 0.01 AS found FROM metrics"
+    return f"""WITH d AS ({lines}), p AS ({declined}), b AS ({biased}),
+    n AS (SELECT (SELECT count(*) FROM d WHERE fired) AS d, (SELECT count(*) FROM p WHERE change > 0.01) AS p,
+      (SELECT count(*) FROM b WHERE found) AS b)
+    SELECT CASE WHEN n.p > 0 THEN 'critical' WHEN n.d > 0 OR n.b > 0 THEN 'warning' ELSE 'healthy' END AS overall_status,
+      part, name, {r6('number')} AS number, CAST(found AS INTEGER) AS found FROM n, (
+      SELECT 'feature' AS part, feature AS name, psi AS number, fired AS found FROM d
+      UNION ALL SELECT 'metric', metric, change, change > 0.01 FROM p
+      UNION ALL SELECT 'attribute', attribute, diff, coalesce(found, false) FROM b)"""
+
+
+@query("monitoring_report", _report_sql())
 def monitoring_report(spark, d):
-    drifted, declined, biased = summaries(spark, d)
+    """The document is written, read back and taken apart again."""
+    reference, current = line_sides(spark, d)
+    wanted = drift.monitored_features(reference)
+    changes = scratch.settle(drift.feature_drift(reference, current.drop("l_discount"), wanted), "drift")
+    metrics = scratch.settle(degradation(spark, d), "metrics")
+    attributes = scratch.settle(fairness.bias_metrics(group_stats(spark, d)), "bias")
+    drifted = scratch.settle(drift.drift_summary(changes, len(wanted)), "summary")
+    declined = scratch.settle(performance.degradation_summary(metrics), "summary")
+    biased = scratch.settle(fairness.bias_summary(attributes, len(ATTRIBUTES)), "summary")
     status = report.monitoring_status(drifted, declined, biased)
     path = scratch.scratch_path(spark, "monitoring-report")
-    document = report.monitoring_report(status, drifted, declined, biased)
+    document = report.monitoring_report(status, drifted, declined, biased, changes, metrics, attributes, F.current_timestamp())
     reports.write_report(document, path)
     stored = reports.read_report(spark, path, document.schema)
-    return stored.select("overall_status", F.to_json(F.struct("*")).alias("document"))
+
+    def rows(part, entries, name, number, found):
+        entry = F.struct(F.lit(part).alias("part"), F.col(f"e.{name}").alias("name"), F.col(f"e.{number}").alias("number"), F.col(f"e.{found}").alias("found"))
+        return stored.select("overall_status", F.explode(entries).alias("e")).select("overall_status", entry.alias("r")).select("overall_status", "r.*")
+
+    parts = rows("feature", "drift_analysis.features", "feature", "psi", "drift_detected")
+    parts = parts.unionByName(rows("metric", "performance_analysis.metrics", "metric", "change", "degraded"))
+    return parts.unionByName(rows("attribute", "bias_analysis.attributes", "attribute", "demographic_parity_diff", "bias_detected"))
 
 
 NOW = "2024-02-10 00:00:00"

@@ -13,6 +13,7 @@ from workload.base import flag, query, r6, table, ts
 # Runs: one per user, parameters and metrics from the user's events.
 
 METRICS = ["click", "error", "view"]
+PARAMS = ["model_learning_rate", "model_n_estimators"]
 
 
 def run_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -62,10 +63,10 @@ runs AS (SELECT 'run_' || user_id AS run_id,
 
 
 def stored_runs(spark: SparkSession, d: str) -> DataFrame:
-    """Appended to a runs table in two batches, then read back."""
+    """Logged in two batches, one of them twice, then read back."""
     path, rows = scratch.scratch_path(spark, "runs"), run_rows(spark, d)
-    for status in ("FINISHED", "FAILED"):
-        runs.log_runs(rows.where(F.col("status") == status), path)
+    for status in ("FINISHED", "FAILED", "FINISHED"):
+        runs.log_runs(rows.where(F.col("status") == status), path, status)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -105,7 +106,23 @@ METRICS_OUT = ", ".join(f"{r6(m)} AS metric_{m}" for m in METRICS)
 def compare_runs(spark, d):
     rows = run_rows(spark, d)
     failed = rows.where(F.col("status") == "FAILED").select("run_id")
-    return runs.compare_runs(rows, failed, METRICS)
+    return runs.compare_runs(rows, failed, METRICS, [*PARAMS, "random_seed"])
+
+
+@query(
+    "run_entries",
+    f"WITH {SQL_RUNS} "
+    + " UNION ALL ".join(
+        [f"SELECT run_id, 'metric' AS kind, '{m}' AS key, NULL AS text, {r6(m)} AS number FROM runs WHERE {m} IS NOT NULL" for m in METRICS]
+        + ["SELECT run_id, 'metric', 'odd', NULL, round(view, 6) FROM runs WHERE user_id % 3 = 2 AND view IS NOT NULL"]
+        + [
+            f"SELECT run_id, 'param', '{key}', {column}, NULL FROM runs"
+            for key, column in (("model_learning_rate", "rate"), ("model_n_estimators", "trees"), ("random_seed", "seed"))
+        ]
+    ),
+)
+def run_entries(spark, d):
+    return runs.run_entries(stored_runs(spark, d))
 
 
 @query(
@@ -115,7 +132,7 @@ def compare_runs(spark, d):
     + ", rate AS param_model_learning_rate, trees AS param_model_n_estimators FROM runs",
 )
 def compare_experiment(spark, d):
-    return runs.compare_experiment(run_rows(spark, d), METRICS)
+    return runs.compare_experiment(run_rows(spark, d), METRICS, [*PARAMS, "random_seed"])
 
 
 @query(
