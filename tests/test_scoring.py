@@ -2,6 +2,7 @@
 
 import math
 import random
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -383,6 +384,50 @@ def test_stratified_split(spark):
     assert split.where("is_validation").exceptAll(other.where("is_validation")).count() > 0
 
 
+def test_stratified_split_cut_digit_by_digit(spark, monkeypatch):
+    """The same rows, however few may be ranked; copies of one key stay together."""
+    rows = [(i, int(i % 10 < 3)) for i in range(1003)] + [(5000, 1)] * 400 + [(7, None)] * 5
+    df = spark.createDataFrame(rows, "k int, label_90d int")
+    whole = train.stratified_split(df, ["k"]).groupBy("k", "label_90d", "is_validation").count().collect()
+    for ranked, digits in ((20, 1), (1, 3), (0, 3)):
+        monkeypatch.setattr(train, "RANKED_ROWS", ranked)
+        monkeypatch.setattr(train, "PREFIX_DIGITS", digits)
+        again = train.stratified_split(df, ["k"]).groupBy("k", "label_90d", "is_validation").count().collect()
+        assert sorted(map(repr, again)) == sorted(map(repr, whole))
+    assert len({r["is_validation"] for r in whole if r["k"] == 5000}) == 1
+    assert not any(r["is_validation"] for r in whole if r["label_90d"] is None)
+
+
+def test_folds_roll_forward(spark):
+    rows = [(i, datetime(2024, 1, 1) + timedelta(days=i % 40)) for i in range(400)] + [(1, None)]
+    df = spark.createDataFrame(rows, "k int, as_of timestamp")
+    bounds = sorted(train.fold_bounds(df, 3).collect())
+    assert [r["fold"] for r in bounds] == [1, 2, 3]
+    days = [r["as_of"] for r in df.collect() if r["as_of"]]
+    for r in bounds:
+        assert r["n_train"] == sum(d < r["valid_from"] for d in days)
+        assert r["n_valid"] == sum(r["valid_from"] <= d < r["valid_until"] for d in days)
+    assert bounds[0]["valid_until"] == bounds[1]["valid_from"] and bounds[-1]["valid_until"] > max(days)
+    assert train.fold_bounds(df.where("false"), 3).count() == 0
+    single = train.fold_bounds(df.where("as_of = '2024-01-05'"), 2).collect()
+    assert [(r["n_train"], r["n_valid"]) for r in sorted(single)] == [(10, 0), (10, 0)]
+
+
+def test_folds_stop_early(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(1500, 2))
+    y = (x[:, 0] + rng.normal(size=1500) > 0).astype(int)
+    rows = [(float(a), float(b), int(t), datetime(2024, 1, 1) + timedelta(hours=i)) for i, ((a, b), t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "a double, b double, label_90d int, as_of timestamp")
+    found = train.cross_validate(df, ["a", "b"], 2, maxIter=25, maxDepth=4, stepSize=0.5, minInstancesPerNode=5).collect()
+    assert [r["fold"] for r in found] == [1, 2]
+    for r in found:
+        assert 0 < r["n_trees"] < 25 and r["auroc"] > 0.6 and 0 < r["brier"] < 0.4
+    assert found[0]["n_train"] + found[0]["n_valid"] == found[1]["n_train"]
+    one_class = train.cross_validate(df.withColumn("label_90d", F.lit(1)), ["a"], 2, maxIter=2).collect()
+    assert [r["auroc"] for r in one_class] == [None, None]
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "label_90d int")
     weights = {r["label"]: r["weight"] for r in train.class_weights(df).collect()}

@@ -248,6 +248,23 @@ def split_by_time(spark, d):
     return train.split_by_time(label_rows(spark, d), cutoff)
 
 
+@query(
+    "time_folds",
+    sql(
+        f"""SELECT CAST(fold AS INTEGER) AS fold, {ts('valid_from')} AS valid_from, {ts('valid_until')} AS valid_until,
+          (SELECT count(*) FROM labels WHERE as_of < valid_from) AS n_train,
+          (SELECT count(*) FROM labels WHERE as_of >= valid_from AND as_of < valid_until) AS n_valid FROM (
+          SELECT fold, low + to_microseconds(CAST(fold * part AS BIGINT)) AS valid_from,
+            low + to_microseconds(CAST((fold + 1) * part AS BIGINT)) AS valid_until FROM (
+            SELECT min(as_of) AS low, ceil((epoch_us(max(as_of)) - epoch_us(min(as_of)) + 1) / 5.0) AS part FROM labels),
+            range(1, 5) t(fold))""",
+        SQL_LABELS,
+    ),
+)
+def time_folds(spark, d):
+    return train.fold_bounds(scratch.settle(label_rows(spark, d), "labels"), 4)
+
+
 @query(
     "class_weights",
     sql(
