@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
@@ -29,12 +29,12 @@ def code_holders(
 
 def filter_by_age(
     patients: DataFrame,
-    on: date | datetime | str,
+    on: date | datetime | str | Column,
     min_age: int = defaults.MIN_AGE,
     birth: str = "BirthDate",
 ) -> DataFrame:
-    """Adds ``age`` on the given date and keeps rows of at least ``min_age``."""
-    reference = F.lit(str(on)[:10]).cast("date")
+    """Adds ``age`` on the given date, or on each row's own, and keeps rows of at least ``min_age``."""
+    reference = on.cast("date") if isinstance(on, Column) else F.lit(str(on)[:10]).cast("date")
     return patients.withColumn("age", age_on(F.col(birth), reference)).where(
         F.col("age") >= min_age
     )
@@ -50,7 +50,7 @@ def join_holders(
 def build_cohort(
     patients: DataFrame,
     conditions: DataFrame,
-    reference_date: date | datetime | str,
+    reference_date: date | datetime | str | Column,
     min_age: int = defaults.MIN_AGE,
     codes: Sequence[str] = defaults.COHORT_CODES,
     patient_id: str = "Id",
@@ -59,12 +59,15 @@ def build_cohort(
     code: str = "Code",
     time_type: str = "timestamp",
 ) -> DataFrame:
-    """(patient, age, as_of): code holders of at least ``min_age`` on the reference date."""
+    """(patient, age, as_of): code holders of at least ``min_age`` on the reference date.
+
+    The date is one for all, or a column of ``patients``; who has none is left out.
+    """
     holders = code_holders(conditions, codes, entity, code)
     # The age filter runs before the join: it needs no other table.
     adults = filter_by_age(patients, reference_date, min_age, birth)
+    own = isinstance(reference_date, Column)
+    as_of = reference_date if own else F.lit(str(reference_date))
     return join_holders(adults, holders, patient_id, entity).select(
-        F.col(patient_id).alias("patient"),
-        "age",
-        F.lit(str(reference_date)).cast(time_type).alias("as_of"),
+        F.col(patient_id).alias("patient"), "age", as_of.cast(time_type).alias("as_of")
     )

@@ -221,7 +221,7 @@ def explanation_text(
             defaults.EXPLANATION_FEATURE,
             i + 1,
             c["feature"],
-            c["value"],
+            F.when(c["value"].isNull(), "missing").otherwise(F.format_string("%.2f", c["value"])),
             c["phi"],
             F.when(c["phi"] > 0, "increases").otherwise("decreases"),
         ),

@@ -391,3 +391,22 @@ def test_clinical_bands(spark, rows):
         ("normal", "normal", "normal"), ("prediabetic", "elevated", "elevated"),
         ("diabetic", "stage1", "high"), (None, "high", None),
     }
+
+
+@pytest.mark.parametrize("first,last", [(-360, 0), (-2, 0), (0, 0), (1, 64), (-17, 5), (-1, 0)])
+def test_blocks_make_up_the_window(spark, first, last):
+    """Every cell of a window lies in exactly one of its blocks, and blocks are few."""
+    moments = [datetime(2024, 1, 1) + timedelta(hours=h) for h in (0, 24, 24 * 31, 24 * 77, 12, 12 + 24 * 40)]
+    index = spark.createDataFrame([("p", m) for m in moments * 2], "patient string, as_of timestamp")
+    blocks = windows.window_blocks(index, "patient", "as_of", first, last)
+    cells = {}
+    for r in blocks.collect():
+        own = cells.setdefault(r["as_of"], [])
+        own += range(r["_block"] * r["_size"], (r["_block"] + 1) * r["_size"])
+    sizes = windows.block_sizes(first, last)
+    for r in index.distinct().select("as_of", windows.time_cell(F.col("as_of")).alias("at")).collect():
+        off = r["at"] % 2
+        opens = r["at"] + first + (off if first % 2 == 0 else 0)
+        assert sorted(cells.get(r["as_of"], [])) == list(range(opens, r["at"] + last - off + 1))
+    counts = {r["as_of"]: r["count"] for r in blocks.groupBy("as_of").count().collect()}
+    assert all(n <= 2 * (windows.RADIX - 1) * (len(sizes) + 1) for n in counts.values())

@@ -36,7 +36,10 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def conditions(spark: SparkSession, d: str) -> DataFrame:
-    return lines(spark, d).select(F.col("o_custkey").alias("Patient"), F.col("p_brand").alias("Code"))
+    """Lines meet their parts first: a filter on the code then leaves few to be joined with orders."""
+    item, order, part = (table(spark, d, n) for n in ("lineitem", "orders", "part"))
+    found = item.join(part, item.l_partkey == part.p_partkey).join(order, item.l_orderkey == order.o_orderkey)
+    return found.select(F.col("o_custkey").alias("Patient"), F.col("p_brand").alias("Code"))
 
 
 def encounters(spark: SparkSession, d: str) -> DataFrame:
@@ -222,6 +225,26 @@ def build_cohort(spark, d):
     return index(spark, d)
 
 
+OWN_DATE = "DATE '1996-01-01' + CAST(id % 900 AS INTEGER)"
+
+
+@query(
+    "build_cohort_own_dates",
+    sql(
+        f"SELECT id AS patient, {AGE.format(on='day', born='birthdate')} AS age, "
+        f"{ts('CAST(day AS TIMESTAMP)')} AS as_of FROM (SELECT *, CASE WHEN id % 11 <> 0 THEN {OWN_DATE} END AS day "
+        f"FROM patients) WHERE {AGE.format(on='day', born='birthdate')} >= 18 "
+        "AND id IN (SELECT patient FROM conditions WHERE code = 'Brand#7')"
+    ),
+)
+def build_cohort_own_dates(spark, d):
+    """Each patient's own reference date; some have none."""
+    key = F.col("Id")
+    own = F.when(key % 11 != 0, F.date_add(F.lit("1996-01-01").cast("date"), (key % 900).cast("int")))
+    rows = patients(spark, d).withColumn("day", own)
+    return cohort.build_cohort(rows, conditions(spark, d), F.col("day"), 18, CODES, time_type="timestamp_ntz")
+
+
 # Labels.
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortflow import defaults
@@ -13,7 +13,7 @@ from cohortflow.functions.trees import load_forest
 from cohortflow.operators import calibrate, explain, train
 from cohortflow.sources import models, scratch
 from workload import panel
-from workload.base import query, r6, table
+from workload.base import query, r6, table, ts
 
 # A linear score over events. "item" is the feature with gaps.
 
@@ -125,7 +125,27 @@ def high_risk_explanations(spark, d):
     )
 
 
-@query("explanation_text")
+REPORT = """WITH {linear}, ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY abs(phi) DESC, feature) AS rank
+  FROM long),
+blocks AS (SELECT event_id, any_value(base) AS base, any_value(score) AS score, string_agg(printf('%d. %s
+   - value %s
+   - share %+.3f, which %s the score
+', rank, feature, coalesce(printf('%.2f', value), 'missing'), phi, CASE WHEN phi > 0 THEN 'increases' ELSE 'decreases' END), chr(10) ORDER BY rank) AS text
+  FROM ranked WHERE rank <= 5 GROUP BY event_id)
+SELECT event_id, printf('# Why this score
+Entity %s, written 2024-01-01 00:00:00
+
+- score %.3f (%s)
+- score without any feature %.3f
+
+## Largest shares
+', CAST(event_id AS VARCHAR), score, CASE WHEN score > 0.5 THEN 'High' WHEN score > 0.25 THEN 'Medium' ELSE 'Low' END, base)
+  || chr(10) || text || chr(10) || '## How to read this
+Shares above zero raise the score and shares below zero lower it. They describe the model, not causes,
+and do not replace a clinician''s judgement.' AS report FROM blocks"""
+
+
+@query("explanation_text", REPORT.replace("{linear}", LINEAR))
 def explanation_text(spark, d):
     text = explain.explanation_text(
         F.col("prediction_proba"), F.col("base"), F.col("contributions"), F.col("event_id"),
@@ -169,6 +189,31 @@ def gbt_train_score(spark, d):
     )
 
 
+def _held_out_sql(columns: str) -> str:
+    return f"{VALIDATION_SQL} SELECT patient, as_of_text AS as_of, {columns} FROM (SELECT *, " \
+        f"{ts('as_of')} AS as_of_text FROM held_out)"
+
+
+@query("gbt_score_checked", _held_out_sql("label_90d, 1 AS in_range, 1 AS class_fits"))
+def gbt_score_checked(spark, d):
+    """What must hold of the score of every held-out row."""
+    p = F.col("prediction_proba")
+    return validation_scores(spark, d).select(
+        *KEYS, "label_90d", p.between(0, 1).alias("in_range"), ((p > 0.5) == (F.col("prediction") == 1)).alias("class_fits")
+    )
+
+
+@query("gbt_importance_checked", "SELECT 8 AS n_features, 8 AS n_in_range, 1.0::DOUBLE AS total FROM region LIMIT 1")
+def gbt_importance_checked(spark, d):
+    """Shares of all features, which make up one."""
+    found = train.feature_importance(_fitted(spark, d)[0], FEATURES, spark, top=None)
+    return found.agg(
+        F.count("*").cast("int").alias("n_features"),
+        F.count_if(F.col("importance").between(0, 1)).cast("int").alias("n_in_range"),
+        F.sum("importance").alias("total"),
+    )
+
+
 @query("gbt_importance")
 def gbt_importance(spark, d):
     return train.feature_importance(_fitted(spark, d)[0], FEATURES, spark)
@@ -200,6 +245,26 @@ def score_calibrated(spark, d):
     return calibrated.select(*KEYS, "prediction_proba", "prediction_calibrated")
 
 
+@query(
+    "score_calibrated_checked",
+    f"{VALIDATION_SQL} SELECT count(*) AS n, count(*) AS n_in_range, 0 AS n_out_of_order, "
+    f"{r6('avg(label_90d)')} AS mean_calibrated FROM held_out",
+)
+def score_calibrated_checked(spark, d):
+    """Calibrated scores rise with the raw ones and have the labels' mean."""
+    scored = scratch.settle(validation_scores(spark, d), "scored")
+    found = calibrate.apply_isotonic(calibrate.fit_isotonic(scored), scored)
+    # A window per tenth of the raw score; equal scores must have equal levels.
+    ordered = Window.partitionBy(F.floor(F.col("prediction_proba") * 10)).orderBy("prediction_proba")
+    before = F.lag("prediction_calibrated").over(ordered)
+    falls = found.select((F.col("prediction_calibrated") < before - 1e-9).alias("falls")).agg(F.count_if("falls"))
+    c = F.col("prediction_calibrated")
+    return found.agg(
+        F.count("*").alias("n"), F.count_if(c.between(0, 1)).alias("n_in_range"),
+        falls.scalar().cast("int").alias("n_out_of_order"), F.avg(c).alias("mean_calibrated"),
+    )
+
+
 def _trees(spark: SparkSession, d: str):
     model, held_out = _fitted(spark, d)
     return load_forest(spark, model.stages[-1]), train.assembled(model, held_out, FEATURES)
@@ -229,6 +294,27 @@ def kernel_shap(spark, d):
     return _phi_columns(explained)
 
 
+@query("kernel_shap_checked", _held_out_sql("1 AS adds_up, 8 AS n_features"))
+def kernel_shap_checked(spark, d):
+    """Base and contributions of every held-out row make up its score."""
+    forest, rows = _trees(spark, d)
+    background = explain.background_sample(rows, KEYS)
+    explained = explain.kernel_shap(
+        rows, forest.probability, background, FEATURES, partitions=spark.sparkContext.defaultParallelism
+    )
+    gap = F.abs(explain.total(F.col("contributions"), F.col("base")) - F.col("prediction_proba"))
+    return explained.select(*KEYS, (gap < 1e-6).alias("adds_up"), F.size("contributions").alias("n_features"))
+
+
+@query("tree_shap_checked", _held_out_sql("1 AS adds_up, 8 AS n_features"))
+def tree_shap_checked(spark, d):
+    """Base and contributions of every held-out row make up its margin."""
+    forest, rows = _trees(spark, d)
+    explained = explain.tree_shap(rows, forest, FEATURES)
+    gap = F.abs(explain.total(F.col("contributions"), F.col("base")) - F.col("margin"))
+    return explained.select(*KEYS, (gap < 1e-6).alias("adds_up"), F.size("contributions").alias("n_features"))
+
+
 # The linear score again, explained as if nothing were known of it: no gaps, and means of the background.
 PLAIN = {f: w for f, w in WEIGHTS.items() if f != "item"}
 
