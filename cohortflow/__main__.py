@@ -10,6 +10,7 @@ from cohortflow.plans import stages
 from cohortflow.session import build_session
 
 STAGES = {
+    "land": stages.land_sources,
     "cohort": stages.build_cohort,
     "labels": stages.make_labels,
     "features": stages.rolling_features,
@@ -25,7 +26,7 @@ STAGES = {
 }
 NUMBERS = {
     "min_age": int, "prediction_window_days": int, "lookback_days": int, "seed": int,
-    "validation_split": float, "threshold": float, "max_age_days": int,
+    "validation_split": float, "threshold": float, "max_age_days": int, "buckets": int,
 }
 NOT_OPTIONS = ("spark", "params", "stratify")
 

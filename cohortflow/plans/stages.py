@@ -31,21 +31,66 @@ from cohortflow.operators import (
 from cohortflow.operators.windows import shared_as_of
 from cohortflow.sources.models import load_calibrator, load_classifier, save_calibrator, save_model
 from cohortflow.sources.reports import read_report, write_report
-from cohortflow.sources.scratch import discard, settle
-from cohortflow.sources.tables import read_parquet, read_source, write_parquet
+from cohortflow.sources.scratch import discard, settle, stored
+from cohortflow.sources.tables import land_bucketed, read_bucketed, read_parquet, read_source, write_parquet
+
+
+#: Event tables with the time that their windows look at.
+EVENTS = {"encounters": "Start", "observations": "Date", "medications": "Start"}
+#: What a landed folder says of itself.
+LANDED = "buckets int"
 
 
 def _by_patient(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("Patient", "patient")
 
 
+def land_sources(spark: SparkSession, input_dir: str, output: str, buckets: int = 0) -> None:
+    """Parses the source files once: patients and conditions as they are, event tables dealt out by patient and month
+    (``buckets`` of patients, as many as shuffle partitions unless given). The other stages take this folder for
+    their ``input_dir``."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in schemas.SOURCES:
+        table = read_source(spark, input_dir, name)
+        if name in EVENTS:
+            land_bucketed(_by_patient(table), f"{output}/{name}", "patient", EVENTS[name], buckets)
+        else:
+            write_parquet(table, f"{output}/{name}")
+    write_report(spark.range(1).select(F.lit(buckets).alias("buckets")), f"{output}/landed")
+
+
+def _source(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table without a time, landed or not."""
+    landed = stored(spark, f"{folder}/landed")
+    return read_parquet(spark, f"{folder}/{name}") if landed else read_source(spark, folder, name)
+
+
+def _events(
+    spark: SparkSession, folder: str, name: str, low: Column | None = None, high: Column | None = None
+) -> DataFrame:
+    """An event table, landed or not; of a landed one only the months between the bounds."""
+    if not stored(spark, f"{folder}/landed"):
+        return _by_patient(read_source(spark, folder, name))
+    buckets = read_report(spark, f"{folder}/landed", LANDED).first()["buckets"]
+    schema = schemas.SOURCES[name].replace("Patient string", "patient string")
+    return read_bucketed(spark, f"{folder}/{name}", schema, "patient", buckets, EVENTS[name], low, high)
+
+
+def _bounds(at: str | None, before: int = 0, after: int = 0) -> tuple[Column | None, Column | None]:
+    """Days around a shared date; none without one."""
+    if at is None:
+        return None, None
+    moment = F.lit(at).cast("timestamp")
+    return moment - F.expr(f"INTERVAL {int(before)} DAYS"), moment + F.expr(f"INTERVAL {int(after)} DAYS")
+
+
 def build_cohort(
     spark: SparkSession, input_dir: str, reference_date: str, output: str,
     min_age: int = defaults.MIN_AGE,
 ) -> None:
     found = cohort.build_cohort(
-        read_source(spark, input_dir, "patients"),
-        read_source(spark, input_dir, "conditions"),
+        _source(spark, input_dir, "patients"),
+        _source(spark, input_dir, "conditions"),
         reference_date,
         min_age,
     )
@@ -58,10 +103,9 @@ def make_labels(
     positive_classes: str | Sequence[str] = defaults.POSITIVE_CLASSES,
 ) -> None:
     index = read_parquet(spark, cohort_path)
-    encounters = _by_patient(read_source(spark, input_dir, "encounters"))
-    made = labels.make_labels(
-        index, encounters, prediction_window_days, positive_classes, at=shared_as_of(index)
-    )
+    at = shared_as_of(index)
+    encounters = _events(spark, input_dir, "encounters", *_bounds(at, after=prediction_window_days))
+    made = labels.make_labels(index, encounters, prediction_window_days, positive_classes, at=at)
     write_parquet(made, output)
 
 
@@ -72,13 +116,13 @@ def rolling_features(
     dbp_codes: str | Sequence[str] = "",
 ) -> None:
     index = read_parquet(spark, cohort_path)
-    observations, encounters, medications = (
-        _by_patient(read_source(spark, input_dir, name))
-        for name in ("observations", "encounters", "medications")
-    )
+    at = shared_as_of(index)
+    bounds = _bounds(at, before=lookback_days)
+    observations, encounters = (_events(spark, input_dir, name, *bounds) for name in ("observations", "encounters"))
+    medications = _events(spark, input_dir, "medications", None, bounds[1])  # what began long ago may still run
     made = features.rolling_features(
         index, observations, encounters, medications, lookback_days,
-        hba1c_codes, sbp_codes, dbp_codes, ties=["Code", "Value"], at=shared_as_of(index),
+        hba1c_codes, sbp_codes, dbp_codes, ties=["Code", "Value"], at=at,
     )
     write_parquet(made, output)
 

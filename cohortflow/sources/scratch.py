@@ -34,6 +34,12 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return found
 
 
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+
+
 def discard(*frames: DataFrame) -> None:
     """Removes the tables behind frames that ``settle`` returned and that no later job reads."""
     for df in frames:

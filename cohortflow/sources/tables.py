@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +75,52 @@ def read_events(
     return df.drop("month")
 
 
+def land_bucketed(df: DataFrame, path: str, entity: str, time: str, buckets: int) -> None:
+    """An event table dealt out once and for all: files by month of ``time``, in each ``buckets`` files by a
+    hash of the entity, sorted by it. Later stages that group or join by the entity need no shuffle of events, and
+    a window reads only its months."""
+    name = _landed_name(path)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    (
+        df.withColumn("month", F.date_format(time, "yyyy-MM"))
+        .repartition(buckets, entity)  # one task a bucket, so a month has at most so many files
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+        .partitionBy("month")
+        .bucketBy(buckets, entity)
+        .sortBy(entity)
+        .saveAsTable(name)
+    )
+
+
+def read_bucketed(
+    spark: SparkSession, path: str, schema: str | T.StructType, entity: str, buckets: int,
+    time: str | None = None, low: Column | None = None, high: Column | None = None,
+) -> DataFrame:
+    """A table written by ``land_bucketed`` with its buckets, also in a session that did not write it; bounds on
+    ``time`` prune whole months as well as rows. Rows without a time are read if there are no bounds."""
+    name = _landed_name(path)
+    fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    if not spark.catalog.tableExists(name):
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}, month string) USING parquet PARTITIONED BY (month) "
+            f"CLUSTERED BY (`{entity}`) SORTED BY (`{entity}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+        )
+        spark.catalog.recoverPartitions(name)
+    df = nan_as_missing(spark.table(name))
+    if low is not None:
+        df = df.where((F.col(time) >= low) & (F.col("month") >= F.date_format(low, "yyyy-MM")))
+    if high is not None:
+        df = df.where((F.col(time) <= high) & (F.col("month") <= F.date_format(high, "yyyy-MM")))
+    return df.drop("month")
+
+
+def _landed_name(path: str) -> str:
+    return "landed_" + md5(path.rstrip("/").encode()).hexdigest()
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """(column_name, n_rows, n_columns, n_null): one aggregate over one scan."""
     counts = nan_as_missing(df).agg(

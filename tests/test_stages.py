@@ -4,11 +4,13 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortflow import __main__ as cli
 from cohortflow import defaults, schemas
 from cohortflow.operators.windows import shared_as_of
 from cohortflow.plans import stages
+from cohortflow.sources import tables
 from cohortflow.sources.reports import read_report
 
 REFERENCE_DATE = "2024-06-30"
@@ -103,6 +105,32 @@ def test_stages(spark, sources, tmp_path):
     assert why.first()["top_features"][0]["feature"].startswith("hba1c")
 
 
+def test_landed_sources_give_the_same_without_a_shuffle_of_events(spark, sources, tmp_path, rows):
+    at = {n: str(tmp_path / n) for n in ("landed", "cohort", "labels", "features", "plain_labels", "plain_features")}
+    stages.land_sources(spark, sources, at["landed"], buckets=3)
+    stages.land_sources(spark, sources, at["landed"], buckets=3)  # again, to the same tables
+    stages.build_cohort(spark, at["landed"], REFERENCE_DATE, at["cohort"])
+    codes = dict(hba1c_codes="4548-4, 17856-6", sbp_codes="8480-6", dbp_codes="8462-4")
+    for folder, labels, features in ((at["landed"], "labels", "features"), (sources, "plain_labels", "plain_features")):
+        stages.make_labels(spark, folder, at["cohort"], at[labels])
+        stages.rolling_features(spark, folder, at["cohort"], at[features], **codes)
+    read = spark.read.parquet
+    assert rows(read(at["labels"])) == rows(read(at["plain_labels"]))
+    def rounded(name):
+        doubles = [c for c, kind in read(at[name]).dtypes if kind == "double"]
+        return rows(read(at[name]).withColumns({c: F.round(c, 9) for c in doubles}))
+
+    assert rounded("features") == rounded("plain_features")
+    for name in stages.EVENTS:  # a session that did not land them
+        spark.sql(f"DROP TABLE {tables._landed_name(at['landed'] + '/' + name)}")
+        assert stages._events(spark, at["landed"], name).count() == stages._events(spark, sources, name).count()
+    landed = stages._events(spark, at["landed"], "observations", *stages._bounds(REFERENCE_DATE, before=60))
+    plan = landed.groupBy("patient").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    months = {str(r[0])[:7] for r in landed.select("Date").collect()}
+    assert months <= {"2024-05", "2024-06"} and "PartitionFilters: [isnotnull(month" in plan
+
+
 def test_command_line_takes_the_stages_parameters():
     options = vars(cli.parser().parse_args(
         ["labels", "--input-dir", "in", "--cohort-path", "c", "--output", "o",
