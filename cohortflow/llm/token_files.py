@@ -22,13 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import quoted
-from cohortflow.llm.piece_arrays import Encoder
+from cohortflow.llm.piece_arrays import Encoder, slices
 from cohortflow.llm.pieces import kept_by_worker, load, release
 
 NULL_ID = -(1 << 63)
 READ_DOCS = 20_000
-#: Bytes of text that are encoded together.
-SLICE_BYTES = 16_000_000
 
 
 def mounted(folder: str) -> str:
@@ -44,15 +42,6 @@ def _encoder(path: str, kind: str) -> Encoder:
     return Encoder(path, kind)
 
 
-def slices(column: pa.Array) -> Iterator[pa.Array]:
-    """A column of texts some million bytes at a time."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    turn = np.cumsum(sizes) // SLICE_BYTES
-    cuts = np.r_[0, np.flatnonzero(np.diff(turn)) + 1, len(column)]
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        yield column.slice(a, b - a)
-
-
 def write_token_files(
     docs: DataFrame,
     folder: str,

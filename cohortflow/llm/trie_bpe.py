@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from tokenizers.pre_tokenizers import ByteLevel
 
-from cohortflow.llm.common import quoted, texts_in_slices, with_struct
-from cohortflow.llm.pieces import WORD_PATTERN, PieceTable, Splitter, kept_by_worker, load, release
+from cohortflow.llm.common import quoted, with_struct
+from cohortflow.llm.piece_arrays import KNOWN_WORDS, PieceColumns, slices
+from cohortflow.llm.pieces import WORD_PATTERN, Splitter, kept_by_worker, load, release
 
 KNOWN_SEAMS = 2_000_000
+#: Words of one trie.
+TRIE_WORDS = 20_000
 NEVER = 1 << 60
 
 
@@ -209,15 +212,17 @@ class TrieEncoder:
         return out
 
 
-class WordCoder:
-    """Pieces of texts to ids and back, as the library does it with the tokenizer's file."""
+class WordCoder(PieceColumns):
+    """Texts to ids and back, as the library does it with the tokenizer's file."""
 
-    def __init__(self, path: str):
+    columns = 2
+
+    def __init__(self, path: str, limit: int = KNOWN_WORDS):
         self.tokenizer = load(path)
         model = json.loads(self.tokenizer.to_str())["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.encoder = TrieEncoder(model["vocab"], merges, model.get("end_of_word_suffix") or "")
-        self.splitter = Splitter(self.tokenizer, WORD_PATTERN, self.tokenizer.normalizer.normalize_str)
+        super().__init__(Splitter(self.tokenizer, WORD_PATTERN, self.tokenizer.normalizer.normalize_str), limit)
         self.strings = {i: t for t, i in model["vocab"].items()}
         self.strings |= {i: t for t, i in self.splitter.special.ids.items()}
         # The characters that stand for the bytes, from the library's own pre-tokenizer.
@@ -232,28 +237,30 @@ class WordCoder:
         self.shown[char] = found
         return found
 
-    def values(self, pieces: list[str]) -> list[tuple[int, str, str]]:
-        """Of each piece: the number of ids, the ids and the tokens as text, a space behind each."""
-        split = self.splitter.split(pieces)
-        distinct = list({w for own in split for w in own if w.__class__ is str})
-        words: dict[str | int, tuple[int, str, str]] = {}
-        for w, ids in zip(distinct, self.encoder.encode([self._as_bytes(w) for w in distinct])):
-            words[w] = self._value(ids)
-        words.update((i, self._value([i])) for own in split for i in own if i.__class__ is int)
-        empty = (0, "", "")
-        out = []
-        for own in split:
-            if len(own) == 1:
-                out.append(words[own[0]])
-            elif own:
-                n, ids, texts = zip(*[words[w] for w in own])
-                out.append((sum(n), "".join(ids), "".join(texts)))
-            else:
-                out.append(empty)
-        return out
+    def worked_out(self, words: list[str]) -> list[list[bytes]]:
+        """Of each word the ids and the tokens as text, a space behind each. Words are taken in order, so that those
+        that share a prefix share a trie, and some thousand at a time, which bounds the trie."""
+        shown = [self._as_bytes(w) for w in words]
+        order = sorted(range(len(words)), key=shown.__getitem__)
+        found: list[list[bytes]] = [[b""] * len(words), [b""] * len(words)]
+        for i in range(0, len(order), TRIE_WORDS):
+            some = order[i : i + TRIE_WORDS]
+            for k, ids in zip(some, self.encoder.encode([shown[k] for k in some])):
+                found[0][k], found[1][k] = self._value(ids)
+        return found
+
+    def of_special(self, number: int) -> list[bytes]:
+        return self._value([number])
+
+    def _value(self, ids: list[int]) -> list[bytes]:
+        return ["".join([f"{i} " for i in ids]).encode(), "".join([f"{self.strings[i]} " for i in ids]).encode()]
 
-    def _value(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), "".join([f"{i} " for i in ids]), "".join([f"{self.strings[i]} " for i in ids])
+    def ids_and_tokens(self, texts: pa.Array) -> Iterator[tuple[bytes, bytes]]:
+        """Of each text the ids and the tokens, joined by one space."""
+        (ids, at), (tokens, to) = self.of_texts(texts)
+        ids, tokens = ids.tobytes(), tokens.tobytes()
+        for a, b, c, d in zip(at[:-1].tolist(), at[1:].tolist(), to[:-1].tolist(), to[1:].tolist()):
+            yield ids[a : max(a, b - 1)], tokens[c : max(c, d - 1)]
 
     def decode(self, ids) -> str:
         """Tokens joined by a space, as a tokenizer without a decoder does; special ones stay."""
@@ -261,9 +268,8 @@ class WordCoder:
 
 
 @kept_by_worker
-def _coder(path: str) -> tuple[WordCoder, PieceTable]:
-    coder = WordCoder(path)
-    return coder, PieceTable(coder.values, limit=300_000)
+def _coder(path: str) -> WordCoder:
+    return WordCoder(path)
 
 
 def _check(path: str) -> None:
@@ -285,12 +291,12 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     @arrow_udf("struct<ids array<int>>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         release(keep=_coder)
-        _, table = _coder(tokenizer_path)
+        coder = _coder(tokenizer_path)
         for column in batches:
             offsets, flat = [0], []
-            for texts in texts_in_slices(column):
-                for row in table.rows(texts):
-                    ids = np.array("".join([v[1] for v in row]).split(), np.int32)
+            for texts in slices(column):
+                for text, _ in coder.ids_and_tokens(texts):
+                    ids = np.array(text.split(), np.int32)
                     flat.append(ids)
                     offsets.append(offsets[-1] + len(ids))
             ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
@@ -311,7 +317,7 @@ def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_col: s
     @arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         release(keep=_coder)
-        coder, _ = _coder(tokenizer_path)
+        coder = _coder(tokenizer_path)
         for column in batches:
             yield pa.array([coder.decode(ids or ()) for ids in column.to_pylist()], pa.string())
 
@@ -330,15 +336,14 @@ def digests(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -> Dat
     @arrow_udf("struct<n_tokens long, ids_sha256 string, decoded_sha256 string>")
     def digested(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         release(keep=_coder)
-        _, table = _coder(tokenizer_path)
+        coder = _coder(tokenizer_path)
         for column in batches:
             n, ids, decoded = [], [], []
-            for texts in texts_in_slices(column):
-                for row in table.rows(texts):
-                    n.append(sum([v[0] for v in row]))
-                    for out, k in ((ids, 1), (decoded, 2)):
-                        text = "".join([v[k] for v in row])[:-1]
-                        out.append(hashlib.sha256(text.encode()).hexdigest())
+            for texts in slices(column):
+                for own, tokens in coder.ids_and_tokens(texts):
+                    n.append(own.count(b" ") + 1 if own else 0)
+                    ids.append(hashlib.sha256(own).hexdigest())
+                    decoded.append(hashlib.sha256(tokens).hexdigest())
             yield pa.StructArray.from_arrays(
                 [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=names
             )

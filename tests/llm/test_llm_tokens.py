@@ -169,3 +169,26 @@ def test_letters_below_u0250_are_those_of_arrow():
 
     chars = [chr(c) for c in range(0x250)]
     assert pc.utf8_is_alpha(pa.array(chars)).to_pylist() == [c.isalpha() for c in chars]
+
+
+@pytest.mark.parametrize("limit", [0, 40, 1_000_000])
+def test_coder_equals_the_library_whatever_it_remembers(texts, limit):
+    import pyarrow as pa
+
+    library = load(WORDS)
+    coder = trie_bpe.WordCoder(WORDS, limit)
+    some = [*texts, None, "tail " * 3, " a", "a\u2003 b", "word.,; <|endoftext|> x", "\u0130X \u0130", "STRASSE\u00df.", " ".join(map(chr, range(0x21, 0x250)))]
+    for i in range(0, len(some), 400):
+        part = some[i : i + 400]
+        for text, (ids, tokens) in zip(part, coder.ids_and_tokens(pa.array(part, pa.string())), strict=True):
+            expected = library.encode(text or "", add_special_tokens=False).ids
+            assert ids.decode() == " ".join(map(str, expected)), text
+            assert tokens.decode() == library.decode(expected, skip_special_tokens=False)
+
+
+def test_lower_case_below_u0250_is_that_of_arrow():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    chars = [chr(c) for c in range(0x250) if c != 0x130]
+    assert pc.utf8_lower(pa.array(chars)).to_pylist() == [c.lower() for c in chars]
