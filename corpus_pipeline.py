@@ -14,8 +14,10 @@ from cohortflow.llm import language, mixing, quality, simhash, trie_bpe
 from cohortflow.session import ship_package
 from cohortflow.sources.scratch import settle
 
-#: A language needs at least this share of the evidence; four equal ones would have 0.25 each.
-LEAST_SHARE = 0.3
+#: The language of a text needs at least this share of the evidence against the runner-up alone, and phrases of so
+#: many letters on average; a script that no sample has is spelled letter by letter. Neither depends on how many
+#: languages there are.
+LEAST_LEAD, LEAST_PHRASE = 0.55, 1.5
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,13 +28,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters that are in one of the learned languages."""
+    """Documents with letters that are in one of the learned languages. Null texts and those without letters go;
+    without learned languages all go."""
     found = language.identify(docs.select(F.struct("*").alias("doc"), F.col("text")), language.learn(docs))
-    return found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)).select("doc.*")
+    sure = (F.col("lead") >= LEAST_LEAD) & (F.col("phrase_chars") >= LEAST_PHRASE)
+    return found.where((F.col("lang_pred") != language.UNDETERMINED) & sure).select("doc.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates."""
+    """One row, that with the smallest id, of each group of near duplicates; null ids come last."""
     return simhash.drop_near_duplicates(docs)
 
 

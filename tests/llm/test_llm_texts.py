@@ -77,12 +77,49 @@ def test_phrases_are_longest_matches():
     samples = (("x", "abracadabra abba"), ("y", "mississippi miss"))
     parser = language.Parser(samples)
     texts = ["abba miss", "zzz", "a", "", "cadabramississippiq abracadabra", "ba" * 3000]
-    expected = [
-        [sum(phrases(t[i : i + 2048], s) for i in range(0, len(t), 2048)) for _, s in samples] for t in texts
-    ]
+    expected = [[phrases(t, s) for _, s in samples] for t in texts]
     assert parser.phrases(texts).tolist() == expected
 
 
+@pytest.mark.parametrize("piece,head", [(2048, 128), (50, 7), (9, 4), (5, 3)])
+def test_seams_do_not_change_the_parse(monkeypatch, piece, head):
+    monkeypatch.setattr(language, "PIECE_CHARS", piece)
+    monkeypatch.setattr(language, "HEAD", head)
+    rng = np.random.default_rng(3)
+    word = lambda letters, n: "".join(rng.choice(list(letters), n))
+    samples = (("x", word("abc ", 900)), ("y", word("ab", 300) + "q" * 60), ("z", "abcabcabc"))
+    texts = [word("abcq ", int(n)) for n in (0, 1, 49, 50, 51, 700, 6000)] + ["abc" * 3000, "ab" * 2500 + "q" * 900]
+    assert language.Parser(samples).phrases(texts).tolist() == [[phrases(t, s) for _, s in samples] for t in texts]
+
+
+def test_a_language_of_thousands_of_letters():
+    rng = np.random.default_rng(5)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    weight = 1 / np.arange(1, 3001)
+    text = "".join(rng.choice(letters, 40_000, p=weight / weight.sum()))
+    samples = (("zh", text), ("en", "the dog and the cat go into the house"))
+    parser = language.Parser(samples)
+    size = sum(a.nbytes for a in (parser.automata[0].flat, parser.automata[0].keys, parser.automata[0].targets))
+    assert size < 50_000_000
+    texts = [text[500:900] + letters[7] * 5, "the cat", "".join(rng.choice(letters, 3000))]
+    assert parser.phrases(texts).tolist() == [[phrases(t, s) for _, s in samples] for t in texts]
+
+
+@pytest.mark.parametrize("languages", [1, 2, 3, 4, 8])
+def test_what_was_not_learned_shows(languages):
+    rng = np.random.default_rng(1)
+    samples = []
+    for i in range(languages):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(300)]
+        samples.append((f"l{i}", " ".join(rng.choice(words, 4000))))
+    parser = language.Parser(tuple(samples))
+    own = [" ".join(s.split()[40:70]) for _, s in samples]
+    langs, _, lead, spelled = parser.judge(own)
+    assert langs == [lang for lang, _ in samples] and min(spelled) > 4 and min(lead) > 0.9
+    langs, _, lead, spelled = parser.judge(["это другой язык", "日本語の文章"])
+    assert max(spelled) < 1.5
+
+
 def test_language(spark):
     samples = (("de", language.normalised("Der Hund und die Katze gehen in das Haus")), ("en", "the dog and the cat go into the house"))
     rows = [(1, "The cat and the dog!"), (2, "Die Katze und der Hund"), (3, None), (4, ""), (5, "123 !!"), (1, "The cat and the dog!"), (6, "the cat " * 4000)]
