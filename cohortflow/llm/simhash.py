@@ -220,27 +220,47 @@ def near_duplicates(
     """
     docs = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"))
     rows = settle(docs.select("doc_id", fingerprints(F.col("text"), shingle_words).alias("fp")), "simhash")
-    prints = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    edges = settle(near_edges(prints, radius).distinct(), "near")
-    linked = connected_components(edges)
-    parts = prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("part")
-    )
-    smallest = parts.groupBy("part").agg(F.min("least").alias("component_id"))
-    by_print = settle(parts.join(smallest, "part").select("fp", "component_id"), "by_print")
+    by_print = _groups(rows, radius)
     return rows.join(by_print, "fp").select(
         F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def _groups(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, part, component_id) of each fingerprint of ``rows`` (doc_id, fp): a fingerprint of its group,
+    and the smallest id in it."""
+    prints = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
+    edges = settle(near_edges(prints, radius).distinct(), "near")
+    linked = connected_components(edges)
+    parts = prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+    parts = settle(parts.select("fp", "least", F.coalesce("component", "fp").alias("part")), "parts")
+    # Stored by itself, so that a group of very many fingerprints can be split where it is joined.
+    smallest = settle(parts.groupBy("part").agg(F.min("least").alias("component_id")), "smallest")
+    return settle(parts.join(smallest, "part").select("fp", "part", "component_id"), "by_print")
+
+
 def drop_near_duplicates(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs``, all columns, with one document of each group: the one with the smallest id. Of equal
-    rows that share that id all stay, as they are one document; rows with a null id stay."""
-    found = near_duplicates(docs, shingle_words, radius, id_col, text_col)
-    held = unused(docs, "kept")
-    kept = found.where(F.col(quoted(id_col)) == F.col("component_id")).select(F.col(quoted(id_col)).alias(held)).distinct()
-    return docs.join(kept, F.col(quoted(id_col)) == F.col(held), "left_semi").unionByName(
-        docs.where(F.col(quoted(id_col)).isNull())
-    )
+    """``docs``, all columns, with one row of each group of near duplicates: that with the smallest id, a null id
+    after all others, and of rows that share it the one whose text has the smallest hash. Rows that are equal in id
+    and text are one document, of which one row stays. Null and empty texts are a group of their own; an empty
+    table gives an empty one.
+    """
+    id_, text = F.col(quoted(id_col)), F.col(quoted(text_col))
+    own = F.xxhash64(F.coalesce(text, F.lit("")))
+    rows = docs.select(id_.alias("doc_id"), own.alias("own"), fingerprints(text, shingle_words).alias("fp"))
+    rows = settle(rows, "simhash")
+    keys = rows.groupBy("fp", "doc_id", "own").agg(F.count("*").alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "own")
+    kept = keys.join(_groups(rows, radius).select("fp", "part"), "fp")
+    kept = kept.groupBy("part").agg(F.min(F.struct(order.alias("order"), "copies")).alias("k"))
+    kept = settle(kept.select(F.col("k.order.doc_id").alias("_id"), F.col("k.order.own").alias("_own"), F.col("k.copies").alias("_copies")), "kept")
+    names = {c: unused(docs, c) for c in ("id", "own", "copies")}
+    kept = kept.select(*[F.col(f"_{c}").alias(f"{name}_k") for c, name in names.items()])
+    hashed = docs.withColumn(names["own"], own)
+    same = id_.eqNullSafe(F.col(f"{names['id']}_k")) & (F.col(names["own"]) == F.col(f"{names['own']}_k"))
+    found = hashed.join(kept, same)
+    copies, columns = F.col(f"{names['copies']}_k"), [F.col(quoted(c)) for c in docs.columns]
+    several = found.where(copies > 1).dropDuplicates([id_col, names["own"]])
+    return found.where(copies == 1).select(*columns).unionByName(several.select(*columns))

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.01"
 def test_registered():
     names = set(queries())
     assert {"pipeline", *own.QUERIES} <= names
-    assert {int(n[2:].split("_")[0]) for n in own.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in own.QUERIES} == set(range(1, 14))
     assert set(own.ORACLES) <= set(oracle_sql())
 
 
