@@ -26,9 +26,9 @@ STAGES = {
 }
 NUMBERS = {
     "min_age": int, "prediction_window_days": int, "lookback_days": int, "seed": int,
-    "validation_split": float, "threshold": float, "max_age_days": int, "buckets": int,
+    "validation_split": float, "calibration_split": float, "threshold": float, "max_age_days": int, "buckets": int,
 }
-NOT_OPTIONS = ("spark", "params", "stratify")
+NOT_OPTIONS = ("spark", "stratify")
 
 
 def _threshold(text: str) -> tuple[str, float]:
@@ -36,6 +36,17 @@ def _threshold(text: str) -> tuple[str, float]:
     return name, float(value)
 
 
+def _parameter(text: str) -> tuple[str, object]:
+    """A model parameter: a number if it reads as one."""
+    name, value = text.split("=")
+    for kind in (int, float):
+        try:
+            return name, kind(value)
+        except ValueError:
+            continue
+    return name, value
+
+
 def parser() -> argparse.ArgumentParser:
     """Options are the stage functions' own parameters."""
     top = argparse.ArgumentParser(prog="cohortflow", description=__doc__)
@@ -43,6 +54,9 @@ def parser() -> argparse.ArgumentParser:
     for name, function in STAGES.items():
         command = commands.add_parser(name)
         for option in inspect.signature(function).parameters.values():
+            if option.kind is option.VAR_KEYWORD:
+                command.add_argument("--params", nargs="+", type=_parameter, default=[], metavar="NAME=VALUE")
+                continue
             if option.name in NOT_OPTIONS:
                 continue
             flag = "--" + option.name.replace("_", "-")
@@ -63,7 +77,7 @@ def main(arguments: list[str] | None = None) -> int:
     stage = STAGES[options.pop("stage")]
     if "thresholds" in options:
         options["thresholds"] = dict(options["thresholds"] or stages.defaults.THRESHOLDS)
-    return stage(build_session(), **options) or 0
+    return stage(build_session(), **dict(options.pop("params", ())), **options) or 0
 
 
 if __name__ == "__main__":

@@ -155,9 +155,19 @@ def train_classifier(
 
 
 def calibrate_model(
-    spark: SparkSession, validation: str, output: str, target: str = defaults.TARGET
+    spark: SparkSession, validation: str, output: str, target: str = defaults.TARGET,
+    calibration_split: float = 0.0, id_columns: str | Sequence[str] = defaults.ID_COLUMNS,
+    seed: int = defaults.SEED,
 ) -> None:
-    save_calibrator(calibrate.fit_isotonic(read_parquet(spark, validation), label=target), output)
+    """Fits on all scored rows, or on a stratified share of them; the others then go to ``<output>_rest``, on which
+    the evaluation does not meet rows that the calibrator has seen."""
+    scored = read_parquet(spark, validation)
+    if calibration_split:
+        parts = train.stratified_split(scored, split_names(id_columns), target, calibration_split, seed)
+        rest = parts.where(~F.col("is_validation")).drop("is_validation")
+        write_parquet(rest, f"{output.rstrip('/')}_rest")
+        scored = parts.where("is_validation")
+    save_calibrator(calibrate.fit_isotonic(scored, label=target), output)
 
 
 def evaluate_model(

@@ -73,6 +73,10 @@ def test_stages(spark, sources, tmp_path):
     held_out = f"{at['model']}/validation"
     stages.calibrate_model(spark, held_out, at["calibrator"])
     stages.evaluate_model(spark, at["calibrator"], held_out, at["metrics"])
+    halved = str(tmp_path / "halved")
+    stages.calibrate_model(spark, held_out, halved, calibration_split=0.5)
+    stages.evaluate_model(spark, halved, f"{halved}_rest", str(tmp_path / "halved_metrics"))
+    assert 0 < spark.read.parquet(f"{halved}_rest").count() < spark.read.parquet(held_out).count()
     document = read_report(spark, at["metrics"], schemas.METRICS_REPORT).first()
     assert document["metrics"]["auroc_raw"] > 0.9
     assert set(document["confusion_matrices"]) == {"high_sensitivity", "balanced", "high_ppv",
@@ -142,3 +146,7 @@ def test_command_line_takes_the_stages_parameters():
          "--thresholds", "high_ppv=0.45"]
     ))
     assert options["thresholds"] == [("high_ppv", 0.45)]
+    options = vars(cli.parser().parse_args(
+        ["train", "--dataset", "d", "--output-dir", "o", "--params", "maxIter=20", "stepSize=0.1", "lossType=logistic"]
+    ))
+    assert dict(options["params"]) == {"maxIter": 20, "stepSize": 0.1, "lossType": "logistic"}

@@ -315,6 +315,61 @@ def tree_shap_checked(spark, d):
     return explained.select(*KEYS, (gap < 1e-6).alias("adds_up"), F.size("contributions").alias("n_features"))
 
 
+def _explained(spark: SparkSession, d: str) -> DataFrame:
+    forest, rows = _trees(spark, d)
+    return explain.tree_shap(rows, forest, FEATURES)
+
+
+@query("tree_global_checked", "SELECT 8 AS n_features, 1 AS falls, 1 AS all_found FROM region LIMIT 1")
+def tree_global_checked(spark, d):
+    """The features of the fitted trees by mean size of their contributions."""
+    ranked = explain.shap_global(_explained(spark, d), FEATURES)
+    sizes = ranked.agg(F.collect_list("importance").alias("s"), F.array_sort(F.collect_set("feature")).alias("f"))
+    return sizes.select(
+        F.size("s").alias("n_features"),
+        (F.col("s") == F.reverse(F.array_sort("s"))).alias("falls"),
+        (F.col("f") == F.array_sort(F.array(*map(F.lit, FEATURES)))).alias("all_found"),
+    )
+
+
+@query("tree_local_checked", _held_out_sql("5 AS n, 1 AS falls, 1 AS are_largest"))
+def tree_local_checked(spark, d):
+    """The five largest contributions of every held-out row against all eight."""
+    rows = scratch.settle(_explained(spark, d), "explained")
+    top = explain.shap_local_top(rows, KEYS, 5).groupBy(*KEYS).agg(
+        F.count("*").cast("int").alias("n"), F.sort_array(F.collect_list(F.struct("rank", F.abs("phi").alias("size")))).alias("t")
+    )
+    sizes = F.reverse(F.array_sort(F.transform("contributions", lambda c: F.abs(c["phi"]))))
+    both = top.join(rows.select(*KEYS, F.slice(sizes, 1, 5).alias("largest")), KEYS)
+    found = F.col("t.size")
+    return both.select(*KEYS, "n", (found == F.reverse(F.array_sort(found))).alias("falls"), (found == F.col("largest")).alias("are_largest"))
+
+
+@query("tree_waterfall_checked", _held_out_sql("8 AS n_steps, 1 AS ends_at_margin, 1 AS joined"))
+def tree_waterfall_checked(spark, d):
+    """Steps of every held-out row: each starts where the one before stops, the last stops at the margin."""
+    rows = scratch.settle(_explained(spark, d), "explained")
+    steps = explain.waterfall_steps(rows, KEYS).groupBy(*KEYS).agg(F.sort_array(F.collect_list(F.struct("step", "start", "stop"))).alias("s"))
+    both = steps.join(rows.select(*KEYS, "margin"), KEYS)
+    joined = F.forall(F.sequence(F.lit(2), F.size("s")), lambda i: F.element_at("s", i)["start"] == F.element_at("s", i - 1)["stop"])
+    ends = F.abs(F.element_at("s", -1)["stop"] - F.col("margin")) < 1e-6
+    return both.select(*KEYS, F.size("s").alias("n_steps"), ends.alias("ends_at_margin"), joined.alias("joined"))
+
+
+@query("tree_reports_checked", _held_out_sql("1 AS whole"))
+def tree_reports_checked(spark, d):
+    """A report on every held-out row: its subject, five numbered features and the closing words."""
+    rows = explain.high_risk_explanations(
+        _explained(spark, d), "patient", F.lit("2024-01-01").cast("timestamp"), threshold=0.0
+    )
+    text = F.col("report")
+    whole = text.contains(F.concat(F.lit("Entity "), F.col("patient").cast("string"), F.lit(", written 2024-01-01")))
+    for i in range(1, 6):
+        named = F.concat(F.lit(f"\n{i}. "), F.element_at("top_features", i)["feature"], F.lit("\n"))
+        whole = whole & text.contains(named)
+    return rows.select(*KEYS, (whole & text.endswith("judgement.")).alias("whole"))
+
+
 # The linear score again, explained as if nothing were known of it: no gaps, and means of the background.
 PLAIN = {f: w for f, w in WEIGHTS.items() if f != "item"}
 
