@@ -5,9 +5,10 @@ shingles of five, and shingles into windows of two that start at every shingle.
 band is the smallest of its shingles' hashes in that band. A window that lies in an occurrence of a
 template equals a window of that template and shares all its keys; an occurrence of a single shingle
 misses a band only if both its neighbours in the text have smaller hashes, one time in three, so it
-misses all ten bands one time in 59,049. A retrieved template is then compared with those regions of
-the text that meet a window which retrieved it; regions are twice as long as the template and start
-at each multiple of its length.
+misses all ten bands one time in 59,049. The shingles of retrieved windows are compared with those of the
+templates, and a region opens at every one that a template has; so where a notice stands does not matter, and
+words may be put into it. A template of fewer than five words is one shingle, whose window has one
+hash and needs one band.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ TEMPLATES = {
         "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
 }
-#: With notices of fewer than five words, which ``scan`` and its SQL cannot take.
+#: With notices of fewer than five words.
 NOTICES = {
     **TEMPLATES,
     "all-rights-reserved": "All rights reserved.",
@@ -104,105 +105,40 @@ def band_key(hashes: Column, at: Column, band: int) -> Column:
     return F.least(*[F.when(h.isNotNull(), F.xxhash64(h, F.lit(band))) for h in own])
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _literal_map(values: dict[str, list[str]]) -> Column:
-    return F.expr("map(" + ", ".join(f"{_text(k)}, array({', '.join(map(_text, v))})" for k, v in values.items()) + ")")
-
-
-def template_keys(named: DataFrame) -> dict[str, list[set[int]]]:
-    """The keys of every template in each band."""
+def _band_keys(named: DataFrame, bands: int) -> list[list[int]]:
+    """The keys of all windows of all templates, in each band."""
     keyed = named.withColumn("hashes", shingle_hashes(words(F.col("text"))))
 
     def band(b: int) -> Column:
         return F.transform(_starts(F.size("hashes")), lambda i: band_key(F.col("hashes"), i, b))
 
-    rows = keyed.select("name", F.array(*[band(b) for b in range(BANDS)]).alias("keys")).collect()
-    found = {row["name"]: [set(k) for k in row["keys"]] for row in rows}
-    short = sorted(name for name, bands in found.items() if not bands[0])
-    if short:
-        raise ValueError(f"templates of fewer than {SHINGLE_WORDS} words: {short}")
-    return found
-
-
-def _retrieves(hashes: Column, at: Column, keys: list[set[int]]) -> Column:
-    return reduce(Column.__or__, [band_key(hashes, at, b).isin(sorted(k)) for b, k in enumerate(keys)])
-
-
-def _retrieved(hashes: Column, keys: dict[str, list[set[int]]]) -> Column:
-    """For each template that a window retrieves, its name and the places of all such windows."""
-    every = [set().union(*(k[b] for k in keys.values())) for b in range(BANDS)]
-
-    def by_template(places: Column) -> Column:
-        def own(name: str) -> Column:
-            at = F.filter(places, lambda i: _retrieves(hashes, i, keys[name]))
-            return F.struct(F.lit(name).alias("template"), at.alias("places"))
-
-        return F.filter(F.array(*map(own, sorted(keys))), lambda t: F.size(t["places"]) > 0)
-
-    places = F.filter(_starts(F.size(hashes)), lambda i: _retrieves(hashes, i, every))
-    return let(places, lambda at: F.when(F.size(at) > 0, by_template(at)))
+    rows = keyed.select(F.array(*[band(b) for b in range(bands)]).alias("keys")).collect()  # a row per template
+    return [sorted({key for row in rows for key in row["keys"][b]}) for b in range(bands)]
 
 
 def scan(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, templates: dict[str, str] = NOTICES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """A row per row of ``docs`` and template it holds: the id, ``template``, ``containment`` (the largest
-    part of the template's shingles found in one region, at least 0.8) and ``regions`` (how many have
-    so much).
+    part of the template's shingles found in one region, at least 0.8) and ``regions``.
 
-    Null, empty and short texts hold nothing, a null id stays null, repeated rows each give theirs, an
-    empty table gives an empty one. Other columns are not read, whatever their names. No row is
-    shuffled: the templates' keys are literals of the plan.
+    A region opens at any shingle of a retrieved window that the template has and is ``REGION_WIDTH`` times as long as
+    the template; ``regions`` counts those with containment of at least 0.8 that overlap no earlier one with
+    so much. Null, empty and short texts hold nothing, texts of any length are read whole, a null id stays
+    null, repeated rows each give theirs, an empty table gives an empty one. Other columns are not read, whatever
+    their names. No row is shuffled: the templates' keys are literals of the plan.
     """
-    named = docs.sparkSession.createDataFrame(sorted(templates.items()), "name string, text string")
-    keys = template_keys(named)
-    held = named.select("name", F.array_distinct(shingles(words(F.col("text")))).alias("s")).collect()
-    table = _literal_map({row["name"]: row["s"] for row in held})
-
-    rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), words(F.col(quoted(text_col))).alias("words"))
-    found = let(shingle_hashes(F.col("words")), lambda hashes: _retrieved(hashes, keys))
-    # An outer generator takes no inferred filter, which would work every text out twice.
-    pairs = rows.select("doc_id", "words", F.explode_outer(found).alias("found")).where(F.col("found").isNotNull())
-    pairs = pairs.select("doc_id", "words", "found.*").withColumn("wanted", F.element_at(table, F.col("template")))
-    n = F.size("wanted")
-    last = F.floor(F.greatest(F.size("words") - (SHINGLE_WORDS - 1) - n, F.lit(0)) / n).cast("int")
-
-    def regions_at(place: Column) -> Column:
-        """The numbers of the regions that meet the window at a place."""
-        first = F.greatest(F.floor(place / n).cast("int") - 1, F.lit(0))
-        end = F.floor((place + (WINDOW_SHINGLES - 1)) / n).cast("int")
-        return F.filter(F.sequence(first, F.greatest(end, first)), lambda k: k <= last)
-
-    def part(region: Column) -> Column:
-        inside = F.slice(F.col("words"), region * n + 1, 2 * n + (SHINGLE_WORDS - 1))
-        return F.size(F.array_intersect(shingles(inside), F.col("wanted"))) / n
-
-    regions = F.array_distinct(F.flatten(F.transform("places", regions_at)))
-    pairs = pairs.select("doc_id", "template", F.transform(regions, part).alias("parts"))
-    pairs = pairs.select(
-        F.col("doc_id").alias(id_col),
-        "template",
-        F.array_max("parts").alias("containment"),
-        F.size(F.filter("parts", lambda p: p >= LEAST_CONTAINMENT)).cast("long").alias("regions"),
-    )
-    return pairs.where(F.col("containment") >= LEAST_CONTAINMENT)
+    return _found(docs, templates, id_col, text_col, BANDS)
 
 
 def notices(
     docs: DataFrame, templates: dict[str, str] = NOTICES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """A row per row of ``docs`` and template it holds, as ``scan`` gives them, but looked for from every
-    shingle of the text instead of from each multiple of the template's length.
-
-    Retrieval is by single shingles, so none is missed. A region opens at any shingle of the text that
-    the template has and is ``REGION_WIDTH`` times as long as the template; ``regions`` counts those
-    with containment of at least 0.8 that overlap no earlier one with so much. A template of fewer than
-    five words is one shingle of all its words. Nulls, repeated rows and empty tables are as in
-    ``scan``, and no row is shuffled.
-    """
+    """What ``scan`` gives, with retrieval by single exact shingles in place of the bands."""
+    return _found(docs, templates, id_col, text_col, 0)
+
+
+def _found(docs: DataFrame, templates: dict[str, str], id_col: str, text_col: str, bands: int) -> DataFrame:
     named = docs.sparkSession.createDataFrame(sorted(templates.items()), "name string, text string")
     split = {r["name"]: r["w"] for r in named.select("name", words(F.col("text")).alias("w")).collect()}
     bare = sorted(name for name, w in split.items() if not w)
@@ -227,10 +163,27 @@ def notices(
     for k in every:
         keys[k] = [r[0] for r in listed.where(F.col("k") == k).select(hashed(F.col("h"), F.lit(0), k)).collect()]
 
+    long = {name: t for name, t in templates.items() if length[name] == SHINGLE_WORDS}
+    banded = _band_keys(named.where(F.col("name").isin(sorted(long))), bands) if bands and long else []
+
+    def windowed(h: Column) -> Column:
+        """The places of the shingles of retrieved windows."""
+        whole = F.transform(_starts(F.size(h) - (SHINGLE_WORDS - 1)), lambda i: hashed(h, i, SHINGLE_WORDS))
+
+        def retrieved(sh: Column) -> Column:
+            own = lambda i: reduce(Column.__or__, [band_key(sh, i, b).isin(k) for b, k in enumerate(banded)])
+            at = F.filter(_starts(F.size(sh)), own)
+            every = F.flatten(F.transform(at, lambda i: F.sequence(i, i + (WINDOW_SHINGLES - 1))))
+            return F.filter(F.array_distinct(every), lambda i: i < F.size(sh))
+
+        return let(whole, retrieved)
+
     def places(h: Column) -> Column:
-        """For each length of shingles, the places of those that some template has."""
+        """For each length of shingles, the places of those that some template has, or may have."""
 
         def of(k: int) -> Column:
+            if banded and k == SHINGLE_WORDS:
+                return windowed(h).alias(f"of_{k}")
             return F.filter(_starts(F.size(h) - (k - 1)), lambda i: hashed(h, i, k).isin(keys[k])).alias(f"of_{k}")
 
         return F.struct(*map(of, sorted(every)))
@@ -303,23 +256,3 @@ SELECT doc_id, template, CAST(list_max(parts) AS DOUBLE) AS containment,
        CAST(len([j for j in range(1, len(enough) + 1) if j = 1 OR enough[j] - enough[j - 1] >= width]) AS BIGINT) AS regions
 FROM kept WHERE len(enough) > 0
 """
-
-
-def sql(templates: dict[str, str] = TEMPLATES) -> str:
-    """The same without retrieval, in DuckDB's SQL over ``documents``: every region of every text."""
-    listed = ", ".join(f"('{n}', '{t.replace(chr(39), chr(39) * 2)}')" for n, t in sorted(templates.items()))
-    split = "regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER + "'), '[a-z0-9]+')"
-    cut = "[array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]"
-    return f"""
-WITH named(name, text) AS (VALUES {listed}),
-templates AS (SELECT name, list_distinct({cut}) AS wanted FROM (SELECT name, {split} AS w FROM named)),
-texts AS (SELECT doc_id, {cut} AS shingles FROM (SELECT doc_id, {split} AS w FROM documents)),
-compared AS (
-  SELECT doc_id, name AS template,
-         [len(list_intersect(shingles[i + 1:i + 2 * len(wanted)], wanted)) / len(wanted)
-          for i in range(0, greatest(len(shingles) - len(wanted), 0) + 1, len(wanted))] AS parts
-  FROM texts, templates)
-SELECT doc_id, template, CAST(list_max(parts) AS DOUBLE) AS containment,
-       CAST(len([p for p in parts if p >= {LEAST_CONTAINMENT}]) AS BIGINT) AS regions
-FROM compared WHERE list_max(parts) >= {LEAST_CONTAINMENT}
-"""

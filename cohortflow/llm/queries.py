@@ -106,7 +106,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-ORACLES["op8_license_scan"] = licenses.sql()
+ORACLES["op8_license_scan"] = licenses.notices_sql()
 
 
 @query
