@@ -16,17 +16,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 
 from cohortflow.functions.ranks import in_ranges
 from cohortflow.sources.scratch import discard, settle
 
 POINTS_PER_RANGE = 1_000_000
 BINS = 1024
-#: Break points up to this many (16 bytes each) go to the tasks as two arrays.
-SHIPPED_POINTS = 500_000
+#: Break points up to this many (40 bytes each) are broadcast.
+SHIPPED_POINTS = 100_000
 
 BLOCK = "range int, first double, last double, total double, weight double"
 
@@ -160,15 +160,18 @@ def interpolated(points: DataFrame, df: DataFrame, column: str, name: str, shipp
     if points.count() > shipped:
         return _met(points, df, column, name, parts)
     rows = sorted((r["score"], r["calibrated"]) for r in points.collect())
-    at, level = np.array(rows, float).reshape(-1, 2).T
-
-    @arrow_udf("double")
-    def between(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            x = batch.to_numpy(zero_copy_only=False).astype(float)
-            yield pa.array(np.interp(x, at, level) if len(at) else np.full(len(x), np.nan), pa.float64(), from_pandas=True)
-
-    return df.withColumn(name, between(F.col(column).cast("double")))
+    x = F.col(column).cast("double")
+    if not rows:
+        return df.withColumn(name, F.lit(None).cast("double"))
+    # The interval of a value, by binary search, and a row of its two ends for each interval.
+    scores = [s for s, _ in rows]
+    search = Bucketizer(splits=[float("-inf"), *scores, float("inf")], inputCol="_x", outputCol="_at", handleInvalid="keep")
+    ends = [(float(i), *rows[max(i - 1, 0)], *rows[min(i, len(rows) - 1)]) for i in range(len(rows) + 1)]
+    ends = df.sparkSession.createDataFrame(ends, "_at double, _a double, _la double, _b double, _lb double")
+    part = (F.col("_x") - F.col("_a")) / (F.col("_b") - F.col("_a"))
+    level = F.when(F.col("_a") == F.col("_b"), F.col("_la")).otherwise(F.col("_la") + (F.col("_lb") - F.col("_la")) * part)
+    found = search.transform(df.drop(name).withColumn("_x", x)).join(F.broadcast(ends), "_at", "left")
+    return found.withColumn(name, level).select(*[c for c in df.columns if c != name], name)
 
 
 def _met(points: DataFrame, df: DataFrame, column: str, name: str, parts: int | None = None) -> DataFrame:

@@ -30,7 +30,10 @@ def plan_of(df):
 # Nodes that a plan must not contain: pairs of everything, and Python outside tree models.
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroups", "MapInArrow")
-PYTHON_ALLOWED = {"tree_shap", "kernel_shap", "shap_additivity"}
+PYTHON_ALLOWED = {
+    "tree_shap", "kernel_shap", "shap_additivity", "kernel_shap_linear", "kernel_shap_checked", "tree_shap_checked",
+    "tree_reports_checked",
+}
 
 
 def check_plan(name, plan):
