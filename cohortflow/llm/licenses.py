@@ -170,13 +170,23 @@ def _found(docs: DataFrame, templates: dict[str, str], id_col: str, text_col: st
         """The places of the shingles of retrieved windows."""
         whole = F.transform(_starts(F.size(h) - (SHINGLE_WORDS - 1)), lambda i: hashed(h, i, SHINGLE_WORDS))
 
-        def retrieved(sh: Column) -> Column:
-            own = lambda i: reduce(Column.__or__, [band_key(sh, i, b).isin(k) for b, k in enumerate(banded)])
-            at = F.filter(_starts(F.size(sh)), own)
-            every = F.flatten(F.transform(at, lambda i: F.sequence(i, i + (WINDOW_SHINGLES - 1))))
-            return F.filter(F.array_distinct(every), lambda i: i < F.size(sh))
+        def retrieved(by_band: Column) -> Column:
+            # Every shingle is hashed once for each band; a window takes the least of its own.
+            def least(i: Column, b: int) -> Column:
+                return F.least(*[F.get(F.get(by_band, F.lit(b)), i + j) for j in range(WINDOW_SHINGLES)])
 
-        return let(whole, retrieved)
+            n = F.size(F.get(by_band, F.lit(0)))
+            own = lambda i: reduce(Column.__or__, [least(i, b).isin(k) for b, k in enumerate(banded)])
+            every = F.flatten(F.transform(F.filter(_starts(n), own), lambda i: F.sequence(i, i + (WINDOW_SHINGLES - 1))))
+            return F.filter(F.array_distinct(every), lambda i: i < n)
+
+        def by_bands(sh: Column) -> Column:
+            return F.array(*[in_band(sh, b) for b in range(len(banded))])
+
+        def in_band(sh: Column, band: int) -> Column:
+            return F.transform(sh, lambda s: F.xxhash64(s, F.lit(band)))
+
+        return let(let(whole, by_bands), retrieved)
 
     def places(h: Column) -> Column:
         """For each length of shingles, the places of those that some template has, or may have."""

@@ -35,8 +35,8 @@ def mix(
     weight. A source is taken whole as often as its target allows; of the rest, the documents below
     a hash threshold are taken once more, and the document at the threshold if that comes nearer to
     the target. The hash is that of the id, so reruns agree and rows that share an id share their
-    lot; rows without an id go by their text. Null and empty texts have size 0 and take 0 words. An
-    empty table gives an empty one. Other columns are not read, whatever their names.
+    lot; rows without an id go by their text. Null and empty texts have size 0 and take 0 words, texts
+    of any length count whole. An empty table gives an empty one. Other columns are not read, whatever their names.
 
     Per level, one histogram of size by source and hash bucket finds the bucket in which the threshold
     lies, and only that bucket is looked at in the next level; nothing is sorted but buckets.

@@ -246,8 +246,8 @@ def score(docs: DataFrame, field: Field, threshold: float = THRESHOLD, text_col:
     """``docs`` with ``score`` (0 to 1, higher: good likelier) and ``predicted`` (1 from ``threshold`` on) of
     every whole text.
 
-    A null or empty text and one of blank lines have score 0. Repeated rows each get their score, an
-    empty table gives an empty one, and columns of the two names are replaced.
+    A null or empty text and one of blank lines have score 0. Texts and lines of any length are scored whole. Repeated
+    rows each get their score, an empty table gives an empty one, and columns of the two names are replaced.
     """
 
     @arrow_udf("struct<score double, predicted int>")

@@ -131,7 +131,7 @@ def edited_pairs(
     The edited text has the first floor(n_chars / 2) code points of the next document (or all, if it
     has fewer) in place of as many at its end. Next is the order of descending ids, null last, equal
     ids by a hash of their texts, and the first document follows the last. A null text counts as
-    empty. A single row is its own next. An empty table gives an empty one. Other columns are not
+    empty, texts of any length are taken whole. A single row is its own next. An empty table gives an empty one. Other columns are not
     read, whatever their names. At scale 1 both likenesses are exact but for collisions of 64-bit
     hashes. Sketches are worked out after the shuffle, which so moves texts only.
     """

@@ -215,8 +215,8 @@ def near_duplicates(
 
     Null and empty texts have fingerprint zero and link like any other. Rows with a null id take part
     and get their component, but name none: a component of null ids alone has a null component_id.
-    Rows that are equal each get their row. An empty table gives an empty one. Other columns are not
-    read, whatever their names. Equal fingerprints are one from the start, so copies cost a minimum.
+    Rows that are equal each get their row. Texts of any length are read whole. An empty table gives an empty one.
+    Other columns are not read, whatever their names. Equal fingerprints are one from the start, so copies cost a minimum.
     """
     docs = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"))
     rows = settle(docs.select("doc_id", fingerprints(F.col("text"), shingle_words).alias("fp")), "simhash")

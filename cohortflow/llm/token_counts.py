@@ -132,7 +132,7 @@ def count_tokens(
     """``docs`` with n_bytes (UTF-8), n_tokens and over_limit (n_tokens > limit) of every whole text.
 
     Counts equal the tokenizers library's without added special tokens; special strings inside a
-    text count as one token. A null or empty text has 0 bytes and 0 tokens. Repeated rows each get
+    text count as one token. A null or empty text has 0 bytes and 0 tokens; texts of any length are counted whole. Repeated rows each get
     their count; an empty table gives an empty one; columns of these three names are replaced.
     The tokenizer must be byte-level BPE with no normalizer.
     """

@@ -54,8 +54,8 @@ def write_token_files(
     """Encodes every text, appends ``end_id`` and writes the files in ascending order of the id.
 
     Null ids come first, equal ids in the order of a hash of their text; a null text counts as
-    empty and gives the end id alone. An empty table gives a manifest without shards. Other columns
-    are not read, whatever their names. Each shard is written under a name of its attempt and then
+    empty and gives the end id alone, a text of any length is encoded whole. An empty table gives a manifest without
+    shards. Other columns are not read, whatever their names. Each shard is written under a name of its attempt and then
     renamed, so a task that runs again leaves the same files. Returns ``read_token_files``.
     """
     spark, path = docs.sparkSession, mounted(folder)

@@ -328,7 +328,8 @@ def digests(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -> Dat
     """``docs`` with n_tokens, ids_sha256 (of the decimal ids joined by one space) and
     decoded_sha256 (of the decoded text in UTF-8), encoded and decoded in one pass.
 
-    A null or empty text has no tokens and the digests of an empty string; otherwise as ``encode``.
+    A null or empty text has no tokens and the digests of an empty string, a text of any length is encoded whole,
+    and columns of the three names are replaced; otherwise as ``encode``.
     """
     _check(tokenizer_path)
     names = ["n_tokens", "ids_sha256", "decoded_sha256"]

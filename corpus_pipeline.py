@@ -1,7 +1,9 @@
 """From raw documents to token ids, a stage at a time.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes what a stage returns as
-Parquet in the shared scratch folder and reads it back as the next one's ``docs``.
+Parquet in the shared scratch folder and reads it back as the next one's ``docs``. Stages take empty tables, nulls in
+any column, repeated rows and texts of any length, and hand on whatever columns ``docs`` has, also those named like
+columns that an operator adds; the last one returns the ids and digests of the texts instead.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ LEAST_LEAD, LEAST_PHRASE = 0.55, 1.5
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Documents that the classifier does not reject. Null and empty texts have score 0 and go; rows that repeat
+    each get the decision of their text."""
     field = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality.score(docs.select(F.struct("*").alias("doc"), F.col("text")), field)
     return scored.where("predicted = 1").select("doc.*")
@@ -41,12 +44,14 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them. Null texts have no words and stay once, as do rows
+    without an id; rows that share an id share their lot, whatever their texts."""
     return mixing.mixed(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every text, and the text they decode to as a digest."""
+    """The number and digest of the ids of every text, and the digest of what they decode to; a null text counts as
+    empty, and equal rows each get theirs."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return trie_bpe.digests(docs.select("doc_id", "text"), path).drop("text")
 

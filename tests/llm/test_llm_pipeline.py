@@ -4,6 +4,7 @@ import hashlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -54,6 +55,23 @@ def test_stages(spark):
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES])
+def test_stages_take_clashing_columns_long_texts_and_ties(spark, stage):
+    """Columns named like those of operators come back as they were; one long text and equal rows."""
+    ship_package(spark)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    clash = {c: F.lit(f"own {c}") for c in ("score", "predicted", "lang_pred", "lead", "fingerprint", "component_id", "size", "taken", "n_tokens", "doc", "_id", "_own")}
+    long = docs.limit(1).withColumn("text", F.repeat("text", 300)).withColumn("doc_id", F.lit(10**9).cast("long"))
+    some = docs.unionByName(docs.limit(5)).unionByName(long).withColumns(clash)
+    out = stage(spark, some, SF)
+    if stage is corpus_pipeline.token_ids:
+        assert out.count() == some.count()
+        return
+    assert out.columns == some.columns
+    found = out.select(*[F.count_if(F.col(c) != v) for c, v in clash.items()], F.count("*").alias("n")).first()
+    assert not any(found[:-1]) and 0 < found["n"] <= 3 * some.count()
+
+
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES])
 def test_stages_take_nulls_and_nothing(spark, stage):
     ship_package(spark)

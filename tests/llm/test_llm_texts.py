@@ -346,7 +346,7 @@ def test_notices_sql(spark):
     same(QUERIES["op8_license_notices"](spark, SF), duck(documents, licenses.notices_sql()))
 
 
-@pytest.mark.parametrize("case", ["given", "hot", "one", "tiny", "empty"])
+@pytest.mark.parametrize("case", ["given", "hot", "one", "tiny", "long", "empty"])
 def test_mixing_sql(spark, case):
     words = lambda n: " ".join(["w"] * n)
     rows = {
@@ -354,6 +354,7 @@ def test_mixing_sql(spark, case):
         "hot": [(i, words(1 + i % 7), "a" if i % 3 else f"s{i % 4}") for i in range(300)],
         "one": [(1, words(5), None), (2, None, None), (3, "", None)],
         "tiny": [(i, words(n), s) for i, (n, s) in enumerate([(1, "é"), (100, "z"), (1000, "a"), (3, None), (2, None), (0, "b")])],
+        "long": [(1, words(200_000), "a"), (2, words(10), "a"), (3, words(5), "b"), (3, words(7), "b")],
         "empty": [],
     }[case]
     if rows is None:
