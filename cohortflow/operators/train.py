@@ -105,19 +105,24 @@ def fold_bounds(df: DataFrame, folds: int, as_of: str = "as_of") -> DataFrame:
     micros = F.unix_micros(F.col(as_of).cast("timestamp"))
     span = df.agg(F.min(micros).alias("low"), F.max(micros).alias("high"))
     part = F.greatest(F.ceil((F.col("high") - F.col("low") + 1) / (folds + 1)), F.lit(1))
-    bounds = span.where("low is not null").select(
-        F.explode(F.sequence(F.lit(1), F.lit(folds))).alias("fold"), "low", part.cast("bigint").alias("part")
-    ).select(
+    # Rows per part, a map of folds + 1 entries.
+    low, width = span.select("low").scalar(), span.select(part.cast("bigint")).scalar()
+    place = F.floor((micros - low) / width).cast("int")
+    counts = df.where(F.col(as_of).isNotNull()).groupBy(place.alias("_part")).agg(F.count("*").alias("_n"))
+    bounds = counts.agg(F.map_from_entries(F.collect_list(F.struct("_part", "_n"))).alias("_rows")).select(
+        F.explode(F.sequence(F.lit(1), F.lit(folds))).alias("fold"), "_rows", low.alias("low"), width.alias("part")
+    ).where("low is not null")
+
+    def rows_in(number: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.col("_rows"), number), F.lit(0))
+
+    before = F.aggregate(F.sequence(F.lit(0), F.col("fold") - 1), F.lit(0).cast("bigint"), lambda n, i: n + rows_in(i))
+    sizes = bounds.select(
         "fold",
         (F.col("low") + F.col("fold") * F.col("part")).alias("_from"),
         (F.col("low") + (F.col("fold") + 1) * F.col("part")).alias("_until"),
-    )
-    # Rows per part first, so no row meets more than one bound.
-    place = F.floor((micros - span.select("low").scalar()) / span.select(part.alias("p")).scalar())
-    counts = df.where(F.col(as_of).isNotNull()).groupBy(place.alias("_part")).agg(F.count("*").alias("_n"))
-    sizes = bounds.join(F.broadcast(counts), F.col("_part") <= F.col("fold"), "left").groupBy("fold", "_from", "_until").agg(
-        F.sum(F.when(F.col("_part") < F.col("fold"), F.col("_n")).otherwise(0)).alias("n_train"),
-        F.sum(F.when(F.col("_part") == F.col("fold"), F.col("_n")).otherwise(0)).alias("n_valid"),
+        before.alias("n_train"),
+        rows_in(F.col("fold")).alias("n_valid"),
     )
     return sizes.select(
         "fold",

@@ -32,7 +32,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroups", "MapInArrow")
 PYTHON_ALLOWED = {
     "tree_shap", "kernel_shap", "shap_additivity", "kernel_shap_linear", "kernel_shap_checked", "tree_shap_checked",
-    "tree_reports_checked",
+    "tree_reports_checked", "tree_global_checked",
 }
 
 
