@@ -16,10 +16,10 @@ from cohortflow.llm import language, mixing, quality, simhash, trie_bpe
 from cohortflow.session import ship_package
 from cohortflow.sources.scratch import settle
 
-#: The language of a text needs at least this share of the evidence against the runner-up alone, and phrases of so
-#: many letters on average; a script that no sample has is spelled letter by letter. Neither depends on how many
-#: languages there are.
-LEAST_LEAD, LEAST_PHRASE = 0.55, 1.5
+#: Phrases of a text under its language's sample have so many letters on average; a script that no sample has is
+#: spelled letter by letter. This does not depend on how many languages there are, and a text that is as
+#: near to a second language stays.
+LEAST_PHRASE = 1.5
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents with letters that are in one of the learned languages. Null texts and those without letters go;
     without learned languages all go."""
     found = language.identify(docs.select(F.struct("*").alias("doc"), F.col("text")), language.learn(docs))
-    sure = (F.col("lead") >= LEAST_LEAD) & (F.col("phrase_chars") >= LEAST_PHRASE)
-    return found.where((F.col("lang_pred") != language.UNDETERMINED) & sure).select("doc.*")
+    known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("phrase_chars") >= LEAST_PHRASE)
+    return found.where(known).select("doc.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
