@@ -7,7 +7,7 @@ import inspect
 import sys
 
 from cohortflow.plans import stages
-from cohortflow.session import build_session
+from cohortflow.session import build_session, ship_package
 
 STAGES = {
     "land": stages.land_sources,
@@ -77,7 +77,7 @@ def main(arguments: list[str] | None = None) -> int:
     stage = STAGES[options.pop("stage")]
     if "thresholds" in options:
         options["thresholds"] = dict(options["thresholds"] or stages.defaults.THRESHOLDS)
-    return stage(build_session(), **dict(options.pop("params", ())), **options) or 0
+    return stage(ship_package(build_session()), **dict(options.pop("params", ())), **options) or 0
 
 
 if __name__ == "__main__":

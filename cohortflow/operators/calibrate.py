@@ -10,7 +10,7 @@ from cohortflow.functions import isotonic
 from cohortflow.functions.bins import unit_bin_left_closed, unit_bin_right_closed
 from cohortflow.functions.scalars import nan_as_missing
 from cohortflow.operators.merge import require_columns
-from cohortflow.sources.scratch import settle
+from cohortflow.sources.scratch import discard, settle
 
 
 def fit_isotonic(
@@ -31,7 +31,9 @@ def fit_isotonic(
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.sum(F.col(label).cast("double")).alias("total"), F.count("*").cast("double").alias("weight"))
     )
-    blocks = isotonic.fit_blocks(settle(points, "points"), points_per_range)
+    points = settle(points, "points")
+    blocks = isotonic.fit_blocks(points, points_per_range)
+    discard(points)
     return isotonic.break_points(blocks)
 
 
