@@ -36,7 +36,7 @@ HEAD = 128
 #: Letters of a sample whose moves are in a table.
 DENSE = 96
 #: Pieces that are parsed side by side.
-LANES = 4_096
+LANES = 2_048
 #: Phrases per character are sharpened by this before they become shares.
 SHARPNESS = 12.0
 UNDETERMINED = "und"
@@ -56,7 +56,7 @@ class Automaton:
     def __init__(self, text: str, number: np.ndarray, letters: int):
         often = [c for c, _ in Counter(text).most_common()]
         # From numbers shared by all languages to the text's own, 0 for letters it does not have.
-        self.local = np.zeros(letters + 1, np.int32)
+        self.local = np.zeros(letters + 1, np.uint16)
         self.local[[number[ord(c)] for c in often]] = np.arange(1, len(often) + 1)
         symbols = self.local[number[np.frombuffer(text.encode("utf-32-le"), np.uint32)]].tolist()
         moves: list[dict[int, int]] = [{}]

@@ -17,7 +17,7 @@ from cohortflow.llm.pieces import BYTE_PATTERN, KNOWN_CHARS, TAIL, Special, Spli
 KNOWN_WORDS = 1_000_000
 ENCODED_CHARS = 30_000
 #: Bytes of text that are worked out together.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 #: White space before a space: such texts are not cut at every space.
 _GLUED = "[\t\n\v\f\r\x1c-\x1f \u0085\\p{Z}] "
@@ -113,6 +113,7 @@ class PieceColumns:
             offsets = np.frombuffer(out.buffers()[1], np.int64, len(out) + 1, 8 * out.offset)
             data = np.frombuffer(out.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
             found.append((data, offsets[bounds] - offsets[0]))
+        pa.default_memory_pool().release_unused()
         return found
 
     def _pieces(self, inner: pa.Array, opening: pa.Array) -> list[pa.Array]:

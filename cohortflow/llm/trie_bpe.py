@@ -21,12 +21,14 @@ from pyspark.sql.functions import arrow_udf
 from tokenizers.pre_tokenizers import ByteLevel
 
 from cohortflow.llm.common import quoted, with_struct
-from cohortflow.llm.piece_arrays import KNOWN_WORDS, PieceColumns, slices
+from cohortflow.llm.piece_arrays import PieceColumns, slices
 from cohortflow.llm.pieces import WORD_PATTERN, Splitter, kept_by_worker, load, release
 
-KNOWN_SEAMS = 2_000_000
+KNOWN_SEAMS = 500_000
 #: Words of one trie.
-TRIE_WORDS = 20_000
+TRIE_WORDS = 10_000
+#: Words whose ids and tokens a worker keeps, beside the vocabulary and its automaton.
+CODED_WORDS = 250_000
 NEVER = 1 << 60
 
 
@@ -217,7 +219,7 @@ class WordCoder(PieceColumns):
 
     columns = 2
 
-    def __init__(self, path: str, limit: int = KNOWN_WORDS):
+    def __init__(self, path: str, limit: int = CODED_WORDS):
         self.tokenizer = load(path)
         model = json.loads(self.tokenizer.to_str())["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
