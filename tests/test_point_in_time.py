@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.functions.scalars import age_on, tolerant_number
 from cohortflow.operators import cohort, features, labels, quality, windows
+from cohortflow.sources.scratch import settle
 
 OBS = "patient string, Date timestamp, Code string, Description string, Value string"
 
@@ -410,3 +411,28 @@ def test_blocks_make_up_the_window(spark, first, last):
         assert sorted(cells.get(r["as_of"], [])) == list(range(opens, r["at"] + last - off + 1))
     counts = {r["as_of"]: r["count"] for r in blocks.groupBy("as_of").count().collect()}
     assert all(n <= 2 * (windows.RADIX - 1) * (len(sizes) + 1) for n in counts.values())
+
+
+@pytest.fixture
+def stored_days(spark):
+    """A stored index of some days per patient, and events of the same patients."""
+    day = F.expr("timestamp_ntz'2024-01-08 00:00:00' + make_dt_interval(d)")
+    days = spark.range(40).select(F.col("id").alias("patient"), F.explode(F.sequence(F.lit(0), F.lit(20))).alias("d"))
+    index = settle(days.select("patient", day.alias("as_of")), "index")
+    moved = settle(index.select("patient", (F.col("as_of") + F.expr("INTERVAL 5 HOUR")).alias("as_of")), "index")
+    at = F.expr("timestamp_ntz'2024-01-05 00:00:01' + make_dt_interval(CAST(id % 20 AS INT))")
+    events = spark.range(400).select(
+        (F.col("id") % 40).alias("patient"), at.alias("Date"), at.alias("Start"), at.alias("Stop"), F.lit("a").alias("Code"),
+        F.lit("a").alias("EncounterClass"), F.lit("a").alias("Description"), F.lit("1").alias("Value"), "id",
+    )
+    return {"on": index, "off": moved}, settle(events, "events")
+
+
+@pytest.mark.parametrize("grid", ["on", "off"])
+def test_index_is_never_broadcast_by_the_size_of_its_file(stored_days, grid):
+    index, events = stored_days[0][grid], stored_days[1]
+    found = features.rolling_features(index, events, events, events, 7, ["a"], ["a"], ["a"], ties=["id"])
+    for df in (found, labels.make_labels(index, events, 1, ["a"])):
+        assert df.count() == 40 * 21
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, grid
