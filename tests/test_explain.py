@@ -11,6 +11,8 @@ from cohortflow.functions.coalitions import Coalitions, contributions
 from cohortflow.functions.trees import Forest, Leaf, load_forest
 from cohortflow.operators import calibrate, explain, train
 from cohortflow.sources import models
+from workload import explained, panel
+from workload.base import QUERIES
 
 FEATURES = ["a", "b", "c"]
 
@@ -241,3 +243,29 @@ def test_high_risk_report(linear):
     assert "1. u\n   - value 1.00\n   - share -2.000, which decreases the score" in text
     assert "2. v\n" in text and "which increases the score" in text
     assert "(Medium)" in rows["z"]
+
+
+def test_the_split_is_stored_and_its_rows_are_never_broadcast(spark, tmp_path):
+    """Every query on the classifier reads one stored split, and joins of its rows are dealt by key."""
+    key = F.col("id")
+    kinds = F.array(*map(F.lit, ("view", "signup", "click", "purchase", "error")))
+    spark.range(3000).select(
+        key.alias("event_id"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:07' + make_dt_interval(CAST(id * 7 % 29 AS INT), CAST(id % 24 AS INT))").alias("ts"),
+        (key % 40).alias("user_id"),
+        kinds[F.pmod(F.xxhash64(key), F.lit(5)).cast("int")].alias("event_type"),
+        (F.pmod(F.xxhash64(key, F.lit(1)), F.lit(500)) / 7).alias("value"),
+        F.lit("{}").alias("props"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    joined = plan_of(panel.training_rows(spark, str(tmp_path)))
+    assert "BroadcastHashJoin" not in joined and "SortMergeJoin" in joined
+    held_out = explained._fitted(spark, str(tmp_path))[1]
+    assert held_out.count() > 0
+    assert "Join" not in plan_of(held_out)
+    for name in ("model_roundtrip", "tree_local_checked", "tree_waterfall_checked"):
+        plan = plan_of(QUERIES[name](spark, str(tmp_path)))
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, name
