@@ -11,6 +11,8 @@ from cohortflow.sources.scratch import scratch_path
 
 #: Rows whose contributions to one leaf are worked out at once.
 ROWS_AT_ONCE = 4096
+#: Rows whose mixes with the background are scored at once, fewer if they have more paths together, and leaves.
+MIXED_AT_ONCE, PATHS_AT_ONCE, LEAVES_AT_ONCE = 1024, 1 << 22, 256
 
 
 @dataclass(frozen=True)
@@ -72,8 +74,9 @@ class Forest:
             total[reached] += leaf.value
         return total
 
-    def probability(self, inputs: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-2.0 * self.margin(inputs)))
+    @property
+    def probability(self) -> Probability:
+        return Probability(self)
 
     def contributions(self, inputs: np.ndarray) -> np.ndarray:
         """(rows, inputs): what each input adds to the margin; leaves x depth^2 steps a row."""
@@ -85,6 +88,65 @@ class Forest:
         return phi.T
 
 
+@dataclass(frozen=True)
+class Probability:
+    """The score of a forest, a function of a matrix of inputs."""
+
+    forest: Forest
+
+    def __call__(self, inputs: np.ndarray) -> np.ndarray:
+        return _probability(self.forest.margin(inputs))
+
+    def worths(self, rows: np.ndarray, background: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """(rows, sets): what ``coalitions.worths`` finds, every mix scored but none written out.
+
+        A mix reaches a leaf if the row meets the path's conditions on known inputs and the background row
+        those on all others. So the margins of the mixes of a set are a product of two matrices of zeros and
+        ones, (rows, leaves) and (leaves, background), with the leaves' values in between. Sets that differ
+        only in inputs that no path asks for have the same mixes as far as the forest can tell.
+        """
+        leaves = self.forest.leaves
+        depth = max((len(leaf.features) for leaf in leaves), default=0)
+        bit = np.left_shift(1, np.arange(depth)).astype(np.min_scalar_type((1 << depth) - 1))
+        path = np.full((len(leaves), depth), known.shape[1])  # beyond a path's end an input that is never known
+        for i, leaf in enumerate(leaves):
+            path[i, : len(leaf.features)] = leaf.features
+        asked = np.isin(np.arange(known.shape[1]), path)
+        distinct, at = np.unique(known & asked, axis=0, return_inverse=True)
+        padded = np.pad(distinct, ((0, 0), (0, 1)))
+        value = np.array([leaf.value for leaf in leaves])
+
+        found = np.zeros((len(rows), len(distinct)))
+        at_once = max(1, min(MIXED_AT_ONCE, PATHS_AT_ONCE // max(1, len(leaves))))
+        for b in range(0, len(background), at_once):
+            other = self._missed(background[b : b + at_once], bit)
+            for r in range(0, len(rows), at_once):
+                own = self._missed(rows[r : r + at_once], bit)
+                for s, inputs in enumerate(padded):
+                    of_row = np.bitwise_or.reduce(np.where(inputs[path], bit, 0), axis=1, dtype=bit.dtype)
+                    margin = np.zeros((len(own), len(other)))
+                    for i in range(0, len(leaves), LEAVES_AT_ONCE):
+                        part = slice(i, i + LEAVES_AT_ONCE)
+                        met = (own[:, part] & of_row[part]) == 0
+                        met_by_other = (other[:, part] & ~of_row[part]) == 0
+                        margin += met.astype(float) @ (met_by_other * value[part]).T
+                    found[r : r + at_once, s] += _probability(margin).sum(axis=1)
+        return found[:, at.ravel()] / len(background)
+
+    def _missed(self, inputs: np.ndarray, bit: np.ndarray) -> np.ndarray:
+        """(rows, leaves): the conditions of each path that a row does not meet, a bit each."""
+        columns, leaves = np.ascontiguousarray(inputs.T), self.forest.leaves
+        missed = np.zeros((len(leaves), len(inputs)), bit.dtype)
+        for i, leaf in enumerate(leaves):
+            for k, met in enumerate(leaf.inside(columns)):
+                missed[i, ~met] |= bit[k]
+        return np.ascontiguousarray(missed.T)
+
+
+def _probability(margin: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-2.0 * margin))
+
+
 def load_forest(spark: SparkSession, classifier) -> Forest:
     """Leaves of a fitted GBT classifier, read from its saved form.
 

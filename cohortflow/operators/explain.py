@@ -115,7 +115,8 @@ def kernel_shap(
 
     The sets are drawn once and shared by all rows; a batch of rows costs one solve and rows x sets x background
     predictions, so few bytes keep a core busy for long; ``partitions`` spreads the rows wider than their
-    size would. Any number of background rows is taken; they go to every task. An empty table gives an empty one.
+    size would. ``Forest.probability`` makes the predictions of a set together, from its leaves; any other function
+    is called with every mix. Any number of background rows is taken; they go to every task. An empty table gives an empty one.
     """
     if partitions:
         assembled = assembled.repartition(partitions)

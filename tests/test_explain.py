@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cohortflow.functions import trees
 from cohortflow.functions.coalitions import Coalitions, contributions
 from cohortflow.functions.trees import Forest, Leaf, load_forest
 from cohortflow.operators import calibrate, explain, train
@@ -172,6 +173,39 @@ def test_kernel_shap_matches_the_definition(fitted):
         explain.kernel_shap(rows, forest.probability, np.zeros((0, 6)), FEATURES)
 
 
+def test_mixes_are_scored_without_being_written_out(fitted, monkeypatch):
+    """The forest is asked for rows and background rows only, and its mixes have the scores they would have alone."""
+    _, _, forest = fitted
+    rng = np.random.default_rng(3)
+    rows, background = rng.normal(size=(11, 6)), rng.normal(size=(7, 6))
+    rows[4, 0] = background[2, 1] = np.nan
+    sets = Coalitions.of(3)
+    expected = contributions(lambda inputs: forest.probability(inputs), rows, background, sets)
+    asked, margin = [], Forest.margin
+    monkeypatch.setattr(Forest, "margin", lambda self, inputs: asked.append(len(inputs)) or margin(self, inputs))
+    assert contributions(forest.probability, rows, background, sets) == pytest.approx(expected, abs=1e-12)
+    assert sum(asked) == len(rows) + len(background)
+    monkeypatch.setattr(trees, "MIXED_AT_ONCE", 3)
+    monkeypatch.setattr(trees, "LEAVES_AT_ONCE", 2)
+    assert contributions(forest.probability, rows, background, sets) == pytest.approx(expected, abs=1e-12)
+
+
+def test_mixes_with_inputs_that_no_path_asks_for():
+    """Features 1 and 3 of four are in no tree, one tree is a single leaf."""
+    box = np.array([0.5]), np.array([np.inf]), np.array([0.4])
+    rest = np.array([-np.inf]), np.array([0.5]), np.array([0.6])
+    leaves = [Leaf(v, np.array([f]), *b) for f in (0, 2, 6) for v, b in ((0.3 + f, box), (-0.8, rest))]
+    forest = Forest([*leaves, Leaf(0.25, np.array([], int), *np.zeros((3, 0)))], 8)
+    rng = np.random.default_rng(5)
+    rows, background, sets = rng.random((9, 8)), rng.random((6, 8)), Coalitions.of(4)
+    phi = contributions(forest.probability, rows, background, sets)
+    assert phi == pytest.approx(contributions(lambda inputs: forest.probability(inputs), rows, background, sets), abs=1e-12)
+    assert phi[:, [1, 3]] == pytest.approx(0, abs=1e-12) and np.abs(phi[:, [0, 2]]).min() > 1e-3
+    single = contributions(Forest(leaves[:2], 1).probability, rows[:, :1], background[:, :1], Coalitions.of(1))
+    score = Forest(leaves[:2], 1).probability
+    assert single[:, 0] == pytest.approx(score(rows[:, :1]) - score(background[:, :1]).mean())
+
+
 def test_a_deep_model_adds_up(spark, fitted):
     """Paths of more features than sets of them could be listed for."""
     rng = np.random.default_rng(9)
